@@ -1,0 +1,28 @@
+"""Join helpers: broadcast only behind a measured size, shuffle join otherwise."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from pixtrend.session import scratch_dir
+
+# Per-scene statistics and per-item lists are a few dozen bytes per row; 200k
+# rows stay far below a broadcast's practical limit.
+MAX_BROADCAST_ROWS = 200_000
+
+
+def checked_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Materialise a side that is small by construction and broadcast it if
+    its measured row count is within ``max_rows``.
+
+    The side is written with ``checkpoint()`` to the shared checkpoint folder,
+    so the count and the join read the same materialised rows and the lineage
+    is cut (a lost executor re-reads the files instead of recomputing).
+    Above the bound the plain DataFrame is returned and Spark plans a shuffle
+    join (with AQE skew handling).
+    """
+    scratch_dir(small.sparkSession)
+    small = small.checkpoint(eager=True)
+    n = small.count()
+    return F.broadcast(small) if n <= max_rows else small
