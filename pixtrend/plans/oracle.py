@@ -131,3 +131,116 @@ def with_ctes(body: str, *names: str) -> str:
     if not order:
         return body
     return "with " + ",\n".join(f"{n} as ({CTES[n][0]})" for n in order) + "\n" + body
+
+
+# --------------------------------------------------------------------------- more stand-ins
+# nodata-masked stack (the masked read of every scene)
+cte("nd", "select year, scene_id, tile_x, tile_y, x, y, " + ", ".join(
+    f"nullif({b}, 0) as {b}" for b in BANDS) + ", scl from obs", "obs")
+
+cte("aois", """
+select c_custkey as aoi_id, -179.75e0 + cast((c_custkey * 53) % 359 as double) as west,
+       -69.75e0 + cast((c_custkey * 7) % 139 as double) as south,
+       -179.75e0 + cast((c_custkey * 53) % 359 as double) + 0.5e0 as east,
+       -69.75e0 + cast((c_custkey * 7) % 139 as double) + 0.5e0 as north
+from customer""")
+
+cte("assets_json", """
+select item_id, '{' || string_agg(entry, ',' order by entry) || '}' as assets
+from (select item_id, '"' || asset || '":{"href":"https://h/' || k || '"' ||
+             case item_id % 4
+               when 0 then ',"alternate":{"s3":{"href":"s3://b/' || k || '"}}}'
+               when 1 then ',"alternates":[{"href":"http://m/' || k || '"},{"href":"s3://c/' || k || '"}]}'
+               when 2 then ',"alternate":{"S3":{"href":"s3://u/' || k || '"}}}'
+               else '}' end as entry
+      from (select item_id, asset, cast(item_id as varchar) || '/' || asset as k from assets) a) e
+group by item_id""", "assets")
+
+cte("class_mask_layers", """
+select scene_id, x, y, l as layer, cast((cls + l) % 4 as int) as cls
+from class_mask, (values (0), (1), (2)) t(l) where l = 0 or scene_id % 2 = 0""", "class_mask")
+
+cte("grid_expected", """
+select cast((max(x) - min(x) + 1) * (max(y) - min(y) + 1) as double) as expected from obs""", "obs")
+
+cte("quality", """
+select year, scene_id, count(scl) as n_present,
+       count(*) filter (where scl is not null and scl <> 0) as n_valid,
+       count(*) filter (where scl is not null and scl <> 0 and scl in (3, 7, 8, 9, 10, 11)) as n_bad
+from obs group by year, scene_id""", "obs")
+
+cte("quality_r", """
+select q.*, g.expected, cast(n_valid as double) / g.expected as coverage,
+       cast(n_bad as double) / cast(nullif(n_valid, 0) as double) as cloud_ratio
+from quality q, grid_expected g""", "quality", "grid_expected")
+
+cte("alignment", """
+select scene_id, count(*) filter (where t & 1 = 1) as n_scene, count(*) filter (where t & 2 = 2) as n_mask,
+       count(*) filter (where t <> 3) as n_unmatched, count(*) filter (where t <> 3) = 0 as aligned
+from (select scene_id, x, y, bit_or(t) as t
+      from (select scene_id, x, y, 1 as t from obs union all select scene_id, x, y, 2 as t from class_mask) u
+      group by scene_id, x, y) p
+group by scene_id""", "obs", "class_mask")
+
+cte("status", """
+select q.*, a.aligned,
+       case when n_present = 0 then 'no_data' when n_valid = 0 then 'no_valid'
+            when cloud_ratio > 0.5e0 then 'cloudy' when coverage < 0.1e0 then 'low_coverage'
+            when not coalesce(a.aligned, false) then 'misaligned' else 'ok' end as status
+from quality_r q left join alignment a using (scene_id)""", "quality_r", "alignment")
+
+
+def nearest_q_sql(v: str, q: float) -> str:
+    return (f"list_sort(list({v}) filter (where {v} is not null))"
+            f"[cast(1 + round_even((count({v}) - 1) * {q!r}e0, 0) as int)]")
+
+
+def moments_sql(b: str) -> str:
+    v = f"cast({b} as bigint)"
+    return f"count({b}) as {b}_n, sum({v}) as {b}_s1, sum({v} * {v}) as {b}_s2"
+
+
+def mm(e: str) -> str:
+    """Millimetres as BIGINT (both engines compute the same double)."""
+    return f"cast(floor(({e}) * 1000 + 0.5e0) as bigint)"
+
+
+def utm_sql(lon: str, lat: str, epsg: str) -> tuple[str, str]:
+    """Krüger-series forward projection, same operation order as the Spark code."""
+    from pixtrend.functions.geo import UTM_SERIES as S
+    from pixtrend.constants import UTM_K0, UTM_FALSE_EASTING, UTM_FALSE_NORTHING_SOUTH
+    e = repr(S["e"])
+    lam = f"radians({lon} - ({epsg} % 100 * 6 - 183))"
+    phi = f"radians({lat})"
+    t = f"sinh(atanh(sin({phi})) - {e} * atanh({e} * sin({phi})))"
+    xi_p = f"atan2({t}, cos({lam}))"
+    eta_p = f"atanh(sin({lam}) / sqrt(1.0e0 + {t} * {t}))"
+    xi, eta = xi_p, eta_p
+    for j, a in enumerate(S["alpha"], start=1):
+        xi = f"({xi} + {a!r} * sin({2 * j} * {xi_p}) * cosh({2 * j} * {eta_p}))"
+        eta = f"({eta} + {a!r} * cos({2 * j} * {xi_p}) * sinh({2 * j} * {eta_p}))"
+    k = repr(UTM_K0 * S["A"])
+    x = f"({UTM_FALSE_EASTING!r} + {k} * {eta})"
+    y = f"(case when {epsg} >= 32700 then {UTM_FALSE_NORTHING_SOUTH!r} else 0.0e0 end + {k} * {xi})"
+    return x, y
+
+
+def utm_epsg_sql(lon: str, lat: str) -> str:
+    z = f"cast(floor(({lon} + 180) / 6) + 1 as int)"
+    return f"cast(case when {lat} >= 0 then 32600 + {z} else 32700 + {z} end as int)"
+
+
+def pip_sql(px: str, py: str, coords) -> str:
+    """Even-odd rule with a literal polygon (edges as XOR of crossings)."""
+    terms = []
+    k = len(coords)
+    for i in range(k):
+        (ax, ay), (bx, by) = coords[i], coords[(i + 1) % k]
+        if ay == by:
+            continue
+        terms.append(f"(({py} < {ay}) <> ({py} < {by}) and {px} < "
+                     f"{float(bx - ax)!r} * ({py} - {ay}) / {float(by - ay)!r} + {ax})")
+    out = "false"
+    for t in terms:
+        out = f"({out} <> {t})"
+    return out

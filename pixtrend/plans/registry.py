@@ -69,3 +69,556 @@ def q_tc_trend(spark, sf_dir):
 def q_trend_visual(spark, sf_dir):
     tr = linear_trend(tasseled_cap(median_mosaic(clean_obs(spark, sf_dir)), exact=True))
     return trend_visual(tr)
+
+
+# --------------------------------------------------------------------------- shared inputs
+from pixtrend.constants import BAND_ASSETS, QUANTILE_BY_BAND, SCL_CLOUD  # noqa: E402
+from pixtrend.functions import geo as G  # noqa: E402
+from pixtrend.functions import pixel as P  # noqa: E402
+from pixtrend.operators import quality as Q  # noqa: E402
+from pixtrend.operators import resample as R  # noqa: E402
+from pixtrend.operators import spatial as SP  # noqa: E402
+from pixtrend.operators.classify import bright_rule, classify_tiles  # noqa: E402
+from pixtrend.operators.mosaic import band_stack, quantile_mosaic, stack_scenes  # noqa: E402
+from pixtrend.sources import catalog as C  # noqa: E402
+
+PX = ["year", "scene_id", "x", "y"]
+_B = ", ".join(BANDS)
+
+
+def nd_obs(spark, sf_dir):
+    """Stack after the masked read (nodata 0 -> NULL)."""
+    return fx.obs(spark, sf_dir).withColumns({b: P.mask_nodata(b) for b in BANDS})
+
+
+def scenes_y(spark, sf_dir):
+    return fx.scenes(spark, sf_dir).withColumn("year", P.year_of("ts"))
+
+
+def grid_expected(ob):
+    """Expected pixels of the AOI = the grid's extent (scalar subquery)."""
+    return ob.select(((F.max("x") - F.min("x") + 1) * (F.max("y") - F.min("y") + 1))
+                     .cast("double")).scalar()
+
+
+# --------------------------------------------------------------------------- 2.1 sources
+@register("search_scenes", O.with_ctes(
+    "select item_id, strftime(ts, '%Y-%m-%d') as date, cloud_cover, grid_code, proj_epsg from scenes "
+    "where ts >= timestamp '1997-07-01' and ts < timestamp '1997-09-01' "
+    "and cloud_cover <= 70 and grid_code = 'MGRS-3'", "scenes"))
+def q_search_scenes(spark, sf_dir):
+    s = C.search_scenes(fx.scenes(spark, sf_dir), "1997-07-01", "1997-08-31", "MGRS-3", 70)
+    return s.select("item_id", P.scene_date("ts").alias("date"), "cloud_cover", "grid_code", "proj_epsg")
+
+
+@register("query_products", O.with_ctes(
+    "select concat('S2_', cast(item_id as varchar), '.SAFE') as name from scenes "
+    "where ts >= timestamp '1996-01-01' and ts < timestamp '1997-01-01' and cloud_cover <= 30 "
+    "and grid_code = 'MGRS-5' order by name limit 1000", "scenes"))
+def q_query_products(spark, sf_dir):
+    return C.query_products(fx.scenes(spark, sf_dir), "1996-01-01", "1996-12-31", max_cloud=30,
+                            attrs={"grid_code": "MGRS-5"}, top=1000)
+
+
+@register("prefer_s3_assets", O.with_ctes("""
+select item_id, asset, orig_href, coalesce(d, l, orig_href) as href
+from (select item_id, asset, json_extract_string(j, '$.href') as orig_href,
+             coalesce(json_extract_string(alt, '$.s3.href'), json_extract_string(alt, '$.S3.href')) as d,
+             case when json_type(alt) = 'ARRAY' then
+               list_filter(json_extract_string(alt, '$[*].href'), lambda h: starts_with(h, 's3://'))[1] end as l
+      from (select item_id, asset, j, coalesce(j -> 'alternate', j -> 'alternates') as alt
+            from (select item_id, asset, assets -> asset as j
+                  from (select item_id, assets, unnest(json_keys(assets)) as asset from assets_json) k) k2) k3) k4
+""", "assets_json"))
+def q_prefer_s3_assets(spark, sf_dir):
+    return C.prefer_s3_assets(fx.assets_json(spark, sf_dir))
+
+
+@register("band_assets", O.with_ctes(
+    "select a.item_id, a.asset, b.ord, b.band, case when a.asset like '%10m' then '10m' "
+    "when a.asset like '%20m' then '20m' end as res from assets a join band_order b "
+    "on a.asset = b.asset where b.ord <= 6", "assets"))
+def q_band_assets(spark, sf_dir):
+    return C.band_assets(fx.assets(spark, sf_dir), C.band_order_df(spark)) \
+        .select("item_id", "asset", "ord", "band", "res")
+
+
+@register("require_asset", O.with_ctes(
+    "select item_id, strftime(ts, '%Y-%m-%d') as date, cloud_cover from scenes s where exists "
+    "(select 1 from assets a where a.item_id = s.item_id and a.asset = 'SCL_20m')", "scenes", "assets"))
+def q_require_asset(spark, sf_dir):
+    s = C.require_asset(fx.scenes(spark, sf_dir), fx.assets(spark, sf_dir))
+    return s.select("item_id", P.scene_date("ts").alias("date"), "cloud_cover")
+
+
+@register("product_bands", O.with_ctes("""
+select * from (select scene, band, res, min(path) as path
+               from (select regexp_extract(path, '^([^/]+)[.]SAFE', 1) as scene,
+                            regexp_extract(path, '_(B[0-9]+)_', 1) as band,
+                            regexp_extract(path, '/R([0-9]+m)/', 1) as res, path from product_paths) p
+               where band in ('B02', 'B03', 'B04', 'B08', 'B11', 'B12') group by scene, band, res) f
+where scene in (select scene from (select regexp_extract(path, '^([^/]+)[.]SAFE', 1) as scene,
+                                          regexp_extract(path, '_(B[0-9]+)_', 1) as band from product_paths) p
+                where band in ('B02', 'B03', 'B04', 'B08', 'B11', 'B12')
+                group by scene having count(distinct band) = 6)""", "product_paths"))
+def q_product_bands(spark, sf_dir):
+    return C.product_bands(fx.product_paths(spark, sf_dir))
+
+
+@register("mask_nodata", O.with_ctes(f"select year, scene_id, x, y, {_B} from nd", "nd"))
+def q_mask_nodata(spark, sf_dir):
+    return nd_obs(spark, sf_dir).select(*PX, *BANDS)
+
+
+@register("pending_scenes", O.with_ctes(
+    "select item_id, strftime(ts, '%Y-%m-%d') as date from scenes s where not exists "
+    "(select 1 from done d where d.item_id = s.item_id)", "scenes", "done"))
+def q_pending_scenes(spark, sf_dir):
+    p = C.pending(fx.scenes(spark, sf_dir), fx.done(spark, sf_dir))
+    return p.select("item_id", P.scene_date("ts").alias("date"))
+
+
+@register("missing_years", O.with_ctes(
+    "select cast(range as int) as year from range(1993, 2004) "
+    "where cast(range as int) not in (select year from median)", "median"))
+def q_missing_years(spark, sf_dir):
+    return C.missing_years(median_mosaic(clean_obs(spark, sf_dir)), 1993, 2003)
+
+
+def _status(spark, sf_dir):
+    ob = fx.obs(spark, sf_dir)
+    q = Q.aoi_quality(ob, grid_expected(ob), by=("year", "scene_id"))
+    al = M.mask_alignment(ob, fx.class_mask(spark, sf_dir, ob))
+    return Q.scene_status(q, al)
+
+
+@register("scene_status", O.with_ctes(
+    "select year, scene_id, n_present, n_valid, n_bad, coverage, cloud_ratio, aligned, status "
+    "from status", "status"))
+def q_scene_status(spark, sf_dir):
+    return _status(spark, sf_dir).select("year", "scene_id", "n_present", "n_valid", "n_bad",
+                                         "coverage", "cloud_ratio", "aligned", "status")
+
+
+@register("run_summary", O.with_ctes(
+    "select year, count(*) as n_scenes, count(*) filter (where status = 'ok') as n_ok, "
+    "count(*) filter (where status <> 'ok') as n_failed from status group by year order by year",
+    "status"))
+def q_run_summary(spark, sf_dir):
+    return Q.run_summary(_status(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- 2.2 expressions
+@register("season_filter", O.with_ctes(
+    "select item_id, strftime(ts, '%Y-%m-%d') as date, cast(year(ts) as int) as year from scenes "
+    "where strftime(ts, '%m-%d') between '07-01' and '08-31' and year(ts) between 1995 and 2001",
+    "scenes"))
+def q_season_filter(spark, sf_dir):
+    s = fx.scenes(spark, sf_dir)
+    md = F.date_format("ts", "MM-dd")
+    s = s.filter(md.between("07-01", "08-31") & P.year_of("ts").isin(list(range(1995, 2002))))
+    return s.select("item_id", P.scene_date("ts").alias("date"), P.year_of("ts").alias("year"))
+
+
+@register("scene_key", O.with_ctes(
+    "select item_id, strftime(ts, '%Y-%m-%d') as scene_date, "
+    "cast(item_id as varchar) || '_' || strftime(ts, '%Y-%m-%d') || '.tif' as out_key, "
+    "'S2_' || cast(item_id as varchar) as product from scenes", "scenes"))
+def q_scene_key(spark, sf_dir):
+    s = fx.scenes(spark, sf_dir)
+    return s.select("item_id", P.scene_date("ts").alias("scene_date"),
+                    P.scene_key("item_id", "ts").alias("out_key"),
+                    P.strip_safe(C.product_name("item_id")).alias("product"))
+
+
+@register("utm_epsg", O.with_ctes(
+    "select item_id, " + O.utm_epsg_sql("(west + east) / 2", "(south + north) / 2")
+    + " as utm_epsg from scenes", "scenes"))
+def q_utm_epsg(spark, sf_dir):
+    s = fx.scenes(spark, sf_dir)
+    return s.select("item_id", G.utm_epsg((F.col("west") + F.col("east")) / 2,
+                                          (F.col("south") + F.col("north")) / 2).alias("utm_epsg"))
+
+
+@register("detect_epsg", O.with_ctes(
+    "select grid_code, year, coalesce(f, " + O.utm_epsg_sql("(west + east) / 2.0", "(south + north) / 2.0")
+    + ") as epsg, f is not null as from_item, west, south, east, north from ("
+    "select grid_code, cast(year(ts) as int) as year, "
+    "first(proj_epsg order by ts, item_id) filter (where proj_epsg is not null) as f, "
+    "min(west) as west, min(south) as south, max(east) as east, max(north) as north "
+    "from scenes group by grid_code, year(ts)) g", "scenes"))
+def q_detect_epsg(spark, sf_dir):
+    return Q.detect_epsg(scenes_y(spark, sf_dir), by=("grid_code", "year"))
+
+
+def _utm_cols(lon, lat, epsg, name):
+    p = G.utm_xy(lon, lat, epsg)
+    return [F.floor(p["x"] * 1000 + 0.5).cast("bigint").alias(f"{name}_x_mm"),
+            F.floor(p["y"] * 1000 + 0.5).cast("bigint").alias(f"{name}_y_mm")]
+
+
+def _utm_sql_cols(lon, lat, epsg, name):
+    x, y = O.utm_sql(lon, lat, epsg)
+    return f"{O.mm(x)} as {name}_x_mm, {O.mm(y)} as {name}_y_mm"
+
+
+@register("utm_xy", O.with_ctes(
+    "select item_id, epsg, " + _utm_sql_cols("west", "south", "epsg", "sw") + ", "
+    + _utm_sql_cols("east", "north", "epsg", "ne") + " from (select *, "
+    + O.utm_epsg_sql("(west + east) / 2", "(south + north) / 2") + " as epsg from scenes) s", "scenes"))
+def q_utm_xy(spark, sf_dir):
+    s = fx.scenes(spark, sf_dir)
+    s = s.withColumn("epsg", G.utm_epsg((F.col("west") + F.col("east")) / 2,
+                                        (F.col("south") + F.col("north")) / 2))
+    return s.select("item_id", "epsg", *_utm_cols("west", "south", "epsg", "sw"),
+                    *_utm_cols("east", "north", "epsg", "ne"))
+
+
+@register("aoi_bounds", O.with_ctes(
+    "select aoi_id, epsg, " + ", ".join(
+        f"{O.mm(f'{fn}({a}, {b})')} as {n}_mm" for fn, a, b, n in (
+            ("least", "swx", "nex", "xmin"), ("least", "swy", "ney", "ymin"),
+            ("greatest", "swx", "nex", "xmax"), ("greatest", "swy", "ney", "ymax")))
+    + " from (select aoi_id, epsg, {sw_x} as swx, {sw_y} as swy, {ne_x} as nex, {ne_y} as ney from "
+      "(select *, " + O.utm_epsg_sql("(west + east) / 2", "(south + north) / 2")
+    + " as epsg from aois) a) p", "aois").format(
+        **dict(zip(("sw_x", "sw_y"), O.utm_sql("west", "south", "epsg"))),
+        **dict(zip(("ne_x", "ne_y"), O.utm_sql("east", "north", "epsg")))))
+def q_aoi_bounds(spark, sf_dir):
+    a = fx.aois(spark, sf_dir)
+    a = a.withColumn("epsg", G.utm_epsg((F.col("west") + F.col("east")) / 2,
+                                        (F.col("south") + F.col("north")) / 2))
+    b = G.aoi_bounds("west", "south", "east", "north", "epsg")
+    return a.select("aoi_id", "epsg", *[F.floor(b[k] * 1000 + 0.5).cast("bigint").alias(f"{k}_mm")
+                                        for k in ("xmin", "ymin", "xmax", "ymax")])
+
+
+@register("coverage_ratio")
+def q_coverage_ratio(spark, sf_dir):
+    return SP.aoi_coverage(fx.scenes(spark, sf_dir), fx.aois(spark, sf_dir))
+
+
+@register("coverage_filter")
+def q_coverage_filter(spark, sf_dir):
+    cov = SP.aoi_coverage(fx.scenes(spark, sf_dir), fx.aois(spark, sf_dir))
+    return SP.coverage_filter(cov).select("aoi_id", "item_id", "coverage_ratio")
+
+
+CLIP_BOUNDS_M = (300.0, 200.0, 1234.0, 777.0)   # xmin, ymin, xmax, ymax in grid metres
+
+
+def clip_index_range(bounds, x0: float = 0.0, y0: float = 0.0, res: float = fx.PIXEL_M):
+    """Integer pixel ranges whose cell centre lies within bounds +- res/2."""
+    import math
+    xmin, ymin, xmax, ymax = bounds
+    return (math.ceil((xmin - x0) / res - 1), math.ceil((ymin - y0) / res - 1),
+            math.floor((xmax - x0) / res), math.floor((ymax - y0) / res))
+
+
+def clip_bounds(df, bounds, x0=0.0, y0=0.0, res=fx.PIXEL_M):
+    """Clip to projected bounds: integer range predicates (parquet-prunable)."""
+    i0, j0, i1, j1 = clip_index_range(bounds, x0, y0, res)
+    return df.filter(F.col("x").between(i0, i1) & F.col("y").between(j0, j1))
+
+
+_CI = clip_index_range(CLIP_BOUNDS_M)
+
+
+@register("clip_bounds", O.with_ctes(
+    f"select year, scene_id, x, y, {_B} from nd where x between {_CI[0]} and {_CI[2]} "
+    f"and y between {_CI[1]} and {_CI[3]}", "nd"))
+def q_clip_bounds(spark, sf_dir):
+    return clip_bounds(nd_obs(spark, sf_dir), CLIP_BOUNDS_M).select(*PX, *BANDS)
+
+
+# concave polygon in grid metres
+CLIP_POLYGON_M = [(100.0, 0.0), (1900.0, 50.0), (1500.0, 600.0), (800.0, 300.0), (200.0, 900.0)]
+
+
+def clip_polygon(df, coords, res=fx.PIXEL_M):
+    """Pixels whose centre is inside the polygon, after the bbox range predicate."""
+    xs, ys = [c[0] for c in coords], [c[1] for c in coords]
+    df = clip_bounds(df, (min(xs), min(ys), max(xs), max(ys)), res=res)
+    cx = F.col("x") * res + res / 2
+    cy = F.col("y") * res + res / 2
+    return df.filter(G.point_in_polygon_lit(cx, cy, coords))
+
+
+_PB = clip_index_range((100.0, 0.0, 1900.0, 900.0))
+
+
+@register("clip_polygon", O.with_ctes(
+    f"select year, scene_id, x, y, {_B} from nd where x between {_PB[0]} and {_PB[2]} "
+    f"and y between {_PB[1]} and {_PB[3]} and "
+    + O.pip_sql("(x * 10 + 5.0e0)", "(y * 10 + 5.0e0)", CLIP_POLYGON_M), "nd"))
+def q_clip_polygon(spark, sf_dir):
+    return clip_polygon(nd_obs(spark, sf_dir), CLIP_POLYGON_M).select(*PX, *BANDS)
+
+
+def clip_to_extent(df, image, by=("scene_id",)):
+    """Clip ``df`` to the per-scene extent of another image's valid pixels."""
+    valid = image.filter(~M.all_missing(image))
+    ext = valid.groupBy(*by).agg(F.min("x").alias("_x0"), F.max("x").alias("_x1"),
+                                 F.min("y").alias("_y0"), F.max("y").alias("_y1"))
+    j = df.join(M.checked_broadcast(ext), list(by))
+    return j.filter(F.col("x").between(F.col("_x0"), F.col("_x1")) &
+                    F.col("y").between(F.col("_y0"), F.col("_y1"))).drop("_x0", "_x1", "_y0", "_y1")
+
+
+@register("clip_to_extent", O.with_ctes(
+    "select m.scene_id, m.x, m.y, m.cls from class_mask m join (select scene_id, min(x) as x0, "
+    "max(x) as x1, min(y) as y0, max(y) as y1 from clean where coalesce(" + _B + ") is not null "
+    "group by scene_id) e on m.scene_id = e.scene_id where m.x between e.x0 and e.x1 "
+    "and m.y between e.y0 and e.y1", "class_mask", "clean"))
+def q_clip_to_extent(spark, sf_dir):
+    ob = fx.obs(spark, sf_dir)
+    img = M.scl_mask(ob.withColumns({b: P.mask_nodata(b) for b in BANDS}))
+    return clip_to_extent(fx.class_mask(spark, sf_dir, ob), img)
+
+
+@register("zero_to_null", O.with_ctes(
+    "select year, scene_id, x, y, " + ", ".join(f"case when {b} > 0 then {b} end as {b}" for b in BANDS)
+    + " from obs", "obs"))
+def q_zero_to_null(spark, sf_dir):
+    return fx.obs(spark, sf_dir).select(*PX, *[P.zero_to_null(b).alias(b) for b in BANDS])
+
+
+@register("pack_u16", O.with_ctes(
+    "select year, scene_id, x, y, " + ", ".join(
+        f"{O.pack(f'case when not coalesce(scl, 0) in (0,1,3,7,8,9,10,11) then {b} end')} as {b}"
+        for b in BANDS) + " from obs", "obs"))
+def q_pack_u16(spark, sf_dir):
+    m = M.scl_mask(fx.obs(spark, sf_dir))
+    return m.select(*PX, *[P.pack_u16(b).alias(b) for b in BANDS])
+
+
+def band_labels(df, mapping=None):
+    """Rename asset-named band columns to band labels, by name, canonical order."""
+    mapping = mapping or dict(zip(BAND_ASSETS, BANDS))
+    present = {k: v for k, v in mapping.items() if k in df.columns}
+    other = [c for c in df.columns if c not in present]
+    out = df.withColumnsRenamed(present)
+    return out.select(*other, *[b for b in BANDS if b in present.values()])
+
+
+@register("band_labels", O.with_ctes(f"select year, scene_id, x, y, {_B} from obs", "obs"))
+def q_band_labels(spark, sf_dir):
+    ob = fx.obs(spark, sf_dir)
+    # the stack as written by the reader: asset names, scrambled order
+    raw = ob.select(*PX, *[F.col(b).alias(a) for a, b in reversed(list(zip(BAND_ASSETS, BANDS)))])
+    return band_labels(raw)
+
+
+@register("complete_scenes", O.with_ctes(
+    "select item_id, count(distinct band) as n_bands from assets where band in "
+    "('blue', 'green', 'red', 'nir', 'swir1', 'swir2') group by item_id having count(distinct band) = 6",
+    "assets"))
+def q_complete_scenes(spark, sf_dir):
+    return Q.complete_scenes(fx.assets(spark, sf_dir))
+
+
+@register("year_axis", O.with_ctes(
+    "select year, x, y, strftime(make_date(year, 7, 15), '%Y-%m-%d') as time from median", "median"))
+def q_year_axis(spark, sf_dir):
+    m = median_mosaic(clean_obs(spark, sf_dir))
+    return m.select("year", "x", "y", F.date_format(P.mid_season_date("year"), "yyyy-MM-dd").alias("time"))
+
+
+# --------------------------------------------------------------------------- 2.3 masks
+def _mask_sql(cond_keep: str, src: str = "nd") -> str:
+    return O.with_ctes("select year, scene_id, x, y, " + ", ".join(
+        f"case when {cond_keep} then {b} end as {b}" for b in BANDS) + f" from {src}", src)
+
+
+@register("scl_mask", _mask_sql("not coalesce(scl, 0) in (0,1,3,7,8,9,10,11)"))
+def q_scl_mask(spark, sf_dir):
+    return M.scl_mask(nd_obs(spark, sf_dir)).select(*PX, *BANDS)
+
+
+@register("scl_mask_invalid", _mask_sql("not coalesce(scl, 0) in (3,7,8,9,10,11)"))
+def q_scl_mask_invalid(spark, sf_dir):
+    return M.scl_mask_invalid(nd_obs(spark, sf_dir)).select(*PX, *BANDS)
+
+
+@register("brightness_mask", _mask_sql("not coalesce(red > 2100 and green > 2100 and blue > 2100, false)"))
+def q_brightness_mask(spark, sf_dir):
+    return M.brightness_mask(nd_obs(spark, sf_dir)).select(*PX, *BANDS)
+
+
+def _sigma_sql(src: str) -> str:
+    mom = ", ".join(O.moments_sql(b) for b in BANDS)
+    keep = ", ".join(
+        f"case when cast(abs({b}_n * cast({b} as bigint) - {b}_s1) as double) <= "
+        f"3.0e0 * sqrt(cast({b}_n * {b}_s2 - {b}_s1 * {b}_s1 as double)) then {b} end as {b}"
+        for b in BANDS)
+    return (f"select year, scene_id, x, y, {keep} from {src} s left join "
+            f"(select scene_id, {mom} from {src} group by scene_id) st using (scene_id)")
+
+
+@register("outlier_mask", O.with_ctes(_sigma_sql("nd"), "nd"))
+def q_outlier_mask(spark, sf_dir):
+    return M.outlier_mask(nd_obs(spark, sf_dir)).select(*PX, *BANDS)
+
+
+@register("class_mask", O.with_ctes(
+    "select year, s.scene_id, s.x, s.y, " + ", ".join(
+        f"case when coalesce(m.cls = 0, false) then {b} end as {b}" for b in BANDS)
+    + " from nd s left join class_mask m on s.scene_id = m.scene_id and s.x = m.x and s.y = m.y",
+    "nd", "class_mask"))
+def q_class_mask(spark, sf_dir):
+    ob = fx.obs(spark, sf_dir)
+    nd = ob.withColumns({b: P.mask_nodata(b) for b in BANDS})
+    return M.apply_class_mask(nd, fx.class_mask(spark, sf_dir, ob)).select(*PX, *BANDS)
+
+
+@register("mask_layer", O.with_ctes(
+    "select l.scene_id, l.x, l.y, l.cls from class_mask_layers l join (select scene_id, "
+    "max(layer) + 1 as n from class_mask_layers group by scene_id) n on l.scene_id = n.scene_id "
+    "where l.layer = case when n.n = 3 then 1 else 0 end", "class_mask_layers"))
+def q_mask_layer(spark, sf_dir):
+    return M.select_mask_layer(fx.class_mask_layers(spark, sf_dir)).select("scene_id", "x", "y", "cls")
+
+
+@register("mask_alignment", O.with_ctes("select * from alignment", "alignment"))
+def q_mask_alignment(spark, sf_dir):
+    ob = fx.obs(spark, sf_dir)
+    return M.mask_alignment(ob, fx.class_mask(spark, sf_dir, ob))
+
+
+LOW_FIXTURE_THR = 2000  # the stand-in values are never <= 10; a threshold that fires
+
+
+@register("low_reflectance_mask", _mask_sql(
+    "not (" + " + ".join(f"coalesce(cast({b} <= {LOW_FIXTURE_THR} as int), 0)" for b in BANDS) + " >= 4)"))
+def q_low_reflectance_mask(spark, sf_dir):
+    return M.low_reflectance_mask(nd_obs(spark, sf_dir), thr=LOW_FIXTURE_THR).select(*PX, *BANDS)
+
+
+@register("all_zero_mask", O.with_ctes("select year, scene_id, x, y, " + ", ".join(
+    f"case when not coalesce({' and '.join(f'{c} = 0' for c in BANDS)}, false) then {b} end as {b}"
+    for b in BANDS) + " from obs", "obs"))
+def q_all_zero_mask(spark, sf_dir):
+    return M.all_zero_mask(fx.obs(spark, sf_dir)).select(*PX, *BANDS)
+
+
+@register("all_missing", O.with_ctes(
+    f"select year, scene_id, x, y, coalesce({_B}) is null as all_missing from clean", "clean"))
+def q_all_missing(spark, sf_dir):
+    c = clean_obs(spark, sf_dir)
+    return c.select(*PX, M.all_missing(c).alias("all_missing"))
+
+
+O.cte("bright", "select year, scene_id, x, y, " + ", ".join(
+    f"case when not coalesce(red > 2100 and green > 2100 and blue > 2100, false) then {b} end as {b}"
+    for b in BANDS) + " from clean", "clean")
+
+
+@register("mask_chain", O.with_ctes(_sigma_sql("bright"), "bright"))
+def q_mask_chain(spark, sf_dir):
+    return M.mask_chain(nd_obs(spark, sf_dir)).select(*PX, *BANDS)
+
+
+# --------------------------------------------------------------------------- 2.4 joins / reshapes
+@register("band_stack", O.with_ctes(
+    "select scene_id, x, y, " + ", ".join(f"max(case when band = '{b}' then v end) as {b}" for b in BANDS)
+    + " from obs_long group by scene_id, x, y", "obs_long"))
+def q_band_stack(spark, sf_dir):
+    return band_stack(fx.obs_long(spark, sf_dir))
+
+
+def _bilinear_sql() -> str:
+    agg = []
+    for b in ("swir1", "swir2"):
+        agg.append(f"cast(sum(cast({b} as bigint) * w) as double) / "
+                   f"cast(sum(case when {b} is not null then w end) as double) as {b}")
+    return O.with_ctes(f"""
+select scene_id, x, y, {', '.join(agg)}
+from (select b.scene_id, b.sx * 2 + kx.d as x, b.sy * 2 + ky.d as y, cast(kx.w * ky.w as bigint) as w,
+             b.swir1, b.swir2
+      from bands_20m b, (values (-1, 1), (0, 3), (1, 3), (2, 1)) kx(d, w),
+           (values (-1, 1), (0, 3), (1, 3), (2, 1)) ky(d, w)) e,
+     (select max(sx) + 1 as nx, max(sy) + 1 as ny from bands_20m) ext
+where x >= 0 and y >= 0 and x < nx * 2 and y < ny * 2
+group by scene_id, x, y
+having sum(case when swir1 is not null then w end) is not null
+    or sum(case when swir2 is not null then w end) is not null""", "bands_20m")
+
+
+@register("resample_bilinear", _bilinear_sql())
+def q_resample_bilinear(spark, sf_dir):
+    return R.resample_bilinear(fx.bands_20m(spark, sf_dir), ["swir1", "swir2"])
+
+
+@register("resample_nearest", O.with_ctes(
+    "select scene_id, x * 2 + dx as x, y * 2 + dy as y, cls from class_mask, "
+    "(values (0), (1)) a(dx), (values (0), (1)) b(dy)", "class_mask"))
+def q_resample_nearest(spark, sf_dir):
+    cm = fx.class_mask(spark, sf_dir).withColumnsRenamed({"x": "sx", "y": "sy"})
+    return R.resample_nearest(cm, ["cls"])
+
+
+@register("stack_scenes", O.with_ctes(
+    "select year, scene_id, x, y, " + ", ".join(f"max({b}) as {b}" for b in BANDS) + " from ("
+    "select year, scene_id, x, y, blue, green, red, nir, null as swir1, null as swir2 from nd "
+    "union all select year, scene_id, x, y, null, null, null, null, swir1, swir2 from nd) u "
+    "group by year, scene_id, x, y", "nd"))
+def q_stack_scenes(spark, sf_dir):
+    nd = nd_obs(spark, sf_dir)
+    b10 = nd.select(*PX, "blue", "green", "red", "nir")
+    b20 = nd.select(*PX, "swir1", "swir2")
+    st = stack_scenes(b10, b20)
+    return st.groupBy(*PX).agg(*[F.max(b).alias(b) for b in BANDS])
+
+
+# --------------------------------------------------------------------------- 2.5 aggregates
+@register("aoi_quality", O.with_ctes(
+    "select year, scene_id, n_present, n_valid, n_bad, expected, coverage, cloud_ratio from quality_r",
+    "quality_r"))
+def q_aoi_quality(spark, sf_dir):
+    ob = fx.obs(spark, sf_dir)
+    return Q.aoi_quality(ob, grid_expected(ob), by=("year", "scene_id"))
+
+
+@register("aoi_filter", O.with_ctes(
+    "select year, scene_id, x, y, scl from obs where scene_id in (select scene_id from quality_r "
+    "where n_present > 0 and n_valid > 0 and cloud_ratio <= 0.5e0 and coverage >= 0.1e0)",
+    "obs", "quality_r"))
+def q_aoi_filter(spark, sf_dir):
+    ob = fx.obs(spark, sf_dir)
+    return Q.aoi_filter(ob, grid_expected(ob)).select(*PX, "scl")
+
+
+def _q_sql() -> str:
+    cols = ", ".join(f"{O.pack(O.nearest_q_sql(f'case when {b} > 0 then {b} end', q))} as {b}"
+                     for b, q in QUANTILE_BY_BAND.items())
+    return O.with_ctes(f"select year, x, y, {cols} from clean group by year, x, y", "clean")
+
+
+@register("quantile_mosaic", _q_sql())
+def q_quantile_mosaic(spark, sf_dir):
+    return quantile_mosaic(clean_obs(spark, sf_dir))
+
+
+@register("scene_stats", O.with_ctes("select scene_id, " + ", ".join(
+    f"{b}_n, {b}_s1, {b}_s2, cast({b}_s1 as double) / nullif(cast({b}_n as double), 0.0e0) as {b}_mean, "
+    f"sqrt(greatest(cast({b}_n as double) * cast({b}_s2 as double) - cast({b}_s1 as double) * "
+    f"cast({b}_s1 as double), 0.0e0)) / nullif(cast({b}_n as double), 0.0e0) as {b}_std"
+    for b in BANDS) + " from (select scene_id, " + ", ".join(O.moments_sql(b) for b in BANDS)
+    + " from nd group by scene_id) m", "nd"))
+def q_scene_stats(spark, sf_dir):
+    return Q.scene_stats(nd_obs(spark, sf_dir))
+
+
+@register("bbox_union", O.with_ctes(
+    "select grid_code, cast(year(ts) as int) as year, min(west) as west, min(south) as south, "
+    "max(east) as east, max(north) as north from scenes group by grid_code, year(ts)", "scenes"))
+def q_bbox_union(spark, sf_dir):
+    return Q.bbox_union(scenes_y(spark, sf_dir), by=("grid_code", "year"))
+
+
+# --------------------------------------------------------------------------- 2.6 UDF hook
+@register("classify_tiles", O.with_ctes(
+    "select scene_id, x, y, cast(case when red + green + nir > 9000 then 1 else 0 end as int) as cls "
+    "from nd", "nd"))
+def q_classify_tiles(spark, sf_dir):
+    return classify_tiles(nd_obs(spark, sf_dir), bright_rule, tile=fx.TILE, halo=2)

@@ -155,3 +155,22 @@ def assets_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.groupBy("item_id").agg(
         F.concat(F.lit("{"), F.array_join(F.sort_array(F.collect_list(
             _asset_json(F.col("item_id"), F.col("asset")))), ","), F.lit("}")).alias("assets"))
+
+
+def aois(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Areas of interest, one 0.5 x 0.5 degree lon/lat box per customer."""
+    c = F.col("c_custkey")
+    west = F.lit(-179.75) + ((c * 53) % 359).cast("double")
+    south = F.lit(-69.75) + ((c * 7) % 139).cast("double")
+    return table(spark, sf_dir, "customer").select(
+        c.alias("aoi_id"), west.alias("west"), south.alias("south"),
+        (west + 0.5).alias("east"), (south + 0.5).alias("north"))
+
+
+def class_mask_layers(spark: SparkSession, sf_dir: str, cm: DataFrame | None = None) -> DataFrame:
+    """Class masks as the classifier returns them: three layers for even
+    scenes, one layer otherwise; ``(scene_id, x, y, layer, cls)``."""
+    cm = cm if cm is not None else class_mask(spark, sf_dir)
+    n = F.when(F.col("scene_id") % 2 == 0, 2).otherwise(0)
+    return cm.select("scene_id", "x", "y", "cls", F.explode(F.sequence(F.lit(0), n)).alias("layer")) \
+        .select("scene_id", "x", "y", "layer", ((F.col("cls") + F.col("layer")) % 4).cast("int").alias("cls"))
