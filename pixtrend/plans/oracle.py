@@ -185,7 +185,7 @@ group by scene_id""", "obs", "class_mask")
 cte("status", """
 select q.*, a.aligned,
        case when n_present = 0 then 'no_data' when n_valid = 0 then 'no_valid'
-            when cloud_ratio > 0.5e0 then 'cloudy' when coverage < 0.1e0 then 'low_coverage'
+            when cloud_ratio > 0.55e0 then 'cloudy' when coverage < 0.1e0 then 'low_coverage'
             when not coalesce(a.aligned, false) then 'misaligned' else 'ok' end as status
 from quality_r q left join alignment a using (scene_id)""", "quality_r", "alignment")
 

@@ -185,11 +185,17 @@ def q_missing_years(spark, sf_dir):
     return C.missing_years(median_mosaic(clean_obs(spark, sf_dir)), 1993, 2003)
 
 
+# The stand-in SCL codes are uniform over 0..11, so every scene is ~55 %
+# "cloudy"; the workflow's 0.5 would reject all of them.  The fixture queries
+# use 0.55 so that scenes fall on both sides.
+FIXTURE_CLOUD_THRESH = 0.55
+
+
 def _status(spark, sf_dir):
     ob = fx.obs(spark, sf_dir)
     q = Q.aoi_quality(ob, grid_expected(ob), by=("year", "scene_id"))
     al = M.mask_alignment(ob, fx.class_mask(spark, sf_dir, ob))
-    return Q.scene_status(q, al)
+    return Q.scene_status(q, al, cloud_thresh=FIXTURE_CLOUD_THRESH)
 
 
 @register("scene_status", O.with_ctes(
@@ -304,7 +310,7 @@ def q_coverage_filter(spark, sf_dir):
     return SP.coverage_filter(cov).select("aoi_id", "item_id", "coverage_ratio")
 
 
-CLIP_BOUNDS_M = (300.0, 200.0, 1234.0, 777.0)   # xmin, ymin, xmax, ymax in grid metres
+CLIP_BOUNDS_M = (300.0, 15.0, 1234.0, 77.0)   # xmin, ymin, xmax, ymax in grid metres
 
 
 def clip_index_range(bounds, x0: float = 0.0, y0: float = 0.0, res: float = fx.PIXEL_M):
@@ -581,11 +587,11 @@ def q_aoi_quality(spark, sf_dir):
 
 @register("aoi_filter", O.with_ctes(
     "select year, scene_id, x, y, scl from obs where scene_id in (select scene_id from quality_r "
-    "where n_present > 0 and n_valid > 0 and cloud_ratio <= 0.5e0 and coverage >= 0.1e0)",
+    "where n_present > 0 and n_valid > 0 and cloud_ratio <= 0.55e0 and coverage >= 0.1e0)",
     "obs", "quality_r"))
 def q_aoi_filter(spark, sf_dir):
     ob = fx.obs(spark, sf_dir)
-    return Q.aoi_filter(ob, grid_expected(ob)).select(*PX, "scl")
+    return Q.aoi_filter(ob, grid_expected(ob), cloud_thresh=FIXTURE_CLOUD_THRESH).select(*PX, "scl")
 
 
 def _q_sql() -> str:
