@@ -628,3 +628,42 @@ def q_bbox_union(spark, sf_dir):
     "from nd", "nd"))
 def q_classify_tiles(spark, sf_dir):
     return classify_tiles(nd_obs(spark, sf_dir), bright_rule, tile=fx.TILE, halo=2)
+
+
+# --------------------------------------------------------------------------- 2.1 sinks / scans
+from pixtrend.session import new_scratch_path  # noqa: E402
+from pixtrend.sources.io import read_mosaic, read_scenes, write_mosaic  # noqa: E402
+from pixtrend.streaming.incremental import mask_scenes_stream  # noqa: E402
+
+
+@register("write_mosaic", O.with_ctes("select * from median", "median"))
+def q_write_mosaic(spark, sf_dir):
+    """Median mosaic written partitioned by year, clustered by tile; read back."""
+    path = new_scratch_path(spark, "median")
+    m = median_mosaic(clean_obs(spark, sf_dir)).withColumns({
+        "tile_x": F.floor(F.col("x") / fx.TILE).cast("int"),
+        "tile_y": F.floor(F.col("y") / fx.TILE).cast("int")})
+    write_mosaic(m, path)
+    return read_mosaic(spark, path).select("year", "x", "y", *BANDS)
+
+
+@register("read_scenes", O.with_ctes(f"select year, scene_id, x, y, {_B}, scl from nd", "nd"))
+def q_read_scenes(spark, sf_dir):
+    """Scene stack written as files (nodata kept as 0), scanned recursively by
+    glob with the nodata-aware read."""
+    path = new_scratch_path(spark, "scenes")
+    write_mosaic(fx.obs(spark, sf_dir), path, partition_by=(), cluster=("year", "scene_id"))
+    df = read_scenes(spark, path, pattern="*.parquet", recursive=True)
+    return df.select("year", "scene_id", "x", "y", *BANDS, "scl")
+
+
+@register("mask_scenes_stream", O.with_ctes(_sigma_sql("bright"), "bright"))
+def q_mask_scenes_stream(spark, sf_dir):
+    """Incremental masking job: scenes land as files, a file stream masks the
+    new ones (SCL -> brightness -> sigma) and appends them per epoch."""
+    src = new_scratch_path(spark, "incoming")
+    nd = nd_obs(spark, sf_dir)
+    write_mosaic(nd, src, partition_by=("scene_id",), cluster=("scene_id",))
+    dst = new_scratch_path(spark, "masked")
+    mask_scenes_stream(spark, src, dst, new_scratch_path(spark, "stream-ckpt"))
+    return spark.read.parquet(dst).select(*PX, *BANDS)
