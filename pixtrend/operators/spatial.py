@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pixtrend.constants import AOI_MIN_COVERAGE_RATIO
-from pixtrend.functions.geo import (bbox_ring, coverage_ratio_projected, project_ring,
-                                   let, ring_area_signed, utm_epsg)
+from pixtrend.functions.geo import utm_epsg, with_convex_coverage
+from pixtrend.session import ensure_jit_friendly_codegen
 
 
 def _cells(df: DataFrame, cell: float, prefix: str) -> DataFrame:
@@ -41,18 +41,15 @@ def aoi_scene_pairs(scenes: DataFrame, aois: DataFrame, cell: float = 1.0) -> Da
 
 def aoi_coverage(scenes: DataFrame, aois: DataFrame, cell: float = 1.0) -> DataFrame:
     """Coverage ratio of every intersecting (AOI, scene) pair, projected to the
-    UTM zone of the AOI centre."""
+    UTM zone of the AOI centre.  Convex footprints (the normal case) take a
+    code-generated closed form; other rings the general polygon clip."""
+    ensure_jit_friendly_codegen(scenes.sparkSession)
     p = aoi_scene_pairs(scenes, aois, cell)
     epsg = utm_epsg((F.col("a_west") + F.col("a_east")) / 2, (F.col("a_south") + F.col("a_north")) / 2)
     p = p.select("aoi_id", "item_id", epsg.alias("epsg"), "ring", "a_west", "a_south", "a_east",
                  "a_north")
-    # project every vertex once, bind the rings, then clip and measure
-    rings = F.struct(project_ring("ring", F.col("epsg")).alias("fp"),
-                     project_ring(bbox_ring("a_west", "a_south", "a_east", "a_north"),
-                                  F.col("epsg")).alias("aoi"))
-    ratio = let(rings, lambda r: let(F.signum(ring_area_signed(r["aoi"])), lambda o:
-                                     coverage_ratio_projected(r["fp"], r["aoi"], o)))
-    return p.select("aoi_id", "item_id", "epsg", ratio.alias("coverage_ratio"))
+    p = with_convex_coverage(p, "ring", ("a_west", "a_south", "a_east", "a_north"), "epsg")
+    return p.select("aoi_id", "item_id", "epsg", "coverage_ratio")
 
 
 def coverage_filter(coverage: DataFrame, min_ratio: float = AOI_MIN_COVERAGE_RATIO) -> DataFrame:

@@ -18,9 +18,20 @@ DEFAULT_CONF = {
     # per-pixel medians keep one value->count map per group; let the hash
     # aggregate hold more groups before it falls back to sort-based
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+    # HotSpot does not JIT-compile methods above 8000 bytes of bytecode; a
+    # fused stage beyond that would run interpreted.  Spark's documented
+    # setting for HotSpot makes such stages fall back to per-operator codegen.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
+def ensure_jit_friendly_codegen(spark: SparkSession) -> None:
+    """Apply the HotSpot huge-method limit to a session that still has Spark's
+    default (used by jobs with very wide generated expressions)."""
+    if spark.conf.get("spark.sql.codegen.hugeMethodLimit", "65535") == "65535":
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def get_spark(master: str | None = None, partitions: int | None = None,
               app: str = "pixtrend", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings the jobs assume."""
