@@ -240,22 +240,41 @@ def point_in_polygon_lit(px, py, coords) -> Column:
 
 
 # --------------------------------------------------------------------------- convex fast path
-def _cross(ax, ay, bx, by):
-    return ax * by - ay * bx
+# The closed form below has a few thousand operators.  It is written as Spark
+# SQL expression text and applied stage by stage with ``selectExpr`` (one
+# call per expression instead of one per operator), over plain columns.
+_PI = "3.141592653589793"
 
 
-def _sum(cols):
-    out = F.lit(0.0)
-    for c in cols:
-        out = out + F.coalesce(c, F.lit(0.0))
-    return out
+def _x(a, b) -> str:
+    return f"(({a[0]}) * ({b[1]}) - ({a[1]}) * ({b[0]}))"
 
 
-def _any(conds):
-    out = F.lit(False)
-    for c in conds:
-        out = out | F.coalesce(c, F.lit(False))
-    return out
+def _sum_sql(parts) -> str:
+    return "(" + " + ".join(f"coalesce({p}, 0D)" for p in parts) + ")"
+
+
+def _any_sql(parts) -> str:
+    return "(" + " OR ".join(f"coalesce({p}, false)" for p in parts) + ")"
+
+
+def utm_xy_sql(lon: str, lat: str, epsg: str) -> tuple[str, str]:
+    """Spark SQL text of ``utm_xy`` (same series, same operation order)."""
+    lam = f"radians({lon} - ({epsg} % 100 * 6 - 183))"
+    s = f"sin(radians({lat}))"
+    e = repr(_E)
+    t = f"sinh(atanh({s}) - {e}D * atanh({e}D * {s}))"
+    xi_p = f"atan2({t}, cos({lam}))"
+    eta_p = f"atanh(sin({lam}) / sqrt(1.0D + {t} * {t}))"
+    xi, eta = xi_p, eta_p
+    for j, a in enumerate(_ALPHA, start=1):
+        xi = f"({xi} + {a!r}D * sin({2 * j} * {xi_p}) * cosh({2 * j} * {eta_p}))"
+        eta = f"({eta} + {a!r}D * cos({2 * j} * {xi_p}) * sinh({2 * j} * {eta_p}))"
+    k = repr(UTM_K0 * _RECT_A)
+    x = f"({UTM_FALSE_EASTING!r}D + {k}D * {eta})"
+    y = (f"(CASE WHEN {epsg} >= 32700 THEN {UTM_FALSE_NORTHING_SOUTH!r}D ELSE 0.0D END"
+         f" + {k}D * {xi})")
+    return x, y
 
 
 def _overlap_stages(df, k: int):
@@ -267,98 +286,83 @@ def _overlap_stages(df, k: int):
     F; each part is found by Liang–Barsky clipping against the other convex
     polygon and contributes ``(t1 - t0) * cross(P, Q - P) / 2``.  Collinear
     overlaps are counted once (F's edge if same direction, neither if
-    opposite).  Every stage is a narrow projection over plain columns, so the
-    expressions stay small and code-generated.
+    opposite).  Every stage is a narrow projection over plain columns.
     Adds ``_inter``, ``_area_a`` and ``_convex``.
     """
-    n = F.col("_n")
-    fx = [F.col(f"_fx{i}") for i in range(k)]
-    fy = [F.col(f"_fy{i}") for i in range(k)]
-    ax = [F.col(f"_ax{j}") for j in range(4)]
-    ay = [F.col(f"_ay{j}") for j in range(4)]
+    f = [(f"_fx{i}", f"_fy{i}") for i in range(k)]
+    a = [(f"_ax{j}", f"_ay{j}") for j in range(4)]
 
-    def nxt(vals, i):
-        e = F.when(F.lit(i + 1) == n, vals[0])
-        return e.when(F.lit(i + 1) < n, vals[i + 1]) if i + 1 < k else e
+    def nxt(name, i):
+        if i + 1 < k:
+            return (f"(CASE WHEN _n = {i + 1} THEN {name}0 WHEN _n > {i + 1} THEN {name}{i + 1} END)")
+        return f"(CASE WHEN _n = {i + 1} THEN {name}0 END)"
+
+    def stage(exprs: dict, frame):
+        return frame.selectExpr("*", *[f"{v} AS {c}" for c, v in exprs.items()])
 
     st = {}
     for i in range(k):
-        st[f"_v{i}"] = F.lit(i) < n
-        st[f"_ex{i}"] = nxt(fx, i) - fx[i]
-        st[f"_ey{i}"] = nxt(fy, i) - fy[i]
+        st[f"_v{i}"] = f"({i} < _n)"
+        st[f"_ex{i}"] = f"({nxt('_fx', i)} - _fx{i})"
+        st[f"_ey{i}"] = f"({nxt('_fy', i)} - _fy{i})"
     for j in range(4):
-        st[f"_bx{j}"] = ax[(j + 1) % 4] - ax[j]
-        st[f"_by{j}"] = ay[(j + 1) % 4] - ay[j]
-    df = df.withColumns(st)
-    v = [F.col(f"_v{i}") for i in range(k)]
-    ex = [F.col(f"_ex{i}") for i in range(k)]
-    ey = [F.col(f"_ey{i}") for i in range(k)]
-    bx = [F.col(f"_bx{j}") for j in range(4)]
-    by = [F.col(f"_by{j}") for j in range(4)]
-
-    st = {"_area_f": _sum(F.when(v[i], _cross(fx[i], fy[i], ex[i], ey[i])) for i in range(k)) / 2,
-          "_area_as": _sum(_cross(ax[j], ay[j], bx[j], by[j]) for j in range(4)) / 2}
-    for i in range(k):  # turn from edge i to the next edge
-        st[f"_tc{i}"] = F.when(v[i], _cross(ex[i], ey[i], nxt(ex, i), nxt(ey, i)))
-        st[f"_td{i}"] = F.when(v[i], ex[i] * nxt(ex, i) + ey[i] * nxt(ey, i))
-    df = df.withColumns(st)
-    sf, sa = F.signum("_area_f"), F.signum("_area_as")
-
-    st = {"_sf": sf, "_sa": sa, "_area_a": F.abs(F.col("_area_as")),
-          "_turn": _sum(F.when(v[i], F.atan2(f"_tc{i}", f"_td{i}")) for i in range(k))}
+        st[f"_bx{j}"] = f"(_ax{(j + 1) % 4} - _ax{j})"
+        st[f"_by{j}"] = f"(_ay{(j + 1) % 4} - _ay{j})"
+    df = stage(st, df)
+    e = [(f"_ex{i}", f"_ey{i}") for i in range(k)]
+    b = [(f"_bx{j}", f"_by{j}") for j in range(4)]
+
+    st = {"_area_f": _sum_sql(f"CASE WHEN _v{i} THEN {_x(f[i], e[i])} END" for i in range(k)) + " / 2",
+          "_area_as": _sum_sql(_x(a[j], b[j]) for j in range(4)) + " / 2"}
     for i in range(k):
-        st[f"_cv{i}"] = ~v[i] | (F.col(f"_tc{i}") * sf > 0)
-    df = df.withColumns(st)
-    sf, sa = F.col("_sf"), F.col("_sa")
+        ne = (nxt("_ex", i), nxt("_ey", i))
+        st[f"_tc{i}"] = f"CASE WHEN _v{i} THEN {_x(e[i], ne)} END"
+        st[f"_td{i}"] = f"CASE WHEN _v{i} THEN (_ex{i} * {ne[0]} + _ey{i} * {ne[1]}) END"
+    df = stage(st, df)
 
-    convex = (n >= 3) & (n <= k) & (F.abs("_turn") < 3 * 3.141592653589793)
+    st = {"_sf": "signum(_area_f)", "_sa": "signum(_area_as)", "_area_a": "abs(_area_as)",
+          "_turn": _sum_sql(f"CASE WHEN _v{i} THEN atan2(_tc{i}, _td{i}) END" for i in range(k))}
     for i in range(k):
-        convex = convex & F.col(f"_cv{i}")
-    st = {"_convex": convex}
+        st[f"_cv{i}"] = f"(NOT _v{i} OR _tc{i} * signum(_area_f) > 0)"
+    df = stage(st, df)
+
+    conv = [f"_n >= 3", f"_n <= {k}", f"abs(_turn) < 3 * {_PI}"] + [f"_cv{i}" for i in range(k)]
+    st = {"_convex": "(" + " AND ".join(conv) + ")"}
     for i in range(k):
         for j in range(4):
-            # F edge i (from f_i along e_i) against the half-plane of A edge j
-            st[f"_fn{i}_{j}"] = _cross(bx[j], by[j], fx[i] - ax[j], fy[i] - ay[j]) * sa
-            st[f"_fd{i}_{j}"] = _cross(bx[j], by[j], ex[i], ey[i]) * sa
-            st[f"_fo{i}_{j}"] = bx[j] * ex[i] + by[j] * ey[i]
-            # A edge j (from a_j along b_j) against the half-plane of F edge i
-            st[f"_an{j}_{i}"] = F.when(v[i], _cross(ex[i], ey[i], ax[j] - fx[i], ay[j] - fy[i]) * sf)
-            st[f"_ad{j}_{i}"] = F.when(v[i], _cross(ex[i], ey[i], bx[j], by[j]) * sf)
-    df = df.withColumns(st)
+            rel = (f"({f[i][0]} - {a[j][0]})", f"({f[i][1]} - {a[j][1]})")
+            st[f"_fn{i}_{j}"] = f"({_x(b[j], rel)} * _sa)"
+            st[f"_fd{i}_{j}"] = f"({_x(b[j], e[i])} * _sa)"
+            st[f"_fo{i}_{j}"] = f"(_bx{j} * _ex{i} + _by{j} * _ey{i})"
+            rel2 = (f"({a[j][0]} - {f[i][0]})", f"({a[j][1]} - {f[i][1]})")
+            st[f"_an{j}_{i}"] = f"CASE WHEN _v{i} THEN {_x(e[i], rel2)} * _sf END"
+            st[f"_ad{j}_{i}"] = f"CASE WHEN _v{i} THEN {_x(e[i], b[j])} * _sf END"
+    df = stage(st, df)
 
     def t(num, den):
-        return -num / F.nullif(den, F.lit(0.0))
+        return f"(-{num} / nullif({den}, 0D))"
 
     st = {}
     for i in range(k):
-        nn = [F.col(f"_fn{i}_{j}") for j in range(4)]
-        dd = [F.col(f"_fd{i}_{j}") for j in range(4)]
-        oo = [F.col(f"_fo{i}_{j}") for j in range(4)]
-        st[f"_flo{i}"] = F.greatest(F.lit(0.0), *[F.when(d > 0, t(a, d)) for a, d in zip(nn, dd)])
-        st[f"_fhi{i}"] = F.least(F.lit(1.0), *[F.when(d < 0, t(a, d)) for a, d in zip(nn, dd)])
-        st[f"_fem{i}"] = _any((d == 0) & ((a < 0) | ((a == 0) & (o < 0))) for a, d, o in zip(nn, dd, oo))
+        nd = [(f"_fn{i}_{j}", f"_fd{i}_{j}", f"_fo{i}_{j}") for j in range(4)]
+        st[f"_flo{i}"] = "greatest(0D, " + ", ".join(f"CASE WHEN {d} > 0 THEN {t(n, d)} END" for n, d, _ in nd) + ")"
+        st[f"_fhi{i}"] = "least(1D, " + ", ".join(f"CASE WHEN {d} < 0 THEN {t(n, d)} END" for n, d, _ in nd) + ")"
+        st[f"_fem{i}"] = _any_sql(f"({d} = 0 AND ({n} < 0 OR ({n} = 0 AND {o} < 0)))" for n, d, o in nd)
     for j in range(4):
-        nn = [F.col(f"_an{j}_{i}") for i in range(k)]
-        dd = [F.col(f"_ad{j}_{i}") for i in range(k)]
-        st[f"_alo{j}"] = F.greatest(F.lit(0.0), *[F.when(d > 0, t(a, d)) for a, d in zip(nn, dd)])
-        st[f"_ahi{j}"] = F.least(F.lit(1.0), *[F.when(d < 0, t(a, d)) for a, d in zip(nn, dd)])
-        st[f"_aem{j}"] = _any((d == 0) & (a <= 0) for a, d in zip(nn, dd))
-    df = df.withColumns(st)
-
-    parts = []
-    for i in range(k):
-        lo, hi = F.col(f"_flo{i}"), F.col(f"_fhi{i}")
-        parts.append(F.when(v[i] & ~F.col(f"_fem{i}") & (lo < hi),
-                            (hi - lo) * _cross(fx[i], fy[i], ex[i], ey[i]) / 2 * sf))
-    for j in range(4):
-        lo, hi = F.col(f"_alo{j}"), F.col(f"_ahi{j}")
-        parts.append(F.when(~F.col(f"_aem{j}") & (lo < hi),
-                            (hi - lo) * _cross(ax[j], ay[j], bx[j], by[j]) / 2 * sa))
-    df = df.withColumn("_inter", _sum(parts))
-    keep = {"_inter", "_area_a", "_convex"}
-    tmp = [c for c in df.columns if c.startswith("_") and c not in keep
-           and not c.startswith(("_fx", "_fy", "_ax", "_ay")) and c != "_n"]
-    return df.drop(*tmp)
+        nd = [(f"_an{j}_{i}", f"_ad{j}_{i}") for i in range(k)]
+        st[f"_alo{j}"] = "greatest(0D, " + ", ".join(f"CASE WHEN {d} > 0 THEN {t(n, d)} END" for n, d in nd) + ")"
+        st[f"_ahi{j}"] = "least(1D, " + ", ".join(f"CASE WHEN {d} < 0 THEN {t(n, d)} END" for n, d in nd) + ")"
+        st[f"_aem{j}"] = _any_sql(f"({d} = 0 AND {n} <= 0)" for n, d in nd)
+    df = stage(st, df)
+
+    parts = [f"CASE WHEN _v{i} AND NOT _fem{i} AND _flo{i} < _fhi{i} THEN "
+             f"(_fhi{i} - _flo{i}) * {_x(f[i], e[i])} / 2 * _sf END" for i in range(k)]
+    parts += [f"CASE WHEN NOT _aem{j} AND _alo{j} < _ahi{j} THEN "
+              f"(_ahi{j} - _alo{j}) * {_x(a[j], b[j])} / 2 * _sa END" for j in range(4)]
+    df = stage({"_inter": _sum_sql(parts)}, df)
+    keep = {"_inter", "_area_a", "_convex", "_n", "_a0", "_a1", "_a2", "_a3"}
+    return df.drop(*[c for c in df.columns if c.startswith("_") and c not in keep
+                     and not c.startswith(("_fx", "_fy", "_ax", "_ay"))])
 
 
 def with_convex_coverage(df, ring_ll, aoi, epsg, out: str = "coverage_ratio",
@@ -373,32 +377,29 @@ def with_convex_coverage(df, ring_ll, aoi, epsg, out: str = "coverage_ratio",
     """
     k = max_vertices
     w, s, e, n_ = aoi
-    ring = F.col(ring_ll)
-    n0 = F.size(ring)
-    first, last = F.get(ring, 0), F.get(ring, n0 - 1)
-    closed = (n0 > 1) & (first["x"] == last["x"]) & (first["y"] == last["y"])
-    corners = [(w, s), (e, s), (e, n_), (w, n_)]
-    cols = {"_n": F.when(closed, n0 - 1).otherwise(n0)}
-    for i, (lon, lat) in enumerate(corners):
-        cols[f"_a{i}"] = utm_xy(F.col(lon), F.col(lat), F.col(epsg))
-    for i in range(k):
-        v = F.get(ring, i)
-        cols[f"_f{i}"] = utm_xy(v["x"], v["y"], F.col(epsg))
-    staged = df.withColumns(cols)
-    ox, oy = F.col("_a0.x"), F.col("_a0.y")
-    rel = {}
-    for i in range(4):
-        rel[f"_ax{i}"] = F.col(f"_a{i}.x") - ox
-        rel[f"_ay{i}"] = F.col(f"_a{i}.y") - oy
+    r = ring_ll
+    proj = {"_n": f"CASE WHEN size({r}) > 1 AND {r}[0].x = {r}[size({r}) - 1].x AND "
+                  f"{r}[0].y = {r}[size({r}) - 1].y THEN size({r}) - 1 ELSE size({r}) END"}
+    for i, (lon, lat) in enumerate([(w, s), (e, s), (e, n_), (w, n_)]):
+        x, y = utm_xy_sql(lon, lat, epsg)
+        proj[f"_a{i}"] = f"named_struct('x', {x}, 'y', {y})"
     for i in range(k):
-        rel[f"_fx{i}"] = F.col(f"_f{i}.x") - ox
-        rel[f"_fy{i}"] = F.col(f"_f{i}.y") - oy
-    staged = staged.withColumns(rel).drop(*[f"_a{i}" for i in range(4)], *[f"_f{i}" for i in range(k)])
+        x, y = utm_xy_sql(f"get({r}, {i}).x", f"get({r}, {i}).y", epsg)
+        proj[f"_f{i}"] = f"named_struct('x', {x}, 'y', {y})"
+    staged = df.selectExpr("*", *[f"{v} AS {c}" for c, v in proj.items()])
+    rel = [f"_a{i}.x - _a0.x AS _ax{i}" for i in range(4)] + [f"_a{i}.y - _a0.y AS _ay{i}" for i in range(4)]
+    rel += [f"_f{i}.x - _a0.x AS _fx{i}" for i in range(k)] + [f"_f{i}.y - _a0.y AS _fy{i}" for i in range(k)]
+    staged = staged.selectExpr("*", *rel).drop(*[f"_f{i}" for i in range(k)])
     staged = _overlap_stages(staged, k)
     fast = F.coalesce(F.col("_inter") / F.nullif(F.col("_area_a"), F.lit(0.0)), F.lit(0.0))
-    slow = coverage_ratio(ring, F.col(w), F.col(s), F.col(e), F.col(n_), F.col(epsg))
+    # exact general path: every vertex projected inside one lambda, clipped by
+    # the projected AOI corners
+    px, py = utm_xy_sql("p.x", "p.y", epsg)
+    fp = F.expr(f"transform({r}, p -> named_struct('x', {px}, 'y', {py}))")
+    slow = coverage_ratio_projected(fp, F.array(*[F.col(f"_a{i}") for i in range(4)]))
     res = staged.withColumn(out, F.when(F.coalesce(F.col("_convex"), F.lit(False)), fast)
                             .otherwise(slow))
-    return res.drop("_n", "_inter", "_area_a", "_convex", *[f"_ax{i}" for i in range(4)],
+    return res.drop("_n", "_inter", "_area_a", "_convex", *[f"_a{i}" for i in range(4)],
+                    *[f"_ax{i}" for i in range(4)],
                     *[f"_ay{i}" for i in range(4)], *[f"_fx{i}" for i in range(k)],
                     *[f"_fy{i}" for i in range(k)])

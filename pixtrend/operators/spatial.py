@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pixtrend.constants import AOI_MIN_COVERAGE_RATIO
 from pixtrend.functions.geo import utm_epsg, with_convex_coverage
-from pixtrend.session import ensure_jit_friendly_codegen
+from pixtrend.session import ensure_jit_friendly_codegen, scratch_dir
 
 
 def _cells(df: DataFrame, cell: float, prefix: str) -> DataFrame:
@@ -49,7 +49,13 @@ def aoi_coverage(scenes: DataFrame, aois: DataFrame, cell: float = 1.0) -> DataF
     p = p.select("aoi_id", "item_id", epsg.alias("epsg"), "ring", "a_west", "a_south", "a_east",
                  "a_north")
     p = with_convex_coverage(p, "ring", ("a_west", "a_south", "a_east", "a_north"), "epsg")
-    return p.select("aoi_id", "item_id", "epsg", "coverage_ratio")
+    out = p.select("aoi_id", "item_id", "epsg", "coverage_ratio")
+    # The pair table is catalogue-sized (a few scenes per AOI).  Writing it to
+    # the shared checkpoint folder fixes the staged closed form: a later filter
+    # on ``coverage_ratio`` would otherwise be pushed below the stages by
+    # substituting their expressions into one very large predicate.
+    scratch_dir(out.sparkSession)
+    return out.checkpoint(eager=True)
 
 
 def coverage_filter(coverage: DataFrame, min_ratio: float = AOI_MIN_COVERAGE_RATIO) -> DataFrame:
