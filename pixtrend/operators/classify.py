@@ -56,15 +56,18 @@ def classify_tiles(obs: DataFrame, fn: Callable[..., np.ndarray], tile: int = 51
     ty = F.floor(F.col("y") / tile).cast("int")
     base = obs.select("scene_id", "x", "y", *bands)
     if halo > 0:
-        # every pixel goes to its own tile and, near an edge, to the neighbours
+        # every pixel goes to its own tile and, within ``halo`` of an edge, to
+        # each neighbouring tile once: an offset is kept only if every shifted
+        # axis really lands in another tile (no duplicates, no aggregation)
         off = F.sequence(F.lit(-1), F.lit(1))
         ex = base.select("*", F.explode(off).alias("_dx")).select("*", F.explode(off).alias("_dy"))
         ntx = F.floor((F.col("x") + F.col("_dx") * halo) / tile).cast("int")
         nty = F.floor((F.col("y") + F.col("_dy") * halo) / tile).cast("int")
-        ex = ex.select(*base.columns, ntx.alias("_tx"), nty.alias("_ty"),
-                       ((F.col("_dx") == 0) & (F.col("_dy") == 0)).alias("_own"))
-        ex = ex.groupBy(*base.columns, "_tx", "_ty").agg(F.max("_own").alias("_own"))
-        ex = ex.withColumn("_core", (F.col("_tx") == tx) & (F.col("_ty") == ty))
+        ex = ex.select(*base.columns, "_dx", "_dy", ntx.alias("_tx"), nty.alias("_ty"), tx.alias("_ox"),
+                       ty.alias("_oy"))
+        ex = ex.filter(((F.col("_dx") == 0) | (F.col("_tx") != F.col("_ox"))) &
+                       ((F.col("_dy") == 0) | (F.col("_ty") != F.col("_oy"))))
+        ex = ex.withColumn("_core", (F.col("_dx") == 0) & (F.col("_dy") == 0))
     else:
         ex = base.select("*", tx.alias("_tx"), ty.alias("_ty"), F.lit(True).alias("_core"))
     ex = ex.select("scene_id", "x", "y", *bands, "_tx", "_ty", "_core")

@@ -39,7 +39,16 @@ def aoi_scene_pairs(scenes: DataFrame, aois: DataFrame, cell: float = 1.0) -> Da
     return j.filter(keep).drop("_cx", "_cy")
 
 
-def aoi_coverage(scenes: DataFrame, aois: DataFrame, cell: float = 1.0) -> DataFrame:
+def ring_vertex_slots(scenes: DataFrame, ring: str = "ring", cap: int = 16) -> int:
+    """Vertex slots for the closed form: the largest ring in the catalogue
+    (one small aggregate over one column), at least 3 and at most ``cap``;
+    rings above the cap take the general clip."""
+    m = scenes.agg(F.max(F.size(ring))).first()[0] or 3
+    return int(min(max(m, 3), cap))
+
+
+def aoi_coverage(scenes: DataFrame, aois: DataFrame, cell: float = 1.0,
+                 max_vertices: int | None = None) -> DataFrame:
     """Coverage ratio of every intersecting (AOI, scene) pair, projected to the
     UTM zone of the AOI centre.  Convex footprints (the normal case) take a
     code-generated closed form; other rings the general polygon clip."""
@@ -48,7 +57,9 @@ def aoi_coverage(scenes: DataFrame, aois: DataFrame, cell: float = 1.0) -> DataF
     epsg = utm_epsg((F.col("a_west") + F.col("a_east")) / 2, (F.col("a_south") + F.col("a_north")) / 2)
     p = p.select("aoi_id", "item_id", epsg.alias("epsg"), "ring", "a_west", "a_south", "a_east",
                  "a_north")
-    p = with_convex_coverage(p, "ring", ("a_west", "a_south", "a_east", "a_north"), "epsg")
+    k = max_vertices or ring_vertex_slots(scenes)
+    p = with_convex_coverage(p, "ring", ("a_west", "a_south", "a_east", "a_north"), "epsg",
+                             max_vertices=k)
     out = p.select("aoi_id", "item_id", "epsg", "coverage_ratio")
     # The pair table is catalogue-sized (a few scenes per AOI).  Writing it to
     # the shared checkpoint folder fixes the staged closed form: a later filter

@@ -192,3 +192,28 @@ def test_scene_order_does_not_matter(spark):
     b = median_mosaic(stack(spark, list(reversed(rows)))).orderBy("x").collect()
     assert a == b
     assert all(math.isfinite(r["blue"]) for r in a)
+
+
+def test_classifier_halo_matches_whole_scene(spark):
+    from pixtrend.operators.classify import classify_tiles
+
+    def _neighbour_rule(arr):
+        """class 1 where any pixel of the 3x3 neighbourhood is bright (needs context)."""
+        import numpy as np
+
+        bright = np.nan_to_num(arr.sum(axis=0), nan=0.0) > 9000
+        p = np.pad(bright, 1)
+        out = np.zeros_like(bright)
+        for dy in (-1, 0, 1):
+            for dx in (-1, 0, 1):
+                out |= p[1 + dy:1 + dy + bright.shape[0], 1 + dx:1 + dx + bright.shape[1]]
+        return out.astype("int32")
+
+    rows = [(1, x, y, [0, 0, 4000 if (x * 7 + y * 3) % 11 == 0 else 100, 0, 0, 0], 4)
+            for x in range(12) for y in range(9)]
+    df = stack(spark, rows).withColumn("green", F.col("red")).withColumn("nir", F.col("red"))
+    tiled = {(r.x, r.y): r.cls for r in classify_tiles(df, _neighbour_rule, tile=4, halo=1).collect()}
+    whole = {(r.x, r.y): r.cls for r in classify_tiles(df, _neighbour_rule, tile=64, halo=0).collect()}
+    no_halo = {(r.x, r.y): r.cls for r in classify_tiles(df, _neighbour_rule, tile=4, halo=0).collect()}
+    assert len(tiled) == 12 * 9 and tiled == whole
+    assert no_halo != whole  # the context matters at tile edges
