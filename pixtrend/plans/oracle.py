@@ -244,3 +244,58 @@ def pip_sql(px: str, py: str, coords) -> str:
     for t in terms:
         out = f"({out} <> {t})"
     return out
+
+
+# --------------------------------------------------------------------------- coverage oracle
+def _pt_sql(lon: str, lat: str, epsg: str) -> str:
+    x, y = utm_sql(lon, lat, epsg)
+    return f"{{'x': {x}, 'y': {y}}}"
+
+
+def coverage_sql(min_ratio: float | None = None) -> str:
+    """Independent oracle: plain bbox-intersection join, projected rings,
+    Sutherland–Hodgman clip against the four AOI edges (list lambdas), shoelace
+    area.  Reported as parts per million of the AOI area."""
+    fp = ("[" + ", ".join(_pt_sql(a, b, "epsg") for a, b in (
+        ("s_west", "s_south"), ("s_east", "s_south"), ("s_east - 1", "s_north - 1"),
+        ("s_west", "s_north"))) + "]")
+    aoi = ("[" + ", ".join(_pt_sql(a, b, "epsg") for a, b in (
+        ("a_west", "a_south"), ("a_east", "a_south"), ("a_east", "a_north"),
+        ("a_west", "a_north"))) + "]")
+    empty = "[]::STRUCT(x DOUBLE, y DOUBLE)[]"
+    where = "" if min_ratio is None else f"where ratio >= {min_ratio!r}e0"
+    stages = []
+    prev = "proj"
+    for k in range(4):
+        a, b = f"aoi[{k + 1}]", f"aoi[{(k + 1) % 4 + 1}]"
+
+        def side(p, a=a, b=b):
+            return f"((({b}.x - {a}.x) * ({p}.y - {a}.y) - ({b}.y - {a}.y) * ({p}.x - {a}.x)) * sgn)"
+        p, q = "poly[i + 1]", "poly[(i + 1) % len(poly) + 1]"
+        sp, sq = side(p), side(q)
+        cut = (f"{{'x': {p}.x + {sp} / ({sp} - {sq}) * ({q}.x - {p}.x), "
+               f"'y': {p}.y + {sp} / ({sp} - {sq}) * ({q}.y - {p}.y)}}")
+        body = (f"CASE WHEN {sq} >= 0 AND {sp} < 0 THEN [{cut}, {q}] WHEN {sq} >= 0 THEN [{q}] "
+                f"WHEN {sp} >= 0 THEN [{cut}] ELSE {empty} END")
+        stages.append(f"c{k} as (select aoi_id, item_id, epsg, aoi, sgn, "
+                      f"CASE WHEN len(poly) = 0 THEN poly ELSE "
+                      f"flatten(list_transform(range(len(poly)), lambda i: {body})) END as poly from {prev})")
+        prev = f"c{k}"
+
+    def area(r):
+        return (f"abs(coalesce(list_sum(list_transform(range(len({r})), lambda i: "
+                f"{r}[i + 1].x * {r}[(i + 1) % len({r}) + 1].y - {r}[(i + 1) % len({r}) + 1].x * {r}[i + 1].y)), 0) / 2)")
+    return with_ctes(f"""
+, pairs as (select a.aoi_id, s.item_id, s.west as s_west, s.south as s_south, s.east as s_east,
+                   s.north as s_north, a.west as a_west, a.south as a_south, a.east as a_east,
+                   a.north as a_north,
+                   {utm_epsg_sql("(a.west + a.east) / 2", "(a.south + a.north) / 2")} as epsg
+            from scenes s join aois a
+              on greatest(s.west, a.west) <= least(s.east, a.east)
+             and greatest(s.south, a.south) <= least(s.north, a.north)),
+proj0 as (select aoi_id, item_id, epsg, {fp} as poly, {aoi} as aoi from pairs),
+proj as (select *, sign(({area('aoi').replace('abs(', '(', 1)})) as sgn from proj0),
+{', '.join(stages)}
+select aoi_id, item_id, epsg, cast(round(ratio * 1000000) as bigint) as coverage_ppm
+from (select aoi_id, item_id, epsg, coalesce({area('poly')} / nullif({area('aoi')}, 0), 0) as ratio
+      from c3) r {where}""", "scenes", "aois").replace("\n, pairs as", ",\npairs as", 1)

@@ -299,15 +299,22 @@ def q_aoi_bounds(spark, sf_dir):
                                         for k in ("xmin", "ymin", "xmax", "ymax")])
 
 
-@register("coverage_ratio")
+def _ppm(cov):
+    """The ratio reported in parts per million (an integer, so the oracle's
+    different clipping algorithm compares exactly)."""
+    return F.round(F.col("coverage_ratio") * 1000000).cast("bigint").alias("coverage_ppm")
+
+
+@register("coverage_ratio", O.coverage_sql())
 def q_coverage_ratio(spark, sf_dir):
-    return SP.aoi_coverage(fx.scenes(spark, sf_dir), fx.aois(spark, sf_dir))
+    cov = SP.aoi_coverage(fx.scenes(spark, sf_dir), fx.aois(spark, sf_dir))
+    return cov.select("aoi_id", "item_id", "epsg", _ppm(cov))
 
 
-@register("coverage_filter")
+@register("coverage_filter", O.coverage_sql(min_ratio=0.4))
 def q_coverage_filter(spark, sf_dir):
     cov = SP.aoi_coverage(fx.scenes(spark, sf_dir), fx.aois(spark, sf_dir))
-    return SP.coverage_filter(cov).select("aoi_id", "item_id", "coverage_ratio")
+    return SP.coverage_filter(cov).select("aoi_id", "item_id", "epsg", _ppm(cov))
 
 
 CLIP_BOUNDS_M = (300.0, 15.0, 1234.0, 77.0)   # xmin, ymin, xmax, ymax in grid metres
