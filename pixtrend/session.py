@@ -15,9 +15,6 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # per-pixel medians keep one value->count map per group; let the hash
-    # aggregate hold more groups before it falls back to sort-based
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     # HotSpot does not JIT-compile methods above 8000 bytes of bytecode; a
     # fused stage beyond that would run interpreted.  Spark's documented
     # setting for HotSpot makes such stages fall back to per-operator codegen.
