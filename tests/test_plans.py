@@ -70,3 +70,23 @@ def test_clip_prunes_columns_and_rows_at_scan(spark):
     s = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<x:int,y:int,blue:int>" in s or "struct<x:int,y:int,blue:int>" in s
     assert "GreaterThanOrEqual(x" in s
+
+
+def test_hot_scene_is_combined_before_the_shuffle(spark):
+    """One scene holds most rows: its statistics are partial aggregates before
+    any exchange, and the pixel side is never shuffled by scene."""
+    from pyspark.sql import functions as F
+
+    from pixtrend.operators.masks import outlier_mask
+
+    hot = spark.range(0, 30000).select(F.lit(1).alias("scene_id"), (F.col("id") % 200).cast("int").alias("x"),
+                                       (F.col("id") / 200).cast("int").alias("y"))
+    cold = spark.range(0, 300).select((F.col("id") % 30 + 2).cast("int").alias("scene_id"),
+                                      (F.col("id") % 10).cast("int").alias("x"), F.lit(0).alias("y"))
+    df = hot.unionByName(cold).withColumns({b: ((F.col("x") * 37 + F.col("y")) % 997 + 1).cast("int")
+                                            for b in ("blue", "green", "red", "nir", "swir1", "swir2")})
+    out = outlier_mask(df)
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in p
+    assert "Exchange hashpartitioning(scene_id" not in p.split("BroadcastExchange")[0]
+    assert out.count() == 30300
