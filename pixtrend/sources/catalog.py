@@ -14,14 +14,19 @@ def _as_date(d) -> dt.date:
     return d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d))
 
 
+def _day_start(d) -> Column:
+    """Midnight of a day as a zone-free timestamp literal (catalogue times are
+    TIMESTAMP_NTZ; a zoned literal would shift with the session time zone)."""
+    return F.lit(f"{_as_date(d).isoformat()} 00:00:00").cast("timestamp_ntz")
+
+
 def search_scenes(scenes: DataFrame, start, end, grid: str | None = None,
                   max_cloud: float = 100, ts: str = "ts") -> DataFrame:
     """Items acquired in ``[start, end]`` (whole end day), cloud cover
     ``<= max_cloud`` and on ``grid``.  Plain predicates on the scan columns,
     so they reach the parquet reader as pushed filters."""
-    lo = dt.datetime.combine(_as_date(start), dt.time())
-    hi = dt.datetime.combine(_as_date(end) + dt.timedelta(days=1), dt.time())
-    cond = (F.col(ts) >= F.lit(lo)) & (F.col(ts) < F.lit(hi)) & (F.col("cloud_cover") <= max_cloud)
+    lo, hi = _day_start(start), _day_start(_as_date(end) + dt.timedelta(days=1))
+    cond = (F.col(ts) >= lo) & (F.col(ts) < hi) & (F.col("cloud_cover") <= max_cloud)
     if grid is not None:
         cond = cond & (F.col("grid_code") == grid)
     return scenes.filter(cond)
@@ -42,10 +47,9 @@ def query_products(scenes: DataFrame, start=None, end=None, max_cloud: float | N
     """
     df = scenes
     if start is not None:
-        df = df.filter(F.col("ts") >= F.lit(dt.datetime.combine(_as_date(start), dt.time())))
+        df = df.filter(F.col("ts") >= _day_start(start))
     if end is not None:
-        hi = dt.datetime.combine(_as_date(end) + dt.timedelta(days=1), dt.time())
-        df = df.filter(F.col("ts") < F.lit(hi))
+        df = df.filter(F.col("ts") < _day_start(_as_date(end) + dt.timedelta(days=1)))
     if max_cloud is not None:
         df = df.filter(F.col("cloud_cover") <= max_cloud)
     for k, v in (attrs or {}).items():
