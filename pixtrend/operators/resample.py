@@ -37,8 +37,12 @@ def resample_bilinear(df: DataFrame, bands, keys=("scene_id",), sx: str = "sx",
                    (F.col(sy) * 2 + F.col("ky.d")).alias("y"),
                    (F.col("kx.w") * F.col("ky.w")).cast("bigint").alias("_w"),
                    *bands)
-    nx, ny = extent if extent is not None else (
-        df.select(F.max(sx) + 1).scalar(), df.select(F.max(sy) + 1).scalar())
+    if extent is None:
+        # one scalar subquery for both axes (one extra pass over the input)
+        ext = df.select(F.struct((F.max(sx) + 1).alias("nx"), (F.max(sy) + 1).alias("ny"))).scalar()
+        nx, ny = ext.getField("nx"), ext.getField("ny")
+    else:
+        nx, ny = extent
     ex = ex.filter((F.col("x") >= 0) & (F.col("y") >= 0) &
                    (F.col("x") < F.lit(nx) * 2) & (F.col("y") < F.lit(ny) * 2))
     aggs = []
