@@ -73,3 +73,28 @@ def resample_nearest(df: DataFrame, cols, keys=("scene_id",), sx: str = "sx", sy
     ex = ex.select("*", F.explode(off).alias("_dy"))
     return ex.select(*keys, (F.col(sx) * factor + F.col("_dx")).alias("x"),
                      (F.col(sy) * factor + F.col("_dy")).alias("y"), *cols)
+
+
+def align_to_grid(long: DataFrame, keys=("scene_id",), band: str = "band", res: str = "res",
+                  value: str = "v", fine: str = "10m") -> DataFrame:
+    """Bring every band of a scene onto one grid, resampling only where needed.
+
+    ``long`` rows are ``(keys, band, res, sx, sy, v)`` with cell indices on the
+    band's own grid.  Scenes that have a ``fine`` band keep those as they are
+    and get their coarse bands bilinearly upsampled; scenes without one keep
+    the coarse grid as the reference (no upsampling).  Output is
+    ``(keys, band, x, y, v)``; pivot with ``band_stack`` for the wide row.
+    The per-scene flag is a small aggregate joined back by size-checked
+    broadcast.
+    """
+    from pixtrend.operators.joins import checked_broadcast
+
+    flag = long.groupBy(*keys).agg(F.max((F.col(res) == fine).cast("int")).alias("_has_fine"))
+    j = long.join(checked_broadcast(flag), list(keys))
+    up = j.filter((F.col("_has_fine") == 1) & (F.col(res) != fine))
+    keep = j.filter((F.col("_has_fine") == 0) | (F.col(res) == fine))
+    upsampled = resample_bilinear(up.select(*keys, band, "sx", "sy", value), [value],
+                                  keys=(*keys, band))
+    kept = keep.select(*keys, band, F.col("sx").alias("x"), F.col("sy").alias("y"),
+                       F.col(value).cast("double").alias(value))
+    return kept.unionByName(upsampled)

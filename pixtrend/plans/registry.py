@@ -674,3 +674,42 @@ def q_mask_scenes_stream(spark, sf_dir):
     dst = new_scratch_path(spark, "masked")
     mask_scenes_stream(spark, src, dst, new_scratch_path(spark, "stream-ckpt"))
     return spark.read.parquet(dst).select(*PX, *BANDS)
+
+
+# --------------------------------------------------------------------------- J6/J8 grid alignment
+def _long_res(spark, sf_dir):
+    """Band rows with their resolution: SWIR on the 20 m grid, the rest 10 m;
+    scenes whose id ends in 9 come without 10 m bands (20 m grid kept)."""
+    lr = fx.obs_long(spark, sf_dir).withColumn(
+        "res", F.when(F.col("band").isin("swir1", "swir2"), "20m").otherwise("10m"))
+    lr = lr.filter(~((F.col("res") == "10m") & (F.col("scene_id") % 10 == 9)))
+    return lr.select("scene_id", "band", "res", F.col("x").alias("sx"), F.col("y").alias("sy"), "v")
+
+
+O.cte("long_res", """
+select scene_id, band, case when band in ('swir1', 'swir2') then '20m' else '10m' end as res,
+       x as sx, y as sy, v
+from obs_long where not (band not in ('swir1', 'swir2') and scene_id % 10 = 9)""", "obs_long")
+
+
+def _align_sql() -> str:
+    return O.with_ctes("""
+, flag as (select scene_id, max(case when res = '10m' then 1 else 0 end) as hf from long_res group by scene_id),
+j as (select l.*, f.hf from long_res l join flag f on l.scene_id = f.scene_id),
+up as (select * from j where hf = 1 and res <> '10m'),
+ext as (select max(sx) + 1 as nx, max(sy) + 1 as ny from up),
+e as (select u.scene_id, u.band, u.sx * 2 + kx.d as x, u.sy * 2 + ky.d as y,
+             cast(kx.w * ky.w as bigint) as w, u.v
+      from up u, (values (-1, 1), (0, 3), (1, 3), (2, 1)) kx(d, w),
+           (values (-1, 1), (0, 3), (1, 3), (2, 1)) ky(d, w)),
+res_up as (select scene_id, band, x, y,
+                  cast(sum(cast(v as bigint) * w) as double) / cast(sum(case when v is not null then w end) as double) as v
+           from e, ext where x >= 0 and y >= 0 and x < nx * 2 and y < ny * 2
+           group by scene_id, band, x, y having sum(case when v is not null then w end) is not null)
+select scene_id, band, sx as x, sy as y, cast(v as double) as v from j where hf = 0 or res = '10m'
+union all select scene_id, band, x, y, v from res_up""", "long_res").replace("\n, flag as", ",\nflag as", 1)
+
+
+@register("align_to_grid", _align_sql())
+def q_align_to_grid(spark, sf_dir):
+    return R.align_to_grid(_long_res(spark, sf_dir))

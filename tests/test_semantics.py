@@ -217,3 +217,21 @@ def test_classifier_halo_matches_whole_scene(spark):
     no_halo = {(r.x, r.y): r.cls for r in classify_tiles(df, _neighbour_rule, tile=4, halo=0).collect()}
     assert len(tiled) == 12 * 9 and tiled == whole
     assert no_halo != whole  # the context matters at tile edges
+
+
+def test_align_to_grid_resamples_only_when_needed(spark):
+    from pixtrend.operators.resample import align_to_grid
+
+    rows = []
+    # scene 1: a 10 m band on a 4x4 grid and a 20 m band on 2x2 -> upsampled
+    rows += [(1, "blue", "10m", x, y, 100) for x in range(4) for y in range(4)]
+    rows += [(1, "swir1", "20m", x, y, 800) for x in range(2) for y in range(2)]
+    # scene 2: only 20 m bands -> the 20 m grid is the reference, untouched
+    rows += [(2, "swir1", "20m", x, y, 10 * x + y) for x in range(2) for y in range(2)]
+    df = spark.createDataFrame(rows, "scene_id int, band string, res string, sx int, sy int, v int")
+    out = align_to_grid(df).collect()
+    s1 = [r for r in out if r.scene_id == 1 and r.band == "swir1"]
+    s2 = sorted((r.x, r.y, r.v) for r in out if r.scene_id == 2)
+    assert len(s1) == 16 and all(r.v == 800.0 for r in s1)
+    assert s2 == [(0, 0, 0.0), (0, 1, 1.0), (1, 0, 10.0), (1, 1, 11.0)]
+    assert len([r for r in out if r.band == "blue"]) == 16
