@@ -79,6 +79,7 @@ from pixtrend.operators import quality as Q  # noqa: E402
 from pixtrend.operators import resample as R  # noqa: E402
 from pixtrend.operators import spatial as SP  # noqa: E402
 from pixtrend.operators.classify import bright_rule, classify_tiles  # noqa: E402
+from pixtrend.operators.joins import checked_broadcast  # noqa: E402
 from pixtrend.operators.mosaic import band_stack, quantile_mosaic, stack_scenes  # noqa: E402
 from pixtrend.sources import catalog as C  # noqa: E402
 
@@ -373,7 +374,7 @@ def clip_to_extent(df, image, by=("scene_id",)):
     valid = image.filter(~M.all_missing(image))
     ext = valid.groupBy(*by).agg(F.min("x").alias("_x0"), F.max("x").alias("_x1"),
                                  F.min("y").alias("_y0"), F.max("y").alias("_y1"))
-    j = df.join(M.checked_broadcast(ext), list(by))
+    j = df.join(checked_broadcast(ext), list(by))
     return j.filter(F.col("x").between(F.col("_x0"), F.col("_x1")) &
                     F.col("y").between(F.col("_y0"), F.col("_y1"))).drop("_x0", "_x1", "_y0", "_y1")
 

@@ -90,3 +90,9 @@ def test_hot_scene_is_combined_before_the_shuffle(spark):
     assert "BroadcastHashJoin" in p
     assert "Exchange hashpartitioning(scene_id" not in p.split("BroadcastExchange")[0]
     assert out.count() == 30300
+
+
+def test_trend_map_quantile_reducer_keeps_one_exchange(spark):
+    obs = spark.read.parquet(_written_obs(spark))
+    p = trend_map(obs, reducer="quantile")._jdf.queryExecution().sparkPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning", p)) == 1, p
