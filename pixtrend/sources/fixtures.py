@@ -39,12 +39,16 @@ def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     p = F.floor("l_extendedprice").cast("bigint")
     yr = F.year("l_shipdate")
-    out = li.groupBy(
+    keyed = li.select(
         yr.cast("int").alias("year"),
         (yr * 100 + F.col("l_suppkey") % 10).cast("int").alias("scene_id"),
         (F.col("l_partkey") % GRID_W).cast("int").alias("x"),
         F.floor(F.col("l_partkey") / GRID_W).cast("int").alias("y"),
-    ).agg(
+        "l_extendedprice", "l_orderkey",
+    )
+    # hash-partitioned by pixel, like a stack stored bucketed by (x, y): every
+    # per-pixel grouping downstream (mosaic, trend) reuses this partitioning
+    out = keyed.repartition("x", "y").groupBy("year", "scene_id", "x", "y").agg(
         F.max(p % 4000).cast("int").alias("blue"),
         F.max((p * 3) % 4000).cast("int").alias("green"),
         F.max((p * 7) % 4000).cast("int").alias("red"),
