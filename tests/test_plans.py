@@ -96,3 +96,14 @@ def test_trend_map_quantile_reducer_keeps_one_exchange(spark):
     obs = spark.read.parquet(_written_obs(spark))
     p = trend_map(obs, reducer="quantile")._jdf.queryExecution().sparkPlan().toString()
     assert len(re.findall(r"Exchange hashpartitioning", p)) == 1, p
+
+
+def test_checked_broadcast_respects_the_bound(spark):
+    from pixtrend.operators.joins import checked_broadcast
+
+    small = spark.range(0, 50).withColumnRenamed("id", "k")
+    hinted = checked_broadcast(small, max_rows=100)
+    unhinted = checked_broadcast(small, max_rows=10)
+    assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in unhinted._jdf.queryExecution().analyzed().toString().lower()
+    assert hinted.count() == unhinted.count() == 50
