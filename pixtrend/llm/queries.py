@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixtrend.llm import bpe, fm_index, sharding
+from pixtrend.llm import bpe, fm_index, ngram_join, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -40,6 +40,12 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+@register("op4_ngram_jaccard_join")
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingle sets have a Jaccard of 0.9 or more."""
+    return ngram_join.similar_groups(table(spark, sf_dir, "documents"), 3, (9, 10))
+
+
 @register("op7_benchmark_decontamination")
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents inside any 10-word window of a benchmark item."""
