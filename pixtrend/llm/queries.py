@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixtrend.llm import bpe, fm_index, ngram_join, sharding
+from pixtrend.llm import bpe, fm_index, line_crf, ngram_join, sharding, toxicity_pu
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,6 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(n: int):
+    """crc32 of the id as text, modulo ``n``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
 @register("op2_sharding")
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents over shards 0 to 15 by rendezvous hashing of doc_id."""
@@ -46,6 +51,24 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_groups(table(spark, sf_dir, "documents"), 3, (9, 10))
 
 
+@register("op3_quality_crf")
+def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document quality from line labels of a conditional random field."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = line_crf.fit(docs, table(spark, sf_dir, "labels"), fold(5) != 0)
+    out = line_crf.score(docs, model)
+    return out.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@register("op5_toxicity_pu")
+def op5_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of documents from positive-unlabelled learning."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity_pu.fit(docs, table(spark, sf_dir, "labels"), fold(3) != 1)
+    out = toxicity_pu.score(docs, model)
+    return out.select("doc_id", (fold(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @register("op7_benchmark_decontamination")
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents inside any 10-word window of a benchmark item."""
