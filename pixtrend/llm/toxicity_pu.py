@@ -92,21 +92,24 @@ def select_features(pos: list[np.ndarray], unl: list[np.ndarray]) -> np.ndarray:
     return np.sort(f[ok][best])
 
 
-def presence(sets: list[np.ndarray], features: np.ndarray) -> np.ndarray:
-    x = np.zeros((len(sets), len(features)), np.float32)
+def presence(sets: list[np.ndarray], features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column numbers of the features present in each document."""
+    rows, cols = [], []
     for i, s in enumerate(sets):
         at = np.minimum(np.searchsorted(features, s), len(features) - 1) if len(features) else np.zeros(0, np.int64)
-        x[i, at[features[at] == s] if len(features) else at] = 1
-    return x
+        at = at[features[at] == s] if len(features) else at
+        rows.append(np.full(len(at), i))
+        cols.append(at)
+    return np.concatenate(rows), np.concatenate(cols)
 
 
-def train_nnpu(xp: np.ndarray, xu: np.ndarray, prior: float, steps: int = 400, rate: float = 0.1, l2: float = 1e-4,
-               beta: float = 0.0, gamma: float = 1.0) -> tuple[np.ndarray, float]:
-    """Weights and bias minimising the nnPU risk of the logistic loss (Adam).
+def train_nnpu(pos: tuple, n_pos: int, unl: tuple, n_unl: int, k: int, prior: float, steps: int = 4000, rate: float = 0.05,
+               l2: float = 1e-5, beta: float = 0.0, gamma: float = 1.0) -> tuple[np.ndarray, float]:
+    """Weights and bias minimising the nnPU risk of the logistic loss (Adam)
+    over the (row, column) entries of positive and unlabelled documents.
 
     Where the corrected negative risk falls below ``-beta``, the step goes the
     other way along it, scaled by ``gamma``, as the non-negative estimator asks."""
-    k = xp.shape[1]
     theta = np.zeros(k + 1)
     theta[k] = np.log(prior / (1 - prior))
     m, v = np.zeros(k + 1), np.zeros(k + 1)
@@ -114,14 +117,17 @@ def train_nnpu(xp: np.ndarray, xu: np.ndarray, prior: float, steps: int = 400, r
     def sig(z):
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
+    def value(x, n):
+        return np.bincount(x[0], weights=theta[x[1]], minlength=n) + theta[k]
+
     def grad(x, d):  # d: derivative by the decision value, per row
-        return np.concatenate([x.T @ d, [d.sum()]]) / max(1, len(x))
+        return np.concatenate([np.bincount(x[1], weights=d[x[0]], minlength=k), [d.sum()]]) / len(d)
 
     for t in range(1, steps + 1):
-        gp, gu = xp @ theta[:k] + theta[k], xu @ theta[:k] + theta[k]
+        gp, gu = value(pos, n_pos), value(unl, n_unl)
         loss_neg = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-        neg = grad(xu, sig(gu)) - prior * grad(xp, sig(gp))
-        g = prior * grad(xp, sig(gp) - 1) + neg if loss_neg >= -beta else -gamma * neg
+        neg = grad(unl, sig(gu)) - prior * grad(pos, sig(gp))
+        g = prior * grad(pos, sig(gp) - 1) + neg if loss_neg >= -beta else -gamma * neg
         g[:k] += l2 * theta[:k]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         theta -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
@@ -148,7 +154,7 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxic") -> Model:
     """Fit on at most ``MAX_POSITIVE`` confirmed documents and ``MAX_UNLABELLED``
-    others, both the first by a hash of the id; ``usable`` says which ids may
+    documents of any kind, both the first by a hash of the id; ``usable`` says which ids may
     teach.  The class prior is the positive share of all usable labels.  Without
     positives or without unlabelled text the model scores everything at the prior."""
     known = labels.where(usable & F.col("doc_id").isNotNull() & F.col(label).isNotNull())
@@ -156,9 +162,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxic"
     prior = min(0.9, max(0.001, share["p"] if share["n"] else 0.001))
     order = F.xxhash64(F.col("doc_id"), F.lit(5))
     positive = known.where(F.col(label) == 1).select("doc_id").distinct().orderBy(order).limit(MAX_POSITIVE)
-    other = docs.where(usable & F.col("doc_id").isNotNull()).select("doc_id").orderBy(order).limit(MAX_UNLABELLED + MAX_POSITIVE)
-    # drawn from all text, less the positives that teach: about MAX_UNLABELLED remain
-    other = other.distinct().join(F.broadcast(positive), "doc_id", "left_anti").orderBy(order).limit(MAX_UNLABELLED)
+    # drawn from all text, positives included: the mixture that the risk estimator assumes
+    other = docs.where(usable & F.col("doc_id").isNotNull()).select("doc_id").orderBy(order).limit(MAX_UNLABELLED).distinct()
     ids = positive.withColumn("positive", F.lit(True)).unionByName(other.withColumn("positive", F.lit(False)))
     rows = _sample_features(docs, ids)
     pos = [np.frombuffer(r["features"], np.uint64) for r in rows if r["positive"]]
@@ -167,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxic"
     if not pos or not unl:
         return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(prior / (1 - prior))))
     features = select_features(pos, unl)
-    weights, bias = train_nnpu(presence(pos, features), presence(unl, features), prior)
+    weights, bias = train_nnpu(presence(pos, features), len(pos), presence(unl, features), len(unl), len(features), prior)
     return Model(features, weights, bias)
 
 
