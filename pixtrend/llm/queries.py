@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixtrend.llm import bpe, fm_index, line_crf, ngram_join, sharding, toxicity_pu
+from pixtrend.llm import bpe, fm_index, line_crf, line_dedup, ngram_join, sharding, toxicity_pu
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -38,6 +38,49 @@ def fold(n: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
+#: Prefix-filtered self-join over whole word strings, for DuckDB.
+LINE_DEDUP_SQL = r"""
+with line as (
+  select doc_id, unnest(range(len(ls))) as line_no, unnest(ls) as line
+  from (select doc_id, string_split(text, chr(10)) as ls from documents)
+), word as (
+  select doc_id, line_no, list_sort(list_filter(list_distinct(string_split_regex(lower(line), '[ \t\x0B\f\r]+')), lambda w: w <> '')) as s
+  from line
+), cls as (
+  select s, len(s) as n, min({'d': doc_id, 'l': line_no}) as p, row_number() over (order by s) as c from word where len(s) > 0 group by s
+), tok as (
+  select c, n, unnest(s) as w from cls
+), df as (
+  select w, count(*) as df from tok group by w
+), post as (
+  select c, n, w, row_number() over (partition by c order by df, w) as pos from tok join df using (w)
+), short as (
+  select * from post where pos <= n - ((4 * n + 4) // 5) + 1
+), cand as (
+  select distinct a.c as a, b.c as b from short a join short b on a.w = b.w and a.c < b.c
+  where 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+), gone as (
+  select distinct greatest(x.p, y.p) as p from cand join cls x on x.c = a join cls y on y.c = b
+  where 9 * len(list_intersect(x.s, y.s)) >= 4 * (x.n + y.n)
+), kept as (
+  select p.d as doc_id, p.l as line_no from cls where p not in (select p from gone)
+  union all select doc_id, line_no from word where len(s) = 0
+)
+select l.doc_id, l.n_lines, coalesce(k.n_kept, 0) as n_kept, coalesce(k.kept_lines, '') as kept_lines
+from (select doc_id, count(*) as n_lines from line group by doc_id) l
+left join (select doc_id, count(*) as n_kept, string_agg(cast(line_no as varchar), ',' order by line_no) as kept_lines from kept group by doc_id) k
+using (doc_id)
+"""
+
+
+@register("op1_line_dedup", LINE_DEDUP_SQL)
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each document that stay when later similar lines (Jaccard 0.8) go."""
+    out = line_dedup.kept_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(F.col("d").alias("doc_id"), F.col("n_lines").cast("long").alias("n_lines"), F.size("kept").cast("long").alias("n_kept"),
+                      F.array_join(F.col("kept").cast("array<string>"), ",").alias("kept_lines"))
+
+
 @register("op2_sharding")
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents over shards 0 to 15 by rendezvous hashing of doc_id."""
