@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixtrend.llm import bpe, fm_index, line_crf, line_dedup, ngram_join, sharding, toxicity_pu
+from pixtrend.llm import bpe, fm_index, line_crf, line_dedup, ngram_join, passage_chain, sharding, toxicity_pu
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -112,6 +112,12 @@ def op5_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+@register("op6_substring_dedup")
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that a document shares with an earlier one."""
+    return passage_chain.shared_passages(table(spark, sf_dir, "documents"))
+
+
 @register("op7_benchmark_decontamination")
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents inside any 10-word window of a benchmark item."""
