@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixtrend.llm import bpe, fm_index, line_crf, line_dedup, ngram_join, passage_chain, sharding, toxicity_pu
+from pixtrend.llm import bpe, fm_index, line_crf, line_dedup, multi_index, ngram_join, passage_chain, sharding, toxicity_pu
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -135,3 +135,9 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.round_trip(docs, vocab_path("byte_bpe_50k.json"))
     return out.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@register("op9_multi_index_hashing")
+def op9_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest vectors of every hundredth, by multi-index hashing."""
+    return multi_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
