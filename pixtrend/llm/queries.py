@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixtrend.llm import bpe, fm_index, line_crf, line_dedup, multi_index, ngram_join, passage_chain, sharding, toxicity_pu
+from pixtrend.llm import bpe, fm_index, line_crf, line_dedup, multi_index, ngram_join, passage_chain, sharding, token_files, toxicity_pu
+from pixtrend.llm.scratch import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -141,3 +142,12 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten nearest vectors of every hundredth, by multi-index hashing."""
     return multi_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
+@register("op10_token_files")
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as context-mixed blocks and read back."""
+    folder = new_path(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), vocab_path("word_bpe_49k.json"), folder, end_id=2)
+    out = token_files.read_token_files(spark, folder)
+    return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
