@@ -243,8 +243,8 @@ def _merge_hits(batch: pa.RecordBatch, text: str, phrases: Phrases) -> pa.Record
         items[d].update(phrases.owner[phrases.owner_at[p]:phrases.owner_at[p + 1]])
     if "hit_words" in batch.schema.names:  # from an earlier block of the benchmark
         for d, old in enumerate(batch.column(batch.schema.get_field_index("hit_words")).to_pylist()):
-            for a, b in old:
-                hit[first[d] + a:first[d] + b] = True
+            for span in old:
+                hit[first[d] + span["start"]:first[d] + span["end"]] = True
         for d, old in enumerate(batch.column(batch.schema.get_field_index("items")).to_pylist()):
             items[d].update(old)
     total = np.concatenate([[0], np.cumsum(hit)])
