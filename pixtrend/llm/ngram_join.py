@@ -4,13 +4,13 @@ Documents with equal shingle sets form a class; only classes are compared.
 
 1. *Short lists.*  Shingles are ordered by rarity (document counts over hash
    buckets, a table of fixed size), and every class posts its rarest
-   ``n - ceil(t n) + 1`` shingles.  Two sets that reach the similarity share
-   one of these, so the merged short lists hold every candidate.
+   ``n - ceil(t n) + l`` shingles.  Two sets that reach the similarity share
+   ``l`` of these, so merging the short lists finds every candidate.
 2. *Stars first.*  In each list, sets of like size are paired with the smallest
    class only; verified links are joined into components.  A group of many
    near copies thus costs a number of pairs linear in its size.
-3. *The rest.*  Pairs of a list that are not yet connected and pass the size
-   and bitmap filters are paired as well, so no link between components is lost.
+3. *The rest.*  Pairs of a list that are not yet connected are paired as well, so no link
+   between components is lost.  Size and bitmap filters thin out both kinds.
 4. *Verification.*  Pairs are grouped by query set; a block of at most
    ``BLOCK`` sets forms an inverted index, and DivideSkip answers the query:
    the short lists are merged with a heap, sets whose count can still reach the
@@ -36,11 +36,14 @@ from pixtrend.llm.groups import group_starts, sorted_groups
 from pixtrend.llm.scratch import materialise
 
 CLASS = W.WordClass(W.SPACE)
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 #: Buckets of the rarity table (8 bytes each where it is used); fixed, whatever the corpus.
 RARITY_BUCKETS = 1 << 20
 RARITY_CHUNK = 1 << 12
 SIGNATURE = ("s0", "s1", "s2", "s3")  # 256-bit parity bitmap of the set
+#: A table of wanted classes up to so many rows (24 bytes each) is broadcast to
+#: the scan of the texts; beyond, the texts are shuffled to it.
+BROADCAST_ROWS = 1_000_000
 #: Sets in one inverted index.
 BLOCK = 256
 #: DivideSkip's mu: how dear a binary search is against a heap step.
@@ -53,8 +56,20 @@ class Threshold:
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
 
+    @staticmethod
+    def shared(n):
+        """How many rare shingles a set of size n must share: grows with the
+        set, so that long texts do not meet on a few chance shingles."""
+        return 1 + n // 50
+
+    @staticmethod
+    def shared_sql(n: str):
+        return F.floor(F.col(n) / 50) + 1
+
     def prefix(self, n):
-        return n - -(-self.num * n // self.den) + 1
+        """Length of the posted prefix: sets that reach the similarity share
+        ``shared(n)`` elements of their prefixes, n the smaller size."""
+        return min(n, n - -(-self.num * n // self.den) + self.shared(n))
 
     def overlap(self, a, b):
         """Smallest intersection of sets of sizes a and b that reaches it."""
@@ -94,32 +109,32 @@ def signature(s: np.ndarray) -> list[int]:
     return np.packbits(bits.astype(np.uint8)).view(np.int64).tolist()
 
 
-SETS = "doc_id long, rid long, cid long, n long, s0 long, s1 long, s2 long, s3 long, chunk int, counts binary"
+SETS = "doc_id long, rid long, same long, cid long, n long, s0 long, s1 long, s2 long, s3 long, chunk int, counts binary"
 
 
 def _sets_pass(docs: DataFrame, k: int) -> DataFrame:
     """One row per document (class, size, bitmap) and, behind each task's
     documents, its shingle counts per rarity bucket in chunks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("cid", pa.int64()), ("n", pa.int64()), *[(s, pa.int64()) for s in SIGNATURE],
+        schema = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("same", pa.int64()), ("cid", pa.int64()), ("n", pa.int64()), *[(s, pa.int64()) for s in SIGNATURE],
                             ("chunk", pa.int32()), ("counts", pa.binary())])
         counts = np.zeros(RARITY_BUCKETS, np.uint32)
         for batch in batches:
             for part in W.slices(batch, "text", BATCH_BYTES):
-                sets = shingle_sets(part.column(2), k)
+                sets = shingle_sets(part.column(3), k)
                 flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
                 np.add.at(counts, (flat % np.uint64(RARITY_BUCKETS)).astype(np.int64), np.uint32(1))
                 rows = [(class_of(s), len(s), *signature(s)) if len(s) else (None, 0, 0, 0, 0, 0) for s in sets]
                 cols = list(zip(*rows, strict=True))
                 none = pa.nulls(len(sets))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *[pa.array(c, pa.int64()) for c in cols],
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *[pa.array(c, pa.int64()) for c in cols],
                                                   none.cast(pa.int32()), none.cast(pa.binary())], schema=schema)
         used = [c for c in range(RARITY_BUCKETS // RARITY_CHUNK) if counts[c * RARITY_CHUNK:(c + 1) * RARITY_CHUNK].any()]
         none = pa.nulls(len(used), pa.int64())
-        yield pa.RecordBatch.from_arrays([none] * 8 + [pa.array(used, pa.int32()), pa.array(
+        yield pa.RecordBatch.from_arrays([none] * 9 + [pa.array(used, pa.int32()), pa.array(
             [counts[c * RARITY_CHUNK:(c + 1) * RARITY_CHUNK].tobytes() for c in used], pa.binary())], schema=schema)
 
-    return docs.select("doc_id", "rid", "text").mapInArrow(run, SETS)
+    return docs.select("doc_id", "rid", "same", "text").mapInArrow(run, SETS)
 
 
 def _rarity(sets: DataFrame) -> np.ndarray:
@@ -208,15 +223,13 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, t: Threshold) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in sorted_groups(batches, ["q", "block"]):
-            sets = shingle_sets(block.column("text"), k)
+            sets = [s for b in block.to_batches() for part in W.slices(b, "text", BATCH_BYTES) for s in shingle_sets(part.column(3), k)]
             q, x = block.column("q").to_numpy(), block.column("x").to_numpy()
             starts = [*group_starts(block, ["q", "block"]).tolist(), len(q)]
             left, right = [], []
             for i, j in zip(starts, starts[1:], strict=False):
-                # a repeated key may have brought another class's text along
-                true = {int(x[r]): r for r in range(i, j) if class_of(sets[r]) == x[r]}
-                own = true.pop(int(q[i]))
-                rest = list(true.values())
+                own = next(r for r in range(i, j) if x[r] == q[i])
+                rest = [r for r in range(i, j) if r != own]
                 if rest:
                     need = [t.overlap(len(sets[own]), len(sets[r])) for r in rest]
                     good = divide_skip(sets[own], [sets[r] for r in rest], need)
@@ -227,6 +240,14 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, t: Threshold) -> DataFra
     return rows.mapInArrow(run, "q long, x long")
 
 
+def may_reach(t: Threshold, a: str, b: str):
+    """Size and bitmap filters: false only for pairs that cannot reach ``t``."""
+    c = lambda side, name: F.col(f"{side}.{name}")
+    differ = sum((F.bit_count(c(a, s).bitwiseXOR(c(b, s))) for s in SIGNATURE), F.lit(0))
+    return ((F.least(c(a, "n"), c(b, "n")) * t.den >= F.greatest(c(a, "n"), c(b, "n")) * t.num)
+            & (differ * (t.num + t.den) <= (c(a, "n") + c(b, "n")) * (t.den - t.num)))
+
+
 # --------------------------------------------------------------------------- operator
 def similar_groups(docs: DataFrame, k: int = 3, similarity: tuple[int, int] = (9, 10), key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``.
@@ -239,10 +260,11 @@ def similar_groups(docs: DataFrame, k: int = 3, similarity: tuple[int, int] = (9
     """
     t = Threshold(*similarity)
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    docs = docs.select("doc_id", F.coalesce("doc_id", F.xxhash64("text")).alias("rid"), "text")  # finds a text again, also without a key
+    same = F.xxhash64("text")  # with the key, finds a text again
+    docs = docs.select("doc_id", F.coalesce("doc_id", same).alias("rid"), same.alias("same"), "text")
     sets = materialise(_sets_pass(docs, k), "shingle-sets")
     per_doc = sets.where("chunk is null").drop("chunk", "counts")
-    per_class = per_doc.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("first"), F.min("rid").alias("rid"), *[F.first(s).alias(s) for s in SIGNATURE])
+    per_class = per_doc.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("first"), F.min(F.struct("rid", "same")).alias("at"), F.first("n").alias("n"), *[F.first(s).alias(s) for s in SIGNATURE])
 
     # every list with at least two classes
     w = Window.partitionBy("g")
@@ -253,29 +275,35 @@ def similar_groups(docs: DataFrame, k: int = 3, similarity: tuple[int, int] = (9
     def texts(pairs: DataFrame) -> DataFrame:
         """(class, text) of the classes in ``pairs``, one text each."""
         paired = pairs.select(F.col("q").alias("cid")).union(pairs.select("x")).distinct()
-        wanted = per_class.select("cid", "rid").join(paired, "cid")
-        return docs.select("rid", "text").join(wanted, "rid").withColumn("same", F.xxhash64("text")).dropDuplicates(["cid", "same"])
+        wanted = materialise(per_class.select("cid", "at.rid", "at.same").join(paired, "cid"), "wanted")
+        if wanted.count() <= BROADCAST_ROWS:
+            wanted = F.broadcast(wanted)
+        found = docs.select("rid", "same", "text").join(wanted, ["rid", "same"])
+        return found.groupBy("cid").agg(F.max("text").alias("text"))  # repeated rows only
 
     # stars: sets of like size against the smallest class of their list
     step = float(np.log(t.den / t.num))
     sized = lists.withColumn("size", F.floor(F.log("n") / F.lit(step)))
     centre = sized.groupBy("g", "size").agg(F.min("cid").alias("q"))
-    star = materialise(sized.join(centre, ["g", "size"]).where("cid <> q").select("q", F.col("cid").alias("x")).distinct(), "star-pairs")
+    # a pair with few shared shingles here may share more in lists of another centre; it is left to the rest
+    star = (sized.join(centre, ["g", "size"]).where("cid <> q").groupBy("q", F.col("cid").alias("x"))
+            .agg(F.count(F.lit(1)).alias("lists"), F.min("n").alias("n")).where(F.col("lists") >= t.shared_sql("n")).select("q", "x"))
+    about = per_class.select("cid", "n", *SIGNATURE)
+    star = materialise(star.join(about.alias("a"), F.col("q") == F.col("a.cid")).join(about.alias("b"), F.col("x") == F.col("b.cid"))
+                       .where(may_reach(t, "a", "b")).select("q", "x"), "star-pairs")
     linked = materialise(_verify(star, texts(star), k, t), "star-links")
     comp = connected_components(linked, "q", "x")
 
     # the rest: pairs of a list in different components
     marked = (lists.join(comp.withColumnRenamed("v", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-              .join(per_class.drop("first", "rid"), "cid"))
+              .join(per_class.drop("first", "at", "n"), "cid"))
     open_lists = marked.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("g")
     marked = materialise(marked.join(open_lists, "g"), "open-lists")
     a, b = marked.alias("a"), marked.alias("b")
-    differ = sum((F.bit_count(F.col(f"a.{s}").bitwiseXOR(F.col(f"b.{s}"))) for s in SIGNATURE), F.lit(0))
-    both = F.col("a.n") + F.col("b.n")
-    fits = ((F.col("a.cid") < F.col("b.cid")) & (F.col("a.root") != F.col("b.root"))
-            & (F.least("a.n", "b.n") * t.den >= F.greatest("a.n", "b.n") * t.num)
-            & (differ * (t.num + t.den) <= both * (t.den - t.num)))
-    rest = a.join(b, (F.col("a.g") == F.col("b.g")) & fits).select(F.col("a.cid").alias("q"), F.col("b.cid").alias("x")).distinct()
+    fits = (F.col("a.cid") < F.col("b.cid")) & (F.col("a.root") != F.col("b.root")) & may_reach(t, "a", "b")
+    rest = (a.join(b, (F.col("a.g") == F.col("b.g")) & fits)
+            .groupBy(F.col("a.cid").alias("q"), F.col("b.cid").alias("x"))
+            .agg(F.count(F.lit(1)).alias("lists"), F.min(F.least("a.n", "b.n")).alias("n")).where(F.col("lists") >= t.shared_sql("n")).select("q", "x"))
     rest = materialise(rest.join(star, ["q", "x"], "left_anti").join(star.select(F.col("q").alias("x"), F.col("x").alias("q")), ["q", "x"], "left_anti"), "other-pairs")
     more = materialise(_verify(rest, texts(rest), k, t), "other-links")
 
