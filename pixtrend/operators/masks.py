@@ -12,10 +12,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from pixtrend.constants import (BANDS, BRIGHT_THRESHOLD, LOW_MAX_VALID, LOW_THRESHOLD,
                                 SCL_BAD, SCL_CLOUD, SIGMA_K)
-from pixtrend.operators.joins import checked_broadcast
 
 
 def blank_where(df: DataFrame, cond: Column, bands=BANDS) -> DataFrame:
@@ -24,6 +24,15 @@ def blank_where(df: DataFrame, cond: Column, bands=BANDS) -> DataFrame:
     return df.withColumns({b: F.when(~drop, F.col(b)) for b in bands})
 
 
+def scl_mask_optional(df: DataFrame, bad=SCL_BAD, scl: str = "scl", bands=BANDS, by=("scene_id",)) -> DataFrame:
+    """``scl_mask`` for scenes that carry a class layer; scenes without any
+    class value stay as they are."""
+    has = df.groupBy(*by).agg((F.count(scl) > 0).alias("_has_scl"))
+    j = df.join(has, list(by))
+    bad_class = F.coalesce(F.col(scl), F.lit(0)).isin(list(bad))
+    return blank_where(j, F.col("_has_scl") & bad_class, bands).drop("_has_scl")
+
+
 def scl_mask(df: DataFrame, bad=SCL_BAD, scl: str = "scl", bands=BANDS) -> DataFrame:
     """Blank pixels whose class is in ``bad``; a missing class reads as 0."""
     return blank_where(df, F.coalesce(F.col(scl), F.lit(0)).isin(list(bad)), bands)
@@ -59,44 +68,36 @@ def all_missing(df: DataFrame, bands=BANDS) -> Column:
     return F.coalesce(*[F.col(b) for b in bands]).isNull()
 
 
-def scene_stats(df: DataFrame, by=("scene_id",), bands=BANDS) -> DataFrame:
-    """Per scene and band: count, mean and population sigma (missing skipped)."""
-    aggs = []
-    for b in bands:
-        aggs += [F.count(b).alias(f"{b}_n"), F.avg(b).alias(f"{b}_mean"),
-                 F.stddev_pop(b).alias(f"{b}_std")]
-    return df.groupBy(*by).agg(*aggs)
-
-
-def scene_sums(df: DataFrame, by=("scene_id",), bands=BANDS) -> DataFrame:
-    """Exact integer moments per scene and band: n, sum(v), sum(v*v)."""
-    aggs = []
-    for b in bands:
-        v = F.col(b).cast("bigint")
-        aggs += [F.count(b).alias(f"{b}_n"), F.sum(v).alias(f"{b}_s1"),
-                 F.sum(v * v).alias(f"{b}_s2")]
-    return df.groupBy(*by).agg(*aggs)
-
-
 def outlier_mask(df: DataFrame, k: float = SIGMA_K, by=("scene_id",), bands=BANDS) -> DataFrame:
     """Per scene and per band, keep ``mean - k*sigma <= v <= mean + k*sigma``.
 
     The statistics are one small row per scene (partial aggregation, no pixel
-    shuffle); they are joined back with a size-checked broadcast.  Each band
-    is blanked on its own.  The bound test is written on exact integer
-    moments: ``|n*v - s1| <= k * sqrt(n*s2 - s1^2)`` is the same inequality
-    as ``|v - mean| <= k*sigma`` multiplied by ``n``.
+    shuffle), joined back by the scene key; Spark broadcasts them by measured
+    size.  Each band is blanked on its own.  Integer bands use exact moments:
+    ``|n*v - s1| <= k * sqrt(n*s2 - s1^2)`` is the same inequality multiplied by
+    ``n``; the difference of products is taken in DECIMAL(38, 0), once per
+    scene, so a full scene of 1.2e8 pixels does not overflow.  Fractional bands
+    use the mean and the population sigma as doubles.
     """
-    stats = checked_broadcast(scene_sums(df, by, bands))
-    j = df.join(stats, list(by), "left")
-    out = {}
+    aggs, spread, out = [], [], {}
     for b in bands:
-        n, s1, s2 = F.col(f"{b}_n"), F.col(f"{b}_s1"), F.col(f"{b}_s2")
-        dev = F.abs(n * F.col(b).cast("bigint") - s1).cast("double")
-        spread = F.lit(float(k)) * F.sqrt((n * s2 - s1 * s1).cast("double"))
-        out[b] = F.when(dev <= spread, F.col(b))
-    drop = [f"{b}_{s}" for b in bands for s in ("n", "s1", "s2")]
-    return j.withColumns(out).drop(*drop)
+        v = F.col(b)
+        if isinstance(df.schema[b].dataType, IntegralType):
+            v = v.cast("bigint")
+            aggs += [F.count(b).alias(f"{b}_n"), F.sum(v).alias(f"{b}_c"), F.sum(v * v).alias(f"{b}_s2")]
+            n, s1, s2 = (F.col(f"{b}_{m}").cast("decimal(19,0)") for m in ("n", "c", "s2"))
+            spread += [F.col(f"{b}_n"), F.col(f"{b}_c"),
+                       (F.lit(float(k)) * F.sqrt((n * s2 - s1 * s1).cast("double"))).alias(f"{b}_w")]
+            dev = F.abs(F.col(f"{b}_n") * v - F.col(f"{b}_c")).cast("double")
+        else:
+            aggs += [F.lit(1).alias(f"{b}_n"), F.avg(v.cast("double")).alias(f"{b}_c"),
+                     (F.lit(float(k)) * F.stddev_pop(v.cast("double"))).alias(f"{b}_w")]
+            spread += [F.col(f"{b}_n"), F.col(f"{b}_c"), F.col(f"{b}_w")]
+            dev = F.abs(v.cast("double") - F.col(f"{b}_c"))
+        out[b] = F.when(dev <= F.col(f"{b}_w"), F.col(b))
+    stats = df.groupBy(*by).agg(*aggs).select(*by, *spread)
+    drop = [f"{b}_{m}" for b in bands for m in ("n", "c", "w")]
+    return df.join(stats, list(by), "left").withColumns(out).drop(*drop)
 
 
 def apply_class_mask(df: DataFrame, mask: DataFrame, keys=("scene_id", "x", "y"),
@@ -104,18 +105,27 @@ def apply_class_mask(df: DataFrame, mask: DataFrame, keys=("scene_id", "x", "y")
     """Keep a pixel only where the predicted class equals ``keep_class``.
 
     Pixels without a mask value are blanked (fail closed).  Equi join on the
-    integer pixel key; both sides are clustered the same way when written by
-    ``write_mosaic`` so the sort-merge join needs no extra sort at scale.
+    integer pixel key; tables bucketed by that key (``bucketBy``) join without
+    an exchange, others are shuffled once per side.
     """
     m = mask.select(*keys, F.col("cls").alias("_cls"))
     j = df.join(m, list(keys), "left")
     return blank_where(j, ~F.coalesce(F.col("_cls") == keep_class, F.lit(False)), bands).drop("_cls")
 
 
+def nonzero_mask(df: DataFrame, mask: DataFrame, keys=("scene_id", "x", "y"),
+                 bands=BANDS) -> DataFrame:
+    """Blank a pixel where the mask says non-zero; a pixel without a mask value
+    stays (the opposite of ``apply_class_mask`` for holes in the mask)."""
+    m = mask.select(*keys, F.col("cls").alias("_cls"))
+    j = df.join(m, list(keys), "left")
+    return blank_where(j, F.col("_cls") != 0, bands).drop("_cls")
+
+
 def select_mask_layer(mask: DataFrame, by=("scene_id",)) -> DataFrame:
     """Layer choice of a class mask: one layer -> 0; three layers -> 1."""
     n = mask.groupBy(*by).agg((F.max("layer") + 1).alias("_n_layers"))
-    j = mask.join(checked_broadcast(n), list(by))
+    j = mask.join(n, list(by))
     return j.filter(F.col("layer") == F.when(F.col("_n_layers") == 3, 1).otherwise(0)) \
         .drop("_n_layers")
 

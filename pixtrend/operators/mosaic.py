@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pixtrend.constants import BANDS, QUANTILE_BY_BAND
+from pixtrend.constants import BAND_ASSETS, BANDS, QUANTILE_BY_BAND
 from pixtrend.functions.pixel import pack_u16, zero_to_null
 
 PIXEL_KEYS = ("year", "x", "y")
@@ -107,7 +107,16 @@ def band_stack(long: DataFrame, keys=("scene_id", "x", "y"), bands=BANDS,
                band_col: str = "band", value_col: str = "v") -> DataFrame:
     """Long ``(keys, band, v)`` -> one wide row per pixel, bands by name.
 
-    Same as a full outer join of the per-band rasters on the pixel key, but a
-    single shuffle.
+    Same as a full outer join of the per-band rasters on the pixel key, as one
+    aggregation: a conditional maximum per band, combined before one shuffle.
     """
-    return long.groupBy(*keys).pivot(band_col, list(bands)).agg(F.max(value_col))
+    return long.groupBy(*keys).agg(*[F.max(F.when(F.col(band_col) == b, F.col(value_col))).alias(b) for b in bands])
+
+
+def band_labels(df: DataFrame, mapping: dict | None = None) -> DataFrame:
+    """Rename asset-named band columns to band labels, by name, canonical order."""
+    mapping = mapping or dict(zip(BAND_ASSETS, BANDS))
+    present = {k: v for k, v in mapping.items() if k in df.columns}
+    other = [c for c in df.columns if c not in present]
+    out = df.withColumnsRenamed(present)
+    return out.select(*other, *[b for b in BANDS if b in present.values()])

@@ -3,7 +3,7 @@ band completeness, status and run summary.
 
 All of them reduce pixels or assets to one small row per scene (or per year)
 with partial aggregation before the shuffle; the per-scene tables are joined
-back to pixels only through ``checked_broadcast``.
+back to pixels by plain joins, which Spark turns into broadcasts by measured size.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from pixtrend.constants import (AOI_CLOUD_THRESH, AOI_MIN_COVERAGE, BANDS, SCL_CLOUD)
 from pixtrend.functions.geo import utm_epsg
-from pixtrend.operators.joins import checked_broadcast
 
 
 def aoi_quality(scl: DataFrame, expected, by=("scene_id",), scl_col: str = "scl",
@@ -50,7 +49,7 @@ def aoi_filter(obs: DataFrame, expected, cloud_thresh: float = AOI_CLOUD_THRESH,
                min_coverage: float = AOI_MIN_COVERAGE, by=("scene_id",)) -> DataFrame:
     """Pixels of the scenes that pass the AOI quality test (semi join)."""
     q = aoi_quality(obs, expected, by).filter(keep_scene(cloud_thresh, min_coverage))
-    return obs.join(checked_broadcast(q.select(*by)), list(by), "left_semi")
+    return obs.join(q.select(*by), list(by), "left_semi")
 
 
 def scene_moments(df: DataFrame, by=("scene_id",), bands=BANDS) -> DataFrame:

@@ -14,54 +14,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 # fixed bilinear kernel for an exact factor-2 upsampling: (offset, weight*4)
 BILINEAR_X2 = [(-1, 1), (0, 3), (1, 3), (2, 1)]
 
 
 def resample_bilinear(df: DataFrame, bands, keys=("scene_id",), sx: str = "sx", sy: str = "sy",
-                      factor: int = 2, with_weights: bool = False, extent=None) -> DataFrame:
+                      factor: int = 2, extent: DataFrame | None = None, scene=("scene_id",)) -> DataFrame:
     """Upsample ``bands`` from the coarse grid ``(sx, sy)`` to the fine grid ``(x, y)``.
 
-    All bands ride in the same explode (one 16x row expansion, one shuffle).
-    Targets outside the fine grid are dropped; ``extent = (nx, ny)`` is the
-    coarse grid size (default: from the data, as scalar subqueries).
+    All bands ride in the same explode (one 16x row expansion, combined before
+    the one shuffle).  Targets outside the scene's own fine grid are dropped:
+    ``extent`` has one row ``(scene keys, x0, x1, y0, y1)`` per scene; the
+    default is what the scene's coarse cells cover.  Values keep their
+    precision (integers are summed exactly, other types as doubles).
     """
     if factor != 2:
         raise ValueError("only the 20 m -> 10 m factor 2 is supported")
+    if extent is None:
+        extent = df.groupBy(*scene).agg((F.min(sx) * 2).alias("x0"), (F.max(sx) * 2 + 1).alias("x1"),
+                                        (F.min(sy) * 2).alias("y0"), (F.max(sy) * 2 + 1).alias("y1"))
+    ext = extent.select(*scene, *[F.col(c).alias(f"_{c}") for c in ("x0", "x1", "y0", "y1")])
     kern = F.array(*[F.struct(F.lit(d).alias("d"), F.lit(w).alias("w")) for d, w in BILINEAR_X2])
-    ex = df.select(*keys, sx, sy, *bands, F.explode(kern).alias("kx"))
+    ex = df.select(*keys, sx, sy, *bands).join(ext, list(scene))
+    ex = ex.select("*", F.explode(kern).alias("kx"))
+    ex = ex.withColumn("x", F.col(sx) * 2 + F.col("kx.d")).filter(F.col("x").between(F.col("_x0"), F.col("_x1")))
     ex = ex.select("*", F.explode(kern).alias("ky"))
-    ex = ex.select(*keys,
-                   (F.col(sx) * 2 + F.col("kx.d")).alias("x"),
-                   (F.col(sy) * 2 + F.col("ky.d")).alias("y"),
-                   (F.col("kx.w") * F.col("ky.w")).cast("bigint").alias("_w"),
-                   *bands)
-    if extent is None:
-        # one scalar subquery for both axes (one extra pass over the input)
-        ext = df.select(F.struct((F.max(sx) + 1).alias("nx"), (F.max(sy) + 1).alias("ny"))).scalar()
-        nx, ny = ext.getField("nx"), ext.getField("ny")
-    else:
-        nx, ny = extent
-    ex = ex.filter((F.col("x") >= 0) & (F.col("y") >= 0) &
-                   (F.col("x") < F.lit(nx) * 2) & (F.col("y") < F.lit(ny) * 2))
+    ex = ex.withColumn("y", F.col(sy) * 2 + F.col("ky.d")).filter(F.col("y").between(F.col("_y0"), F.col("_y1")))
+    weight = (F.col("kx.w") * F.col("ky.w")).cast("bigint")
     aggs = []
     for b in bands:
-        w = F.when(F.col(b).isNotNull(), F.col("_w"))
-        aggs += [F.sum(F.col(b).cast("bigint") * F.col("_w")).alias(f"_{b}_ws"),
-                 F.sum(w).alias(f"_{b}_w")]
+        v = F.col(b).cast("bigint" if isinstance(df.schema[b].dataType, IntegralType) else "double")
+        aggs += [F.sum(v * weight).alias(f"_{b}_ws"), F.sum(F.when(F.col(b).isNotNull(), weight)).alias(f"_{b}_w")]
     g = ex.groupBy(*keys, "x", "y").agg(*aggs)
     out = [F.col(k) for k in (*keys, "x", "y")]
-    for b in bands:
-        ws, w = F.col(f"_{b}_ws"), F.col(f"_{b}_w")
-        out.append((ws.cast("double") / w.cast("double")).alias(b))
-        if with_weights:
-            out += [ws.alias(f"{b}_wsum"), w.alias(f"{b}_w")]
+    out += [(F.col(f"_{b}_ws").cast("double") / F.col(f"_{b}_w").cast("double")).alias(b) for b in bands]
     # targets with no present neighbour at all carry no information
-    keep = F.lit(False)
-    for b in bands:
-        keep = keep | F.col(f"_{b}_w").isNotNull()
-    return g.filter(keep).select(*out)
+    return g.filter(F.coalesce(*[F.col(f"_{b}_w") for b in bands]).isNotNull()).select(*out)
 
 
 def resample_nearest(df: DataFrame, cols, keys=("scene_id",), sx: str = "sx", sy: str = "sy",
@@ -84,17 +74,16 @@ def align_to_grid(long: DataFrame, keys=("scene_id",), band: str = "band", res:
     and get their coarse bands bilinearly upsampled; scenes without one keep
     the coarse grid as the reference (no upsampling).  Output is
     ``(keys, band, x, y, v)``; pivot with ``band_stack`` for the wide row.
-    The per-scene flag is a small aggregate joined back by size-checked
-    broadcast.
+    The fine band's extent is a small aggregate per scene; upsampled values
+    outside it are dropped, so all bands share one grid.
     """
-    from pixtrend.operators.joins import checked_broadcast
-
-    flag = long.groupBy(*keys).agg(F.max((F.col(res) == fine).cast("int")).alias("_has_fine"))
-    j = long.join(checked_broadcast(flag), list(keys))
-    up = j.filter((F.col("_has_fine") == 1) & (F.col(res) != fine))
-    keep = j.filter((F.col("_has_fine") == 0) | (F.col(res) == fine))
-    upsampled = resample_bilinear(up.select(*keys, band, "sx", "sy", value), [value],
-                                  keys=(*keys, band))
+    grid = long.filter(F.col(res) == fine).groupBy(*keys).agg(
+        F.min("sx").alias("x0"), F.max("sx").alias("x1"), F.min("sy").alias("y0"), F.max("sy").alias("y1"))
+    coarse = long.filter(F.col(res) != fine)
+    keep = long.filter(F.col(res) == fine).unionByName(coarse.join(grid, list(keys), "left_anti"))
+    # the join with the grid drops scenes without a fine band
+    upsampled = resample_bilinear(coarse.select(*keys, band, "sx", "sy", value), [value],
+                                  keys=(*keys, band), extent=grid, scene=keys)
     kept = keep.select(*keys, band, F.col("sx").alias("x"), F.col("sy").alias("y"),
                        F.col(value).cast("double").alias(value))
     return kept.unionByName(upsampled)

@@ -24,18 +24,20 @@ def cte(name: str, sql: str, *deps: str) -> None:
 cte("obs", f"""
 select year, scene_id, cast(floor(x / 50) as int) as tile_x, cast(floor(y / 50) as int) as tile_y,
        x, y, blue, green, red, nir, swir1, swir2, scl
+from (select year, scene_id, x, y, cast(case when k % 13 <> 0 then k % 12 end as int) as scl, """ + ", ".join(
+    f"cast(case when (y * 200 + x) % 97 = 5 then 0 else {b} end as int) as {b}" for b in BANDS) + f"""
 from (select cast(year(l_shipdate) as int) as year,
              cast(year(l_shipdate) * 100 + l_suppkey % 10 as int) as scene_id,
              cast(l_partkey % 200 as int) as x,
              cast(floor(l_partkey / 200) as int) as y,
-             cast(max({_P} % 4000) as int) as blue,
-             cast(max(({_P} * 3) % 4000) as int) as green,
-             cast(max(({_P} * 7) % 4000) as int) as red,
-             cast(max(({_P} * 11) % 11000) as int) as nir,
-             cast(max(({_P} * 13) % 5000) as int) as swir1,
-             cast(max(({_P} * 17) % 5000) as int) as swir2,
-             cast(max(l_orderkey) % 12 as int) as scl
-      from lineitem group by 1, 2, 3, 4) t""")
+             max(case when l_orderkey % 200 = 1 then 10000 else {_P} % 4000 end) as blue,
+             max(({_P} * 3) % 4000) as green,
+             max(({_P} * 7) % 4000) as red,
+             max(({_P} * 11) % 11000) as nir,
+             max(({_P} * 13) % 5000) as swir1,
+             max(case when l_orderkey % 200 = 1 then 10000 else ({_P} * 17) % 5000 end) as swir2,
+             max(l_orderkey) as k
+      from lineitem group by 1, 2, 3, 4) t) t2""")
 
 cte("scenes", """
 select item_id, ts, cloud_cover, grid_code, proj_epsg, west, south, east, north
@@ -60,7 +62,7 @@ from orders, band_order b where (o_orderkey + b.ord) % 8 <> 0""", "band_order")
 
 cte("class_mask", """
 select scene_id, x, y, cast((x * 3 + y * 5 + scene_id) % 4 as int) as cls
-from obs where (x + y) % 11 <> 0""", "obs")
+from obs where (x + y) % 11 <> 0 or scene_id % 3 <> 0""", "obs")
 
 cte("done", "select o_orderkey as item_id from orders where o_orderkey % 5 = 0")
 
@@ -146,10 +148,14 @@ select c_custkey as aoi_id, -179.75e0 + cast((c_custkey * 53) % 359 as double) a
 from customer""")
 
 cte("assets_json", """
-select item_id, '{' || string_agg(entry, ',' order by entry) || '}' as assets
+select item_id, '{' || string_agg(entry, ',' order by entry) || case when item_id % 97 <> 5 then '}' else '' end as assets
 from (select item_id, '"' || asset || '":{"href":"https://h/' || k || '"' ||
-             case item_id % 4
+             case item_id % 8
                when 0 then ',"alternate":{"s3":{"href":"s3://b/' || k || '"}}}'
+               when 4 then ',"alternate":{"s3":{"href":"s3://b/' || k || '"}}}'
+               when 3 then ',"alternate":{},"alternates":[{"href":"s3://e/' || k || '"}]}'
+               when 7 then ',"alternate":null,"alternates":{"s3":{"href":"s3://n/' || k || '"}}}'
+               when 5 then ',"alternates":[{"href":"http://m/' || k || '"},{"href":"s3://c/' || k || '"}]}'
                when 1 then ',"alternates":[{"href":"http://m/' || k || '"},{"href":"s3://c/' || k || '"}]}'
                when 2 then ',"alternate":{"S3":{"href":"s3://u/' || k || '"}}}'
                else '}' end as entry

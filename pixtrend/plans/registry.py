@@ -8,15 +8,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixtrend.constants import BANDS
+from pixtrend.constants import BAND_ASSETS, BANDS, QUANTILE_BY_BAND, SCL_BAD, SCL_CLOUD
+from pixtrend.functions import geo as G
+from pixtrend.functions import pixel as P
 from pixtrend.functions.indices import TC_NAMES, tasseled_cap
 from pixtrend.functions.pixel import mask_nodata
 from pixtrend.operators import masks as M
-from pixtrend.operators.mosaic import median_mosaic
+from pixtrend.operators import quality as Q
+from pixtrend.operators import resample as R
+from pixtrend.operators import spatial as SP
+from pixtrend.operators.classify import bright_rule, classify_tiles
+from pixtrend.operators.clip import clip_bounds, clip_index_range, clip_polygon, clip_to_extent
+from pixtrend.operators.mosaic import band_labels, band_stack, median_mosaic, quantile_mosaic, stack_scenes
 from pixtrend.operators.trend import linear_trend, trend_visual
 from pixtrend.plans import oracle as O
 from pixtrend.plans.trend_map import trend_map
+from pixtrend.session import new_scratch_path
+from pixtrend.sources import catalog as C
 from pixtrend.sources import fixtures as fx
+from pixtrend.sources.io import read_mosaic, read_scenes, write_mosaic
+from pixtrend.streaming.incremental import mask_scenes_stream
+
+def _codes(classes) -> str:
+    return ", ".join(map(str, classes))
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -43,8 +58,7 @@ def clean_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     + ", ".join(f"{O.stretch_sql(f'{n}_slope')} as {n}_u8" for n in TC_NAMES)
     + " from trend", "trend"))
 def q_trend_map(spark, sf_dir):
-    # the stand-in stack comes out hash-partitioned by (x, y)
-    return trend_map(fx.obs(spark, sf_dir), repartition=False)
+    return trend_map(fx.obs(spark, sf_dir))
 
 
 @register("median_mosaic", O.with_ctes("select * from median", "median"))
@@ -73,17 +87,6 @@ def q_trend_visual(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- shared inputs
-from pixtrend.constants import BAND_ASSETS, QUANTILE_BY_BAND, SCL_CLOUD  # noqa: E402
-from pixtrend.functions import geo as G  # noqa: E402
-from pixtrend.functions import pixel as P  # noqa: E402
-from pixtrend.operators import quality as Q  # noqa: E402
-from pixtrend.operators import resample as R  # noqa: E402
-from pixtrend.operators import spatial as SP  # noqa: E402
-from pixtrend.operators.classify import bright_rule, classify_tiles  # noqa: E402
-from pixtrend.operators.joins import checked_broadcast  # noqa: E402
-from pixtrend.operators.mosaic import band_stack, quantile_mosaic, stack_scenes  # noqa: E402
-from pixtrend.sources import catalog as C  # noqa: E402
-
 PX = ["year", "scene_id", "x", "y"]
 _B = ", ".join(BANDS)
 
@@ -128,14 +131,20 @@ from (select item_id, asset, json_extract_string(j, '$.href') as orig_href,
              coalesce(json_extract_string(alt, '$.s3.href'), json_extract_string(alt, '$.S3.href')) as d,
              case when json_type(alt) = 'ARRAY' then
                list_filter(json_extract_string(alt, '$[*].href'), lambda h: starts_with(h, 's3://'))[1] end as l
-      from (select item_id, asset, j, coalesce(j -> 'alternate', j -> 'alternates') as alt
+      from (select item_id, asset, j, case when json_type(j -> 'alternate') in ('OBJECT', 'ARRAY') and (j -> 'alternate')::varchar not in ('{}', '[]') then j -> 'alternate' else j -> 'alternates' end as alt
             from (select item_id, asset, assets -> asset as j
-                  from (select item_id, assets, unnest(json_keys(assets)) as asset from assets_json) k) k2) k3) k4
+                  from (select item_id, assets, unnest(json_keys(assets)) as asset from assets_json where json_valid(assets)) k) k2) k3) k4
 """, "assets_json"))
 def q_prefer_s3_assets(spark, sf_dir):
     return C.prefer_s3_assets(fx.assets_json(spark, sf_dir))
 
 
+@register("asset_status", O.with_ctes(
+    "select item_id, case when json_valid(assets) then 'ok' else 'bad_json' end as status from assets_json", "assets_json"))
+def q_asset_status(spark, sf_dir):
+    return C.asset_status(fx.assets_json(spark, sf_dir))
+
+
 @register("band_assets", O.with_ctes(
     "select a.item_id, a.asset, b.ord, b.band, case when a.asset like '%10m' then '10m' "
     "when a.asset like '%20m' then '20m' end as res from assets a join band_order b "
@@ -223,8 +232,7 @@ def q_run_summary(spark, sf_dir):
     "scenes"))
 def q_season_filter(spark, sf_dir):
     s = fx.scenes(spark, sf_dir)
-    md = F.date_format("ts", "MM-dd")
-    s = s.filter(md.between("07-01", "08-31") & P.year_of("ts").isin(list(range(1995, 2002))))
+    s = C.season_filter(s, range(1995, 2002))
     return s.select("item_id", P.scene_date("ts").alias("date"), P.year_of("ts").alias("year"))
 
 
@@ -307,6 +315,14 @@ def _ppm(cov):
     return F.round(F.col("coverage_ratio") * 1000000).cast("bigint").alias("coverage_ppm")
 
 
+@register("expected_pixels", "select aoi_id, ((xmax_mm - xmin_mm) / 20000.0e0) * ((ymax_mm - ymin_mm) / 20000.0e0) as expected from ("
+          + ORACLE["aoi_bounds"] + ") b")
+def q_expected_pixels(spark, sf_dir):
+    """Pixels of 20 m that each AOI's projected bounds hold (bounds to the millimetre)."""
+    b = q_aoi_bounds(spark, sf_dir)
+    return b.select("aoi_id", P.expected_pixels(F.col("xmax_mm") - F.col("xmin_mm"), F.col("ymax_mm") - F.col("ymin_mm"), 20000.0).alias("expected"))
+
+
 @register("coverage_ratio", O.coverage_sql())
 def q_coverage_ratio(spark, sf_dir):
     cov = SP.aoi_coverage(fx.scenes(spark, sf_dir), fx.aois(spark, sf_dir))
@@ -322,20 +338,6 @@ def q_coverage_filter(spark, sf_dir):
 CLIP_BOUNDS_M = (300.0, 15.0, 1234.0, 77.0)   # xmin, ymin, xmax, ymax in grid metres
 
 
-def clip_index_range(bounds, x0: float = 0.0, y0: float = 0.0, res: float = fx.PIXEL_M):
-    """Integer pixel ranges whose cell centre lies within bounds +- res/2."""
-    import math
-    xmin, ymin, xmax, ymax = bounds
-    return (math.ceil((xmin - x0) / res - 1), math.ceil((ymin - y0) / res - 1),
-            math.floor((xmax - x0) / res), math.floor((ymax - y0) / res))
-
-
-def clip_bounds(df, bounds, x0=0.0, y0=0.0, res=fx.PIXEL_M):
-    """Clip to projected bounds: integer range predicates (parquet-prunable)."""
-    i0, j0, i1, j1 = clip_index_range(bounds, x0, y0, res)
-    return df.filter(F.col("x").between(i0, i1) & F.col("y").between(j0, j1))
-
-
 _CI = clip_index_range(CLIP_BOUNDS_M)
 
 
@@ -350,15 +352,6 @@ def q_clip_bounds(spark, sf_dir):
 CLIP_POLYGON_M = [(100.0, 0.0), (1900.0, 50.0), (1500.0, 600.0), (800.0, 300.0), (200.0, 900.0)]
 
 
-def clip_polygon(df, coords, res=fx.PIXEL_M):
-    """Pixels whose centre is inside the polygon, after the bbox range predicate."""
-    xs, ys = [c[0] for c in coords], [c[1] for c in coords]
-    df = clip_bounds(df, (min(xs), min(ys), max(xs), max(ys)), res=res)
-    cx = F.col("x") * res + res / 2
-    cy = F.col("y") * res + res / 2
-    return df.filter(G.point_in_polygon_lit(cx, cy, coords))
-
-
 _PB = clip_index_range((100.0, 0.0, 1900.0, 900.0))
 
 
@@ -370,16 +363,6 @@ def q_clip_polygon(spark, sf_dir):
     return clip_polygon(nd_obs(spark, sf_dir), CLIP_POLYGON_M).select(*PX, *BANDS)
 
 
-def clip_to_extent(df, image, by=("scene_id",)):
-    """Clip ``df`` to the per-scene extent of another image's valid pixels."""
-    valid = image.filter(~M.all_missing(image))
-    ext = valid.groupBy(*by).agg(F.min("x").alias("_x0"), F.max("x").alias("_x1"),
-                                 F.min("y").alias("_y0"), F.max("y").alias("_y1"))
-    j = df.join(checked_broadcast(ext), list(by))
-    return j.filter(F.col("x").between(F.col("_x0"), F.col("_x1")) &
-                    F.col("y").between(F.col("_y0"), F.col("_y1"))).drop("_x0", "_x1", "_y0", "_y1")
-
-
 @register("clip_to_extent", O.with_ctes(
     "select m.scene_id, m.x, m.y, m.cls from class_mask m join (select scene_id, min(x) as x0, "
     "max(x) as x1, min(y) as y0, max(y) as y1 from clean where coalesce(" + _B + ") is not null "
@@ -407,15 +390,6 @@ def q_pack_u16(spark, sf_dir):
     return m.select(*PX, *[P.pack_u16(b).alias(b) for b in BANDS])
 
 
-def band_labels(df, mapping=None):
-    """Rename asset-named band columns to band labels, by name, canonical order."""
-    mapping = mapping or dict(zip(BAND_ASSETS, BANDS))
-    present = {k: v for k, v in mapping.items() if k in df.columns}
-    other = [c for c in df.columns if c not in present]
-    out = df.withColumnsRenamed(present)
-    return out.select(*other, *[b for b in BANDS if b in present.values()])
-
-
 @register("band_labels", O.with_ctes(f"select year, scene_id, x, y, {_B} from obs", "obs"))
 def q_band_labels(spark, sf_dir):
     ob = fx.obs(spark, sf_dir)
@@ -445,16 +419,26 @@ def _mask_sql(cond_keep: str, src: str = "nd") -> str:
         f"case when {cond_keep} then {b} end as {b}" for b in BANDS) + f" from {src}", src)
 
 
-@register("scl_mask", _mask_sql("not coalesce(scl, 0) in (0,1,3,7,8,9,10,11)"))
+@register("scl_mask", _mask_sql("not coalesce(scl, 0) in (" + _codes(SCL_BAD) + ")"))
 def q_scl_mask(spark, sf_dir):
     return M.scl_mask(nd_obs(spark, sf_dir)).select(*PX, *BANDS)
 
 
-@register("scl_mask_invalid", _mask_sql("not coalesce(scl, 0) in (3,7,8,9,10,11)"))
+@register("scl_mask_invalid", _mask_sql("not coalesce(scl, 0) in (" + _codes(SCL_CLOUD) + ")"))
 def q_scl_mask_invalid(spark, sf_dir):
     return M.scl_mask_invalid(nd_obs(spark, sf_dir)).select(*PX, *BANDS)
 
 
+@register("scl_mask_optional", O.with_ctes(
+    "select year, scene_id, x, y, " + ", ".join(
+        f"case when h.n = 0 or not coalesce(s.scl, 0) in ({_codes(SCL_BAD)}) then {b} end as {b}" for b in BANDS)
+    + " from (select * replace (case when scene_id % 4 <> 1 then scl end as scl) from nd) s join (select scene_id, "
+    "count(case when scene_id % 4 <> 1 then scl end) as n from nd group by scene_id) h using (scene_id)", "nd"))
+def q_scl_mask_optional(spark, sf_dir):
+    nd = nd_obs(spark, sf_dir).withColumn("scl", F.when(F.col("scene_id") % 4 != 1, F.col("scl")))
+    return M.scl_mask_optional(nd).select(*PX, *BANDS)
+
+
 @register("brightness_mask", _mask_sql("not coalesce(red > 2100 and green > 2100 and blue > 2100, false)"))
 def q_brightness_mask(spark, sf_dir):
     return M.brightness_mask(nd_obs(spark, sf_dir)).select(*PX, *BANDS)
@@ -486,6 +470,17 @@ def q_class_mask(spark, sf_dir):
     return M.apply_class_mask(nd, fx.class_mask(spark, sf_dir, ob)).select(*PX, *BANDS)
 
 
+@register("nonzero_mask", O.with_ctes(
+    "select year, s.scene_id, s.x, s.y, " + ", ".join(
+        f"case when not coalesce(m.cls <> 0, false) then {b} end as {b}" for b in BANDS)
+    + " from nd s left join class_mask m on s.scene_id = m.scene_id and s.x = m.x and s.y = m.y",
+    "nd", "class_mask"))
+def q_nonzero_mask(spark, sf_dir):
+    ob = fx.obs(spark, sf_dir)
+    nd = ob.withColumns({b: P.mask_nodata(b) for b in BANDS})
+    return M.nonzero_mask(nd, fx.class_mask(spark, sf_dir, ob)).select(*PX, *BANDS)
+
+
 @register("mask_layer", O.with_ctes(
     "select l.scene_id, l.x, l.y, l.cls from class_mask_layers l join (select scene_id, "
     "max(layer) + 1 as n from class_mask_layers group by scene_id) n on l.scene_id = n.scene_id "
@@ -541,25 +536,26 @@ def q_band_stack(spark, sf_dir):
     return band_stack(fx.obs_long(spark, sf_dir))
 
 
-def _bilinear_sql() -> str:
-    agg = []
-    for b in ("swir1", "swir2"):
-        agg.append(f"cast(sum(cast({b} as bigint) * w) as double) / "
-                   f"cast(sum(case when {b} is not null then w end) as double) as {b}")
-    return O.with_ctes(f"""
-select scene_id, x, y, {', '.join(agg)}
-from (select b.scene_id, b.sx * 2 + kx.d as x, b.sy * 2 + ky.d as y, cast(kx.w * ky.w as bigint) as w,
-             b.swir1, b.swir2
-      from bands_20m b, (values (-1, 1), (0, 3), (1, 3), (2, 1)) kx(d, w),
-           (values (-1, 1), (0, 3), (1, 3), (2, 1)) ky(d, w)) e,
-     (select max(sx) + 1 as nx, max(sy) + 1 as ny from bands_20m) ext
-where x >= 0 and y >= 0 and x < nx * 2 and y < ny * 2
-group by scene_id, x, y
-having sum(case when swir1 is not null then w end) is not null
-    or sum(case when swir2 is not null then w end) is not null""", "bands_20m")
-
-
-@register("resample_bilinear", _bilinear_sql())
+def _gather_sql(values, src: str, grid: str, keys: str) -> str:
+    """Independent form: every target of the grid gathers its two nearest
+    coarse cells per axis, 3/4 and 1/4, over the cells that have a value."""
+    w = "(case when b.sx = g.x // 2 then 3 else 1 end * case when b.sy = g.y // 2 then 3 else 1 end)"
+    vals = ", ".join(f"sum(b.{v} * {w})::double / sum(case when b.{v} is not null then {w} end)::double as {v}" for v in values)
+    return (f"select {keys}, g.x, g.y, {vals} from {grid} g join {src} b on b.scene_id = g.scene_id "
+            f"and b.sx between (g.x + 1) // 2 - 1 and (g.x + 1) // 2 and b.sy between (g.y + 1) // 2 - 1 and (g.y + 1) // 2 "
+            f"group by {keys}, g.x, g.y having " + " or ".join(f"count(b.{v}) > 0" for v in values))
+
+
+def _grid_sql(ext: str) -> str:
+    return (f"select scene_id, x, unnest(range(y0, y1 + 1)) as y from "
+            f"(select scene_id, unnest(range(x0, x1 + 1)) as x, y0, y1 from ({ext}) e0) e1")
+
+
+O.cte("grid_20m", _grid_sql("select scene_id, min(sx) * 2 as x0, max(sx) * 2 + 1 as x1, min(sy) * 2 as y0, "
+                            "max(sy) * 2 + 1 as y1 from bands_20m group by scene_id"), "bands_20m")
+
+
+@register("resample_bilinear", O.with_ctes(_gather_sql(["swir1", "swir2"], "bands_20m", "grid_20m", "g.scene_id"), "bands_20m", "grid_20m"))
 def q_resample_bilinear(spark, sf_dir):
     return R.resample_bilinear(fx.bands_20m(spark, sf_dir), ["swir1", "swir2"])
 
@@ -640,9 +636,6 @@ def q_classify_tiles(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- 2.1 sinks / scans
-from pixtrend.session import new_scratch_path  # noqa: E402
-from pixtrend.sources.io import read_mosaic, read_scenes, write_mosaic  # noqa: E402
-from pixtrend.streaming.incremental import mask_scenes_stream  # noqa: E402
 
 
 @register("write_mosaic", O.with_ctes("select * from median", "median"))
@@ -656,23 +649,25 @@ def q_write_mosaic(spark, sf_dir):
     return read_mosaic(spark, path).select("year", "x", "y", *BANDS)
 
 
-@register("read_scenes", O.with_ctes(f"select year, scene_id, x, y, {_B}, scl from nd", "nd"))
+@register("read_scenes", O.with_ctes(f"select year, scene_id, x, y, {_B}, scl, 1 as n_files from nd", "nd"))
 def q_read_scenes(spark, sf_dir):
-    """Scene stack written as files (nodata kept as 0), scanned recursively by
-    glob with the nodata-aware read."""
+    """Scene stack written by the sink as it is (year folders, nodata kept as
+    0), scanned recursively by glob with the nodata-aware read.  ``n_files``:
+    each pixel row must come from a file of its own year's folder."""
     path = new_scratch_path(spark, "scenes")
-    write_mosaic(fx.obs(spark, sf_dir), path, partition_by=(), cluster=("year", "scene_id"))
+    write_mosaic(fx.obs(spark, sf_dir), path)
     df = read_scenes(spark, path, pattern="*.parquet", recursive=True)
-    return df.select("year", "scene_id", "x", "y", *BANDS, "scl")
+    own = F.col("source_file").contains(F.concat(F.lit("/year="), F.col("year").cast("string"), F.lit("/")))
+    return df.select("year", "scene_id", "x", "y", *BANDS, "scl", own.cast("int").alias("n_files"))
 
 
 @register("mask_scenes_stream", O.with_ctes(_sigma_sql("bright"), "bright"))
 def q_mask_scenes_stream(spark, sf_dir):
     """Incremental masking job: scenes land as files, a file stream masks the
-    new ones (SCL -> brightness -> sigma) and appends them per epoch."""
+    new ones (SCL -> brightness -> sigma), scene by scene."""
     src = new_scratch_path(spark, "incoming")
     nd = nd_obs(spark, sf_dir)
-    write_mosaic(nd, src, partition_by=("scene_id",), cluster=("scene_id",))
+    write_mosaic(nd, src, partition_by=("scene_id",))
     dst = new_scratch_path(spark, "masked")
     mask_scenes_stream(spark, src, dst, new_scratch_path(spark, "stream-ckpt"))
     return spark.read.parquet(dst).select(*PX, *BANDS)
@@ -694,22 +689,16 @@ select scene_id, band, case when band in ('swir1', 'swir2') then '20m' else '10m
 from obs_long where not (band not in ('swir1', 'swir2') and scene_id % 10 = 9)""", "obs_long")
 
 
+O.cte("grid_10m", _grid_sql("select scene_id, min(sx) as x0, max(sx) as x1, min(sy) as y0, max(sy) as y1 "
+                            "from long_res where res = '10m' group by scene_id"), "long_res")
+O.cte("coarse", "select * from long_res where res <> '10m'", "long_res")
+
+
 def _align_sql() -> str:
-    return O.with_ctes("""
-, flag as (select scene_id, max(case when res = '10m' then 1 else 0 end) as hf from long_res group by scene_id),
-j as (select l.*, f.hf from long_res l join flag f on l.scene_id = f.scene_id),
-up as (select * from j where hf = 1 and res <> '10m'),
-ext as (select max(sx) + 1 as nx, max(sy) + 1 as ny from up),
-e as (select u.scene_id, u.band, u.sx * 2 + kx.d as x, u.sy * 2 + ky.d as y,
-             cast(kx.w * ky.w as bigint) as w, u.v
-      from up u, (values (-1, 1), (0, 3), (1, 3), (2, 1)) kx(d, w),
-           (values (-1, 1), (0, 3), (1, 3), (2, 1)) ky(d, w)),
-res_up as (select scene_id, band, x, y,
-                  cast(sum(cast(v as bigint) * w) as double) / cast(sum(case when v is not null then w end) as double) as v
-           from e, ext where x >= 0 and y >= 0 and x < nx * 2 and y < ny * 2
-           group by scene_id, band, x, y having sum(case when v is not null then w end) is not null)
-select scene_id, band, sx as x, sy as y, cast(v as double) as v from j where hf = 0 or res = '10m'
-union all select scene_id, band, x, y, v from res_up""", "long_res").replace("\n, flag as", ",\nflag as", 1)
+    kept = ("select scene_id, band, sx as x, sy as y, cast(v as double) as v from long_res "
+            "where res = '10m' or scene_id not in (select scene_id from long_res where res = '10m')")
+    return O.with_ctes(f"{kept} union all {_gather_sql(['v'], 'coarse', 'grid_10m', 'g.scene_id, b.band')}",
+                       "long_res", "coarse", "grid_10m")
 
 
 @register("align_to_grid", _align_sql())

@@ -32,11 +32,15 @@ def ensure_jit_friendly_codegen(spark: SparkSession) -> None:
 def get_spark(master: str | None = None, partitions: int | None = None,
               app: str = "pixtrend", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings the jobs assume."""
-    master = master or os.environ.get("PIXTREND_MASTER", "local[8]")
-    b = SparkSession.builder.master(master).appName(app)
+    b = SparkSession.builder.appName(app)
+    master = master or os.environ.get("PIXTREND_MASTER")
+    if master:  # else as spark-submit says
+        b = b.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(partitions or 8)
-    conf.setdefault("spark.driver.memory", os.environ.get("PIXTREND_DRIVER_MEMORY", "8g"))
+    if partitions:
+        conf["spark.sql.shuffle.partitions"] = str(partitions)
+    if "PIXTREND_DRIVER_MEMORY" in os.environ:
+        conf["spark.driver.memory"] = os.environ["PIXTREND_DRIVER_MEMORY"]
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -56,8 +60,8 @@ def scratch_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if d:
-        if d.startswith("file:"):
-            d = d[len("file:"):]
+        if d.startswith("file:") and not sc.master.startswith("local"):
+            raise RuntimeError(f"spark.checkpoint.dir {d} is a folder of one machine; name a shared one")
         return d.rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder for this job")

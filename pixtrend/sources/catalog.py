@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pixtrend.constants import BAND_ASSETS, BANDS, SCL_ASSET
+from pixtrend.constants import BAND_ASSETS, BANDS, SCL_ASSET, SEASON
 
 
 def _as_date(d) -> dt.date:
@@ -37,10 +37,10 @@ def product_name(item_id) -> Column:
 
 
 def query_products(scenes: DataFrame, start=None, end=None, max_cloud: float | None = None,
-                   attrs: dict | None = None, top: int | None = 1000,
+                   attrs: dict | None = None, top: int | None = None,
                    aoi: tuple | None = None) -> DataFrame:
     """Product query: optional filters (``None`` = not applied), attribute
-    equality map, AOI bbox intersection and the first ``top`` names.
+    equality map, AOI bbox intersection and, if asked, the first ``top`` names.
 
     ``orderBy(...).limit(top)`` plans as a top-k (TakeOrderedAndProject), so
     no full sort of the catalogue happens.
@@ -69,14 +69,19 @@ def prefer_s3_assets(items: DataFrame, assets_col: str = "assets") -> DataFrame:
 
     ``alternate`` (else ``alternates``) may be an object (``s3``/``S3`` ->
     ``href``) or a list (first ``href`` starting with ``s3://``); otherwise
-    the original ``href`` stays.  Parsed as VARIANT, so both shapes coexist.
+    the original ``href`` stays.  An empty or null ``alternate`` counts as
+    absent.  Parsed as VARIANT, so both shapes coexist; items whose text is no
+    JSON have no assets here and show up in ``asset_status``.
     """
-    v = F.parse_json(F.col(assets_col))
+    v = F.try_parse_json(F.col(assets_col))
     ex = items.select("item_id", F.explode(
         F.try_variant_get(v, "$", "map<string,variant>")).alias("asset", "a"))
     a = F.col("a")
-    alt = F.coalesce(F.try_variant_get(a, "$.alternate", "variant"),
-                     F.try_variant_get(a, "$.alternates", "variant"))
+    first = F.try_variant_get(a, "$.alternate", "variant")
+    filled = (first.isNotNull() & ~F.is_variant_null(first)
+              & (F.coalesce(F.size(F.try_variant_get(first, "$", "map<string,variant>")), F.lit(1)) != 0)
+              & (F.coalesce(F.size(F.try_variant_get(first, "$", "array<variant>")), F.lit(1)) != 0))
+    alt = F.when(filled, first).otherwise(F.try_variant_get(a, "$.alternates", "variant"))
     from_dict = F.coalesce(F.try_variant_get(alt, "$.s3.href", "string"),
                            F.try_variant_get(alt, "$.S3.href", "string"))
     hrefs = F.transform(F.try_variant_get(alt, "$", "array<variant>"),
@@ -87,6 +92,25 @@ def prefer_s3_assets(items: DataFrame, assets_col: str = "assets") -> DataFrame:
                      F.coalesce(from_dict, from_list, orig).alias("href"))
 
 
+def asset_status(items: DataFrame, assets_col: str = "assets") -> DataFrame:
+    """``ok``, ``no_assets`` or ``bad_json`` per item, so that one bad item
+    becomes a status instead of a failed job."""
+    n = F.size(F.try_variant_get(F.try_parse_json(F.col(assets_col)), "$", "map<string,variant>"))
+    return items.select("item_id", F.when(F.try_parse_json(F.col(assets_col)).isNull(), "bad_json")
+                        .when(F.coalesce(n, F.lit(0)) <= 0, "no_assets").otherwise("ok").alias("status"))
+
+
+def season_filter(scenes: DataFrame, years, start: str = SEASON[0], end: str = SEASON[1], ts: str = "ts") -> DataFrame:
+    """Items of ``years`` acquired from ``start`` to ``end`` (MM-DD, both days
+    included), as a disjunction of time ranges that reaches the scan."""
+    cond = F.lit(False)
+    for y in years:
+        lo = _day_start(f"{y}-{start}")
+        hi = _day_start(_as_date(f"{y}-{end}") + dt.timedelta(days=1))
+        cond = cond | ((F.col(ts) >= lo) & (F.col(ts) < hi))
+    return scenes.filter(cond)
+
+
 def band_order_df(spark: SparkSession, assets=BAND_ASSETS, bands=BANDS) -> DataFrame:
     return spark.createDataFrame([(i + 1, a, b) for i, (a, b) in enumerate(zip(assets, bands))],
                                  "ord int, asset string, band string")
@@ -95,8 +119,8 @@ def band_order_df(spark: SparkSession, assets=BAND_ASSETS, bands=BANDS) -> DataF
 def band_assets(assets: DataFrame, band_order: DataFrame) -> DataFrame:
     """Assets of each item that are in the band list, with their resolution
     group (``10m`` read as the grid, ``20m`` resampled).  Absent assets are
-    simply missing.  ``band_order`` is a fixed short list: broadcast."""
-    return assets.select("item_id", "asset").join(F.broadcast(band_order), "asset") \
+    simply missing.  ``band_order`` is a short list; Spark broadcasts it by its size."""
+    return assets.select("item_id", "asset").join(band_order, "asset") \
         .withColumn("res", F.when(F.col("asset").endswith("10m"), "10m")
                     .when(F.col("asset").endswith("20m"), "20m"))
 
@@ -134,8 +158,14 @@ def pending(items: DataFrame, done: DataFrame, key: str = "item_id",
     return items if overwrite else items.join(done.select(key), key, "left_anti")
 
 
-def missing_years(df: DataFrame, y0: int, y1: int, year: str = "year") -> DataFrame:
-    """Expected years ``y0..y1`` that have no rows in ``df``."""
+def missing_years(df: DataFrame, y0: int, y1: int, year: str = "year", required: bool = False) -> DataFrame:
+    """Expected years ``y0..y1`` that have no rows in ``df``.
+
+    The years of ``df`` are made distinct first (combined before the shuffle),
+    so no task sees the pixels of a year.  ``required`` raises if none is missing."""
     spark = df.sparkSession
     years = spark.range(y0, y1 + 1).select(F.col("id").cast("int").alias(year))
-    return years.join(df.select(year), year, "left_anti")
+    out = years.join(df.select(year).distinct(), year, "left_anti")
+    if required and out.isEmpty():
+        raise ValueError(f"every year from {y0} to {y1} is there already")
+    return out

@@ -23,6 +23,7 @@ from pixtrend.constants import BAND_ASSETS, BANDS, SCL_ASSET
 GRID_W = 200      # pixel columns of the stand-in grid
 TILE = 50         # tile edge in pixels (production blocking is 512)
 PIXEL_M = 10      # pixel size in metres of the stand-in grid
+SPIKE, ZERO, SCL_GAP = 200, 97, 13
 
 # asset -> (ord, band column); ord 7 is the classification layer
 ASSET_ORDER = [(i + 1, a, b) for i, (a, b) in enumerate(zip(BAND_ASSETS, BANDS))] + [
@@ -46,17 +47,21 @@ def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("l_partkey") / GRID_W).cast("int").alias("y"),
         "l_extendedprice", "l_orderkey",
     )
-    # hash-partitioned by pixel, like a stack stored bucketed by (x, y): every
-    # per-pixel grouping downstream (mosaic, trend) reuses this partitioning
-    out = keyed.repartition("x", "y").groupBy("year", "scene_id", "x", "y").agg(
-        F.max(p % 4000).cast("int").alias("blue"),
-        F.max((p * 3) % 4000).cast("int").alias("green"),
-        F.max((p * 7) % 4000).cast("int").alias("red"),
-        F.max((p * 11) % 11000).cast("int").alias("nir"),
-        F.max((p * 13) % 5000).cast("int").alias("swir1"),
-        F.max((p * 17) % 5000).cast("int").alias("swir2"),
-        (F.max("l_orderkey") % 12).cast("int").alias("scl"),
+    # what the rules must meet: an outlier in one row of SPIKE, pixels that are
+    # zero in every band, and a missing class in one pixel of SCL_GAP
+    spike = F.col("l_orderkey") % SPIKE == 1
+    zero = F.col("y") * GRID_W + F.col("x")
+    out = keyed.groupBy("year", "scene_id", "x", "y").agg(
+        F.max(F.when(spike, 10000).otherwise(p % 4000)).alias("blue"),
+        F.max((p * 3) % 4000).alias("green"),
+        F.max((p * 7) % 4000).alias("red"),
+        F.max((p * 11) % 11000).alias("nir"),
+        F.max((p * 13) % 5000).alias("swir1"),
+        F.max(F.when(spike, 10000).otherwise((p * 17) % 5000)).alias("swir2"),
+        F.max("l_orderkey").alias("k"),
     )
+    out = out.withColumns({b: F.when(zero % ZERO == 5, 0).otherwise(F.col(b)).cast("int") for b in BANDS})
+    out = out.withColumn("scl", F.when(F.col("k") % SCL_GAP != 0, F.col("k") % 12).cast("int"))
     return out.select(
         "year", "scene_id",
         F.floor(F.col("x") / TILE).cast("int").alias("tile_x"),
@@ -104,9 +109,10 @@ def band_order(spark: SparkSession) -> DataFrame:
 
 
 def class_mask(spark: SparkSession, sf_dir: str, ob: DataFrame | None = None) -> DataFrame:
-    """Predicted classes per pixel (0 = clear); nodata holes where (x+y) % 11 == 0."""
+    """Predicted classes per pixel (0 = clear); every third scene has nodata
+    holes where (x+y) % 11 == 0, the others match their scene."""
     ob = ob if ob is not None else obs(spark, sf_dir)
-    return ob.filter((F.col("x") + F.col("y")) % 11 != 0).select(
+    return ob.filter(((F.col("x") + F.col("y")) % 11 != 0) | (F.col("scene_id") % 3 != 0)).select(
         "scene_id", "x", "y",
         ((F.col("x") * 3 + F.col("y") * 5 + F.col("scene_id")) % 4).cast("int").alias("cls"),
     )
@@ -142,23 +148,26 @@ def product_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _asset_json(item: Column, asset: Column) -> Column:
     key = F.concat(item.cast("string"), F.lit("/"), asset)
     href = F.concat(F.lit('{"href":"https://h/'), key, F.lit('"'))
-    r = item % 4
+    r = item % 8
     return F.concat(
         F.lit('"'), asset, F.lit('":'), href,
-        F.when(r == 0, F.concat(F.lit(',"alternate":{"s3":{"href":"s3://b/'), key, F.lit('"}}}')))
-        .when(r == 1, F.concat(F.lit(',"alternates":[{"href":"http://m/'), key,
+        F.when(r.isin(0, 4), F.concat(F.lit(',"alternate":{"s3":{"href":"s3://b/'), key, F.lit('"}}}')))
+        .when(r.isin(1, 5), F.concat(F.lit(',"alternates":[{"href":"http://m/'), key,
                                F.lit('"},{"href":"s3://c/'), key, F.lit('"}]}')))
+        .when(r == 3, F.concat(F.lit(',"alternate":{},"alternates":[{"href":"s3://e/'), key, F.lit('"}]}')))
+        .when(r == 7, F.concat(F.lit(',"alternate":null,"alternates":{"s3":{"href":"s3://n/'), key, F.lit('"}}}')))
         .when(r == 2, F.concat(F.lit(',"alternate":{"S3":{"href":"s3://u/'), key, F.lit('"}}}')))
         .otherwise(F.lit("}")),
     )
 
 
 def assets_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(item_id, assets)`` with the catalogue's nested JSON asset objects."""
+    """``(item_id, assets)`` with the catalogue's nested JSON asset objects;
+    one item in 97 is cut short and is no JSON."""
     a = assets(spark, sf_dir)
     return a.groupBy("item_id").agg(
         F.concat(F.lit("{"), F.array_join(F.sort_array(F.collect_list(
-            _asset_json(F.col("item_id"), F.col("asset")))), ","), F.lit("}")).alias("assets"))
+            _asset_json(F.col("item_id"), F.col("asset")))), ","), F.when(F.col("item_id") % 97 != 5, "}").otherwise("")).alias("assets"))
 
 
 def aois(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,12 +6,11 @@ does the bookkeeping: the stream checkpoint records which files were
 processed, so a rerun (``trigger(availableNow=True)``) masks only new scenes,
 and a failed run resumes where it stopped.
 
-Each micro-batch is masked as an ordinary DataFrame inside ``foreachBatch``
-(the per-scene sigma statistics need whole scenes: write each scene's rows in
-one go, e.g. partitioned by ``scene_id``, so a file never holds part of a
-scene that another batch completes).  Output goes to ``dst/batch=<epoch>``
-with overwrite, so a replayed epoch rewrites its own folder instead of
-appending duplicates.
+Each micro-batch names the scenes that got new files.  These scenes are read
+whole from the source folder, masked as an ordinary DataFrame, and their
+output folders ``dst/scene_id=<id>`` are overwritten: the per-scene sigma
+statistics always see the whole scene, also if its files arrive in several
+batches, and a replayed batch rewrites the same folders.
 """
 
 from __future__ import annotations
@@ -28,16 +27,16 @@ from pixtrend.sources.io import write_mosaic
 def mask_scenes_stream(spark: SparkSession, src: str, dst: str, checkpoint: str,
                        schema: StructType | None = None,
                        mask: Callable[[DataFrame], DataFrame] = mask_chain,
-                       max_files_per_trigger: int | None = None, wait: bool = True):
-    """Mask every scene file under ``src`` not yet processed; write to ``dst``."""
+                       scene: str = "scene_id", wait: bool = True):
+    """Mask every scene under ``src`` that has files not yet processed; write to ``dst``."""
     schema = schema or spark.read.parquet(src).schema
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(src)
+    stream = spark.readStream.schema(schema).parquet(src)
 
     def per_batch(df: DataFrame, epoch_id: int) -> None:
-        write_mosaic(mask(df), f"{dst}/batch={epoch_id}", mode="overwrite")
+        session = df.sparkSession
+        changed = df.select(scene).distinct()
+        whole = session.read.schema(schema).parquet(src).join(changed, scene, "left_semi")
+        write_mosaic(mask(whole), dst, partition_by=(scene,), mode="overwrite", replace_partitions=True)
 
     q = (stream.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint)

@@ -26,6 +26,19 @@ def test_rerun_processes_only_new_scenes(spark):
     mask_scenes_stream(spark, src, dst, ckpt)
     out = spark.read.parquet(dst)
     assert out.count() == 120                                  # nothing processed twice
-    per_batch = {r["batch"]: r["n"] for r in out.groupBy("batch").agg(F.count("*").alias("n")).collect()}
-    assert sorted(per_batch.values()) == [40, 80]              # second epoch = the new scene only
     assert sorted(r["scene_id"] for r in out.select("scene_id").distinct().collect()) == [1, 2, 3]
+
+
+def test_scene_in_two_batches_is_masked_as_a_whole(spark):
+    """Half a scene arrives, then the half with an outlier: the statistics of
+    the second run see both halves, and nothing is kept from the first."""
+    src, dst, ckpt = (new_scratch_path(spark, p) for p in ("in2", "out2", "ckpt2"))
+    first = spark.createDataFrame([(2000, 7, x, 0, *[100] * 6, 4) for x in range(30)], SCHEMA)
+    second = spark.createDataFrame([(2000, 7, x, 0, *([9000] * 6 if x == 30 else [100] * 6), 4) for x in range(30, 60)], SCHEMA)
+    for part in (first, second):
+        write_mosaic(part, src, partition_by=("scene_id",), cluster=("scene_id",), mode="append")
+        mask_scenes_stream(spark, src, dst, ckpt)
+    out = spark.read.parquet(dst)
+    assert out.count() == 60
+    blank = [r["x"] for r in out.filter(F.col("nir").isNull()).collect()]
+    assert blank == [30]
