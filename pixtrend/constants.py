@@ -6,9 +6,8 @@ used by the workflow).  They are listed plainly and in their natural order.
 """
 
 # --- fixed values -----------------------------------------------------------
-# Sentinel-2 asset names in stacking order and the labels they receive.
+# Sentinel-2 asset names in stacking order.
 BAND_ASSETS = ["B02_10m", "B03_10m", "B04_10m", "B08_10m", "B11_20m", "B12_20m"]
-BAND_LABELS = ["Blue", "Green", "Red", "NIR", "SWIR1", "SWIR2"]
 # Column names used for the six labelled bands in every table of this package.
 BANDS = ["blue", "green", "red", "nir", "swir1", "swir2"]
 # Scene-classification asset and its column.

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pixtrend.constants import REFLECTANCE_MAX, SLOPE_SCALE, STRETCH_HI, STRETCH_LO
+from pixtrend.constants import REFLECTANCE_MAX, STRETCH_HI, STRETCH_LO
 
 
 def col(c) -> Column:
@@ -45,10 +45,6 @@ def pack_u16(c, hi: int = REFLECTANCE_MAX) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(hi), F.coalesce(c, F.lit(0)))).cast("int")
 
 
-def scale_slope(c, factor: int = SLOPE_SCALE) -> Column:
-    return col(c) * factor
-
-
 def stretch_u8(c, lo: float = STRETCH_LO, hi: float = STRETCH_HI) -> Column:
     """Clip to [lo, hi], map linearly to 0..255, truncate; missing -> 0."""
     c = col(c)

@@ -29,11 +29,6 @@ def median_mosaic(obs: DataFrame, keys=PIXEL_KEYS, bands=BANDS, pack: bool = Tru
     return obs.groupBy(*keys).agg(*aggs)
 
 
-def _nearest_index(n, q: float):
-    """0-based index of numpy's ``nearest`` quantile: round-half-even((n-1)q)."""
-    return F.rint((n - 1).cast("double") * F.lit(float(q))).cast("long")
-
-
 def quantile_mosaic(obs: DataFrame, q_by_band: dict | None = None, keys=PIXEL_KEYS,
                     method: str = "nearest", pack: bool = True) -> DataFrame:
     """Per-pixel, per-band quantile with its own ``q`` for every band.

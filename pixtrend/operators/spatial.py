@@ -39,34 +39,44 @@ def aoi_scene_pairs(scenes: DataFrame, aois: DataFrame, cell: float = 1.0) -> Da
     return j.filter(keep).drop("_cx", "_cy")
 
 
-def ring_vertex_slots(scenes: DataFrame, ring: str = "ring", cap: int = 16) -> int:
-    """Vertex slots for the closed form: the largest ring in the catalogue
-    (one small aggregate over one column), at least 3 and at most ``cap``;
-    rings above the cap take the general clip."""
-    m = scenes.agg(F.max(F.size(ring))).first()[0] or 3
-    return int(min(max(m, 3), cap))
+#: Vertices that the code-generated closed form has room for; every row with a
+#: larger or a non-convex ring takes the general clip in the same plan.
+VERTEX_SLOTS = 6
 
 
-def aoi_coverage(scenes: DataFrame, aois: DataFrame, cell: float = 1.0,
-                 max_vertices: int | None = None) -> DataFrame:
-    """Coverage ratio of every intersecting (AOI, scene) pair, projected to the
-    UTM zone of the AOI centre.  Convex footprints (the normal case) take a
-    code-generated closed form; other rings the general polygon clip."""
+def aoi_coverage(scenes: DataFrame, aois: DataFrame, cell: float = 1.0, epsg=None,
+                 min_ratio: float | None = None, max_vertices: int = VERTEX_SLOTS) -> DataFrame:
+    """Coverage ratio of every intersecting (AOI, scene) pair.
+
+    Both are projected to ``epsg`` (a number or column, e.g. from
+    ``detect_epsg``), by default the UTM zone of the AOI centre.  Convex
+    footprints (the normal case) take a code-generated closed form; other rings
+    the general polygon clip.  ``min_ratio`` keeps pairs at or above it: pairs
+    whose boxes overlap by less than half of that are dropped before any
+    projection (areas stretch far less than twofold inside an AOI), the rest
+    before anything is written.
+    """
     ensure_jit_friendly_codegen(scenes.sparkSession)
     p = aoi_scene_pairs(scenes, aois, cell)
-    epsg = utm_epsg((F.col("a_west") + F.col("a_east")) / 2, (F.col("a_south") + F.col("a_north")) / 2)
-    p = p.select("aoi_id", "item_id", epsg.alias("epsg"), "ring", "a_west", "a_south", "a_east",
+    if min_ratio is not None:
+        overlap = ((F.least("s_east", "a_east") - F.greatest("s_west", "a_west"))
+                   * (F.least("s_north", "a_north") - F.greatest("s_south", "a_south")))
+        p = p.filter(overlap >= (F.col("a_east") - F.col("a_west")) * (F.col("a_north") - F.col("a_south")) * (min_ratio / 2))
+    if epsg is None:
+        epsg = utm_epsg((F.col("a_west") + F.col("a_east")) / 2, (F.col("a_south") + F.col("a_north")) / 2)
+    elif isinstance(epsg, int):
+        epsg = F.lit(epsg)
+    p = p.select("aoi_id", "item_id", epsg.cast("int").alias("epsg"), "ring", "a_west", "a_south", "a_east",
                  "a_north")
-    k = max_vertices or ring_vertex_slots(scenes)
     p = with_convex_coverage(p, "ring", ("a_west", "a_south", "a_east", "a_north"), "epsg",
-                             max_vertices=k)
+                             max_vertices=max_vertices)
     out = p.select("aoi_id", "item_id", "epsg", "coverage_ratio")
-    # The pair table is catalogue-sized (a few scenes per AOI).  Writing it to
-    # the shared checkpoint folder fixes the staged closed form: a later filter
-    # on ``coverage_ratio`` would otherwise be pushed below the stages by
-    # substituting their expressions into one very large predicate.
+    # Writing the pair table to the shared checkpoint folder fixes the staged
+    # closed form: a later filter on ``coverage_ratio`` would otherwise be pushed
+    # below the stages by substituting their expressions into one large predicate.
     scratch_dir(out.sparkSession)
-    return out.checkpoint(eager=True)
+    out = out.checkpoint(eager=False)
+    return out if min_ratio is None else coverage_filter(out, min_ratio)
 
 
 def coverage_filter(coverage: DataFrame, min_ratio: float = AOI_MIN_COVERAGE_RATIO) -> DataFrame:

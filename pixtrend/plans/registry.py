@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixtrend.constants import BAND_ASSETS, BANDS, QUANTILE_BY_BAND, SCL_BAD, SCL_CLOUD
+from pixtrend.constants import AOI_MIN_COVERAGE_RATIO, BAND_ASSETS, BANDS, DEFAULT_AOI, QUANTILE_BY_BAND, SCL_BAD, SCL_CLOUD, SIGMA_K
 from pixtrend.functions import geo as G
 from pixtrend.functions import pixel as P
 from pixtrend.functions.indices import TC_NAMES, tasseled_cap
@@ -22,6 +22,7 @@ from pixtrend.operators.clip import clip_bounds, clip_index_range, clip_polygon,
 from pixtrend.operators.mosaic import band_labels, band_stack, median_mosaic, quantile_mosaic, stack_scenes
 from pixtrend.operators.trend import linear_trend, trend_visual
 from pixtrend.plans import oracle as O
+from pixtrend.plans.catalogue_trend import catalogue_trend
 from pixtrend.plans.trend_map import trend_map
 from pixtrend.session import new_scratch_path
 from pixtrend.sources import catalog as C
@@ -331,8 +332,8 @@ def q_coverage_ratio(spark, sf_dir):
 
 @register("coverage_filter", O.coverage_sql(min_ratio=0.4))
 def q_coverage_filter(spark, sf_dir):
-    cov = SP.aoi_coverage(fx.scenes(spark, sf_dir), fx.aois(spark, sf_dir))
-    return SP.coverage_filter(cov).select("aoi_id", "item_id", "epsg", _ppm(cov))
+    cov = SP.aoi_coverage(fx.scenes(spark, sf_dir), fx.aois(spark, sf_dir), min_ratio=AOI_MIN_COVERAGE_RATIO)
+    return cov.select("aoi_id", "item_id", "epsg", _ppm(cov))
 
 
 CLIP_BOUNDS_M = (300.0, 15.0, 1234.0, 77.0)   # xmin, ymin, xmax, ymax in grid metres
@@ -704,3 +705,66 @@ def _align_sql() -> str:
 @register("align_to_grid", _align_sql())
 def q_align_to_grid(spark, sf_dir):
     return R.align_to_grid(_long_res(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- U3 catalogue -> trend
+JOB_BOUNDS_M = (100.0, 0.0, 1500.0, 80.0)
+_JB = clip_index_range(JOB_BOUNDS_M)
+JOB_PIXELS = float((_JB[2] - _JB[0] + 1) * (_JB[3] - _JB[1] + 1))
+JOB_COVERAGE = 0.01  # the stand-in scenes are sparse
+
+O.cte("job_scenes", """
+select scene_id, year from (
+  select distinct cast(year(l_shipdate) * 100 + l_suppkey % 10 as int) as scene_id, cast(year(l_shipdate) as int) as year from lineitem) s
+where year between 1995 and 2001
+  and strftime(make_date(year, 6, 25) + cast((scene_id % 9) * 10 as int), '%m-%d') between '07-01' and '08-31'
+  and (scene_id * 37) % 101 <= 80 and scene_id % 5 <> 0
+  and not exists (select 1 from range(1, 8) t(ord) where (scene_id + ord) % 16 = 0)
+  and scene_id % 10 < 7""")  # the other footprints miss the AOI
+O.cte("job_long", """
+select l.scene_id, l.band, case when l.band in ('swir1', 'swir2') then '20m' else '10m' end as res,
+       case when l.band in ('swir1', 'swir2') then l.x // 2 else l.x end as sx,
+       case when l.band in ('swir1', 'swir2') then l.y // 2 else l.y end as sy, nullif(l.v, 0) as v
+from obs_long l join job_scenes using (scene_id) where l.band not in ('swir1', 'swir2') or (l.x % 2 = 0 and l.y % 2 = 0)""",
+      "obs_long", "job_scenes")
+O.cte("job_grid", _grid_sql("select scene_id, min(sx) as x0, max(sx) as x1, min(sy) as y0, max(sy) as y1 "
+                            "from job_long where res = '10m' group by scene_id"), "job_long")
+O.cte("job_coarse", "select * from job_long where res = '20m'", "job_long")
+O.cte("job_fine", "select scene_id, band, sx as x, sy as y, cast(v as double) as v from job_long where res = '10m' union all "
+      + _gather_sql(["v"], "job_coarse", "job_grid", "g.scene_id, b.band"), "job_long", "job_coarse", "job_grid")
+O.cte("job_stack", "select w.*, o.scl, job_scenes.year from (select scene_id, x, y, "
+      + ", ".join(f"max(case when band = '{b}' then v end) as {b}" for b in BANDS)
+      + " from job_fine group by scene_id, x, y) w join job_scenes using (scene_id) left join obs o on o.scene_id = w.scene_id "
+      "and o.x = w.x // 2 * 2 and o.y = w.y // 2 * 2 "
+      f"where w.x between {_JB[0]} and {_JB[2]} and w.y between {_JB[1]} and {_JB[3]}", "job_fine", "job_scenes", "obs")
+O.cte("job_good", "select * from job_stack where scene_id in (select scene_id from job_stack group by scene_id having count(scl) > 0 "
+      "and count(*) filter (where scl <> 0) > 0 and cast(count(*) filter (where scl in (3, 7, 8, 9, 10, 11)) as double) "
+      f"/ count(*) filter (where scl <> 0) <= {FIXTURE_CLOUD_THRESH}e0 "
+      f"and cast(count(*) filter (where scl <> 0) as double) / {JOB_PIXELS}e0 >= {JOB_COVERAGE}e0)", "job_stack")
+O.cte("job_bright", "select year, scene_id, x, y, " + ", ".join(
+    f"case when not coalesce(scl, 0) in ({_codes(SCL_BAD)}) and not coalesce(red > 2100 and green > 2100 and blue > 2100 "
+    f"and not coalesce(scl, 0) in ({_codes(SCL_BAD)}), false) then {b} end as {b}" for b in BANDS) + " from job_good", "job_good")
+O.cte("job_clean", "select b.year, b.scene_id, b.x, b.y, " + ", ".join(
+    f"case when abs({b} - m_{b}) <= {SIGMA_K} * s_{b} then {b} end as {b}" for b in BANDS) + " from job_bright b join (select scene_id, "
+    + ", ".join(f"avg({b}) as m_{b}, stddev_pop({b}) as s_{b}" for b in BANDS) + " from job_bright group by scene_id) s "
+    "on s.scene_id = b.scene_id", "job_bright")
+O.cte("job_median", "select year, x, y, " + ", ".join(
+    f"{O.pack(f'median(case when {b} > 0 then {b} end)')} as {b}" for b in BANDS) + " from job_clean group by year, x, y", "job_clean")
+O.cte("job_tc", "select year, x, y, " + ", ".join(f"{O.tc_e8_sql(n)} as {n}_e8" for n in TC_NAMES) + " from job_median", "job_median")
+O.cte("job_trend", "select x, y, " + ", ".join(
+    f"{O.slope_sql(f'{n}_e8')} as {n}_slope, cast(count({n}_e8) as int) as n_{n}" for n in TC_NAMES) + " from job_tc group by x, y", "job_tc")
+
+
+@register("catalogue_trend", O.with_ctes(
+    "select x, y, " + ", ".join(f"{n}_slope" for n in TC_NAMES) + ", n_tcb as n_years, "
+    + ", ".join(f"{O.stretch_sql(f'{n}_slope')} as {n}_u8" for n in TC_NAMES) + " from job_trend", "job_trend"))
+def q_catalogue_trend(spark, sf_dir):
+    """From the catalogue to the trend map, every step in one job."""
+    ob = fx.obs(spark, sf_dir)
+    w, s, e, n = DEFAULT_AOI
+    aoi = spark.createDataFrame([(1, w, s, e, n)], "aoi_id int, west double, south double, east double, north double")
+    scenes = fx.scene_catalogue(spark, sf_dir)
+    finished = scenes.filter(F.col("item_id") % 5 == 0).select("item_id")
+    return catalogue_trend(scenes, fx.scene_assets(spark, sf_dir), aoi, finished, fx.scene_bands(spark, sf_dir, ob),
+                           fx.scene_classes(spark, sf_dir, ob), range(1995, 2002), JOB_BOUNDS_M, JOB_PIXELS, grid="MGRS-5",
+                           epsg=32605, cloud_thresh=FIXTURE_CLOUD_THRESH, min_coverage=JOB_COVERAGE)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixtrend.constants import BAND_ASSETS, BANDS, SCL_ASSET
+from pixtrend.constants import BAND_ASSETS, BANDS, DEFAULT_AOI, SCL_ASSET
 
 GRID_W = 200      # pixel columns of the stand-in grid
 TILE = 50         # tile edge in pixels (production blocking is 512)
@@ -180,6 +180,52 @@ def aois(spark: SparkSession, sf_dir: str) -> DataFrame:
         (west + 0.5).alias("east"), (south + 0.5).alias("north"))
 
 
+def scene_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalogue items of the ``obs`` scenes (``item_id`` = ``scene_id``).  Days
+    run past the season, the cloud cover over the whole range; the footprints
+    of ids ending in 0 to 6 contain ``DEFAULT_AOI``, the others miss it."""
+    w, s, e, n = DEFAULT_AOI
+    li = table(spark, sf_dir, "lineitem")
+    yr = F.year("l_shipdate")
+    ids = li.select(yr.alias("year"), (yr * 100 + F.col("l_suppkey") % 10).cast("int").alias("item_id")).distinct()
+    k = F.col("item_id")
+    shift = F.when(k % 10 < 7, 0.0).otherwise(5.0)
+    out = ids.select("item_id", F.date_add(F.make_date("year", F.lit(6), F.lit(25)), (k % 9) * 10).cast("timestamp_ntz").alias("ts"),
+                     ((k * 37) % 101).alias("cloud_cover"), F.lit("MGRS-5").alias("grid_code"), F.lit(32605).alias("proj_epsg"),
+                     (F.lit(w - 0.5) + shift).alias("west"), F.lit(s - 0.5).alias("south"),
+                     (F.lit(e + 0.5) + shift).alias("east"), F.lit(n + 0.5).alias("north"))
+    pt = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    mid = F.struct(((F.col("west") + F.col("east")) / 2).alias("x"), (F.col("north") + 0.2).alias("y"))
+    # five corners; every third ring is closed by its first point
+    ring = [pt(F.col("west"), F.col("south")), pt(F.col("east"), F.col("south")), pt(F.col("east"), F.col("north")), mid,
+            pt(F.col("west"), F.col("north"))]
+    return out.withColumn("ring", F.when(k % 3 == 0, F.array(*ring, ring[0])).otherwise(F.array(*ring)))
+
+
+def scene_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assets of the ``obs`` scenes; one in sixteen is missing."""
+    entries = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(a).alias("asset"), F.lit(b).alias("band")) for i, a, b in ASSET_ORDER])
+    return (scene_catalogue(spark, sf_dir).select("item_id", F.inline(entries))
+            .filter((F.col("item_id") + F.col("ord")) % 16 != 0))
+
+
+def scene_bands(spark: SparkSession, sf_dir: str, ob: DataFrame | None = None) -> DataFrame:
+    """``(scene_id, band, res, sx, sy, v)``: the visible and near-infrared bands
+    on the 10 m grid, the short-wave bands on the 20 m grid (every second pixel)."""
+    lr = obs_long(spark, sf_dir, ob)
+    coarse = F.col("band").isin("swir1", "swir2")
+    lr = lr.filter(~coarse | ((F.col("x") % 2 == 0) & (F.col("y") % 2 == 0)))
+    half = lambda c: F.when(coarse, F.floor(F.col(c) / 2)).otherwise(F.col(c)).cast("int")
+    return lr.select("scene_id", "band", F.when(coarse, "20m").otherwise("10m").alias("res"), half("x").alias("sx"), half("y").alias("sy"), "v")
+
+
+def scene_classes(spark: SparkSession, sf_dir: str, ob: DataFrame | None = None) -> DataFrame:
+    """``(scene_id, sx, sy, scl)`` on the 20 m grid."""
+    ob = ob if ob is not None else obs(spark, sf_dir)
+    return ob.filter((F.col("x") % 2 == 0) & (F.col("y") % 2 == 0)).select(
+        "scene_id", F.floor(F.col("x") / 2).cast("int").alias("sx"), F.floor(F.col("y") / 2).cast("int").alias("sy"), "scl")
+
+
 def class_mask_layers(spark: SparkSession, sf_dir: str, cm: DataFrame | None = None) -> DataFrame:
     """Class masks as the classifier returns them: three layers for even
     scenes, one layer otherwise; ``(scene_id, x, y, layer, cls)``."""
