@@ -25,9 +25,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less the lines that repeat or nearly repeat an earlier one.  A
     document that had words and lost its last one goes; ``n_chars`` follows."""
-    out = line_dedup.dedup_lines(docs)
+    out = line_dedup.dedup_lines(aside(docs))
     emptied = (F.col("n_kept") < F.col("n_lines")) & (F.trim(F.regexp_replace("text", r"\s", "")) == "")
-    return with_size(out.where(F.col("text").isNull() | ~emptied).drop("n_lines", "n_kept"), docs.columns)
+    return restored(out.where(F.col("text").isNull() | ~emptied), "text", docs)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,9 +41,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def cut_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less the passages that hold a benchmark window."""
-    out = fm_index.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    out = out.withColumn("text", F.col("clean_text")).drop(*fm_index.HIT_COLUMNS)
-    return with_size(out, docs.columns)
+    return restored(fm_index.decontaminate(aside(docs), table(spark, sf_dir, "benchmark")), "clean_text", docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,11 +50,17 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"))
 
 
-def with_size(out: DataFrame, columns: list[str]) -> DataFrame:
-    """The columns of the documents, with ``n_chars`` of the text as it is now."""
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.length("text").cast(out.schema["n_chars"].dataType))
-    return out.select(columns)
+def aside(docs: DataFrame) -> DataFrame:
+    """Key and text, all other columns in one that no operator's names can clash with."""
+    return docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *[c for c in docs.columns if c not in ("doc_id", "text")]).alias("_rest"))
+
+
+def restored(out: DataFrame, text: str, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again, with the new text and its ``n_chars``."""
+    new = {"doc_id": F.col("doc_id"), "text": F.col(text)}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+    return out.select(*[new.get(c, F.col("_rest").getField(c)).alias(c) for c in docs.columns])
 
 
 STAGES = [
