@@ -8,8 +8,8 @@ by its first place (document, line number); only classes are compared:
    leads.  A line is then a sorted array of numbers, rarest word first.
 2. *Prefix.*  Sets that reach the similarity share one of their rarest
    ``n - ceil(t n) + 1`` words, so classes meet on those words only.
-3. *Filters.*  Length, position of the shared word, and a 64-bit parity bitmap
-   of the set discard pairs that cannot reach it.  A semi-join keeps classes
+3. *Filters.*  Length, position of the shared word, and a parity bitmap of the
+   set discard pairs that cannot reach it.  A semi-join keeps classes
    with a possible partner: it emits no pairs.
 4. *Verification.*  The remaining lines meet again with their whole word sets;
    a line goes if an earlier line reaches the Jaccard.  This is a semi-join as
@@ -26,21 +26,24 @@ from pixtrend.llm.scratch import materialise
 
 #: Similarity as an exact fraction.
 NUM, DEN = 4, 5
-RARITY_BITS = 14
+RARITY_BITS = 16
 #: Rows of wanted places (16 bytes each) up to which they are broadcast to the
 #: scan of the texts; beyond, lines are shuffled to them.
 BROADCAST_ROWS = 2_000_000
 #: Sets of up to this size have no partner but an equal set.
 LONELY = DEN // (DEN - NUM) - 2
+#: Up to this size a set's bitmap is 64 bits wide, beyond it 128.
+NARROW = 96
 LAST = (1 << 63) - 1
 SIZE_BITS = 18
 BIG = (1 << SIZE_BITS) - 1
 
 
 def words_of(line: Column) -> Column:
-    """Hashes of the words between ASCII white space, with repeats; the empty
-    word, left by white space at the ends, is among them."""
-    return F.split(F.lower(line), "[ \\t\\x0B\\f\\r]+")
+    """The words between ASCII white space, with repeats; the empty word, left
+    by white space at the ends or in a row, may be among them."""
+    odd = F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r")) | F.contains(line, F.lit("\f")) | F.contains(line, F.lit("\x0b"))
+    return F.split(F.lower(F.when(odd, F.translate(line, "\t\r\f\x0b", "    ")).otherwise(line)), " ")  # a plain split is no regex
 
 
 def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -76,14 +79,31 @@ def prefix_length(n: Column) -> Column:
     return (n - F.floor((n * NUM + (DEN - 1)) / DEN) + 1).cast("int")
 
 
+def bitmap(s: Column) -> tuple[Column, Column]:
+    """Parity bitmap of a set in two halves; up to ``NARROW`` elements the
+    second is empty.  Both halves together (xor) are always the 64-bit one."""
+    def parity(half: int | None) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            bit = F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))
+            return acc.bitwiseXOR(bit if half is None else F.when(x.bitwiseAND(F.lit(64)) == 64 * half, bit).otherwise(F.lit(0).cast("long")))
+
+        return F.aggregate(s, F.lit(0).cast("long"), step)
+
+    wide = F.size(s) > NARROW
+    return F.when(wide, parity(0)).otherwise(parity(None)), F.when(wide, parity(1)).otherwise(F.lit(0).cast("long"))
+
+
 def may_reach(a: str, b: str) -> Column:
-    """Length, positional and bitmap filters on two rows that share a prefix word."""
-    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    need = F.ceil((na + nb) * NUM / (NUM + DEN))
-    ahead = F.least(na - F.col(f"{a}.at"), nb - F.col(f"{b}.at"))
-    differ = F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits")))
-    return ((F.least(na, nb) * DEN >= F.greatest(na, nb) * NUM) & (ahead >= need)
-            & (differ * (NUM + DEN) <= (na + nb) * (DEN - NUM) + F.when((na >= BIG) | (nb >= BIG), F.lit(64 * (NUM + DEN))).otherwise(0)))
+    """Bitmap, length and positional filters on two rows that share a prefix word."""
+    def c(side: str, name: str) -> Column:
+        return F.col(f"{side}.{name}")
+
+    na, nb = c(a, "n"), c(b, "n")
+    x0, x1 = c(a, "bits0").bitwiseXOR(c(b, "bits0")), c(a, "bits1").bitwiseXOR(c(b, "bits1"))
+    differ = F.when((na > NARROW) & (nb > NARROW), F.bit_count(x0) + F.bit_count(x1)).otherwise(F.bit_count(x0.bitwiseXOR(x1)))
+    ahead = F.least(na - c(a, "at"), nb - c(b, "at"))
+    return ((differ * (NUM + DEN) <= (na + nb) * (DEN - NUM) + F.when((na >= BIG) | (nb >= BIG), F.lit(128 * (NUM + DEN))).otherwise(0))
+            & (F.least(na, nb) * DEN >= F.greatest(na, nb) * NUM) & (ahead * (NUM + DEN) >= (na + nb) * NUM))
 
 
 def _judge(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -91,12 +111,11 @@ def _judge(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     lines = lines_of(docs, key, text)
     ranks = rarity_ranks(lines)
     s = F.col("s")
-    bits = F.aggregate(s, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
+    bits0, bits1 = bitmap(s)
     n = F.size(s)
     sets = lines.select("d", "line_no", word_set(F.col("line"), ranks).alias("s"))
     table = materialise(sets.select(
-        "d", "line_no", n.alias("n"), F.xxhash64(s, F.lit(1)).alias("k1"), F.xxhash64(F.lit(2), s).alias("k2"), bits.alias("bits"),
+        "d", "line_no", n.alias("n"), F.xxhash64(s, F.lit(1)).alias("k1"), F.xxhash64(F.lit(2), s).alias("k2"), bits0.alias("bits0"), bits1.alias("bits1"),
         # a prefix word only brings lines together: half of its hash will do
         F.transform(F.slice(s, 1, F.greatest(prefix_length(n), F.lit(1))), lambda x: F.hash(x)).alias("prefix")), "lines")
 
@@ -104,15 +123,15 @@ def _judge(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     first = filled.groupBy("k1", "k2").agg(F.min(F.struct("d", "line_no")).alias("p")).select("k1", "k2", "p.d", "p.line_no")
     first = materialise(first, "first-places")
     classes = filled.where(F.col("n") > LONELY).join(first, ["k1", "k2", "d", "line_no"], "left_semi")
-    posted = classes.select("d", F.col("line_no").cast("long").alias("line_no"), F.least(F.col("n"), F.lit(BIG)).cast("long").alias("n"), "bits",
+    posted = classes.select("d", F.col("line_no").cast("long").alias("line_no"), F.least(F.col("n"), F.lit(BIG)).cast("long").alias("n"), "bits0", "bits1",
                             F.posexplode("prefix").alias("pos", "g"))
     # line number, size and position share one number: a line of four words or more has 8 bytes at least
-    tight = posted.select("g", "d", "bits", F.shiftleft("line_no", 2 * SIZE_BITS).bitwiseOR(F.shiftleft("n", SIZE_BITS))
+    tight = posted.select("g", "d", "bits0", "bits1", F.shiftleft("line_no", 2 * SIZE_BITS).bitwiseOR(F.shiftleft("n", SIZE_BITS))
                           .bitwiseOR(F.when(F.col("n") >= BIG, 0).otherwise(F.col("pos")).cast("long")).alias("at"))
 
     def loose(side: str) -> DataFrame:
         at = F.col("at")
-        return tight.select("g", "d", "bits", F.shiftrightunsigned(at, 2 * SIZE_BITS).alias("line_no"),
+        return tight.select("g", "d", "bits0", "bits1", F.shiftrightunsigned(at, 2 * SIZE_BITS).alias("line_no"),
                             F.shiftrightunsigned(at, SIZE_BITS).bitwiseAND(F.lit(BIG)).alias("n"), at.bitwiseAND(F.lit(BIG)).alias("at")).alias(side)
 
     a, b = loose("a"), loose("b")
