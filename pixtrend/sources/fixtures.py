@@ -183,14 +183,14 @@ def aois(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scene_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue items of the ``obs`` scenes (``item_id`` = ``scene_id``).  Days
     run past the season, the cloud cover over the whole range; the footprints
-    of ids ending in 0 to 6 contain ``DEFAULT_AOI``, the others miss it."""
+    of ids ending in 9 miss ``DEFAULT_AOI``, the others contain it."""
     w, s, e, n = DEFAULT_AOI
     li = table(spark, sf_dir, "lineitem")
     yr = F.year("l_shipdate")
     ids = li.select(yr.alias("year"), (yr * 100 + F.col("l_suppkey") % 10).cast("int").alias("item_id")).distinct()
     k = F.col("item_id")
-    shift = F.when(k % 10 < 7, 0.0).otherwise(5.0)
-    out = ids.select("item_id", F.date_add(F.make_date("year", F.lit(6), F.lit(25)), (k % 9) * 10).cast("timestamp_ntz").alias("ts"),
+    shift = F.when(k % 10 < 9, 0.0).otherwise(5.0)
+    out = ids.select("item_id", F.date_add(F.make_date("year", F.lit(6), F.lit(25)), (k % 9) * 7).cast("timestamp_ntz").alias("ts"),
                      ((k * 37) % 101).alias("cloud_cover"), F.lit("MGRS-5").alias("grid_code"), F.lit(32605).alias("proj_epsg"),
                      (F.lit(w - 0.5) + shift).alias("west"), F.lit(s - 0.5).alias("south"),
                      (F.lit(e + 0.5) + shift).alias("east"), F.lit(n + 0.5).alias("north"))
@@ -203,10 +203,10 @@ def scene_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scene_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Assets of the ``obs`` scenes; one in sixteen is missing."""
+    """Assets of the ``obs`` scenes; one in 64 is missing."""
     entries = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(a).alias("asset"), F.lit(b).alias("band")) for i, a, b in ASSET_ORDER])
     return (scene_catalogue(spark, sf_dir).select("item_id", F.inline(entries))
-            .filter((F.col("item_id") + F.col("ord")) % 16 != 0))
+            .filter((F.col("item_id") + F.col("ord")) % 64 != 0))
 
 
 def scene_bands(spark: SparkSession, sf_dir: str, ob: DataFrame | None = None) -> DataFrame:
