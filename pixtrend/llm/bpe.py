@@ -136,9 +136,15 @@ class Encoder(dict):
         return b"".join(map(self.v.token.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
-def _per_task(shared):
-    """One encoder per task, built from the broadcast tables."""
-    return Encoder(shared.value)
+_held: list = [None]
+
+
+def _encoder(vocabulary: Vocabulary) -> Encoder:
+    """The worker's encoder for the broadcast tables: a worker is kept for many
+    tasks, and with it the words it knows (at most ``CACHE_WORDS``)."""
+    if _held[0] is None or _held[0].v is not vocabulary:
+        _held[0] = Encoder(vocabulary)
+    return _held[0]
 
 
 def _apply(df: DataFrame, vocab_path: str, source: str, added: list[T.StructField], make) -> DataFrame:
@@ -149,14 +155,14 @@ def _apply(df: DataFrame, vocab_path: str, source: str, added: list[T.StructFiel
     schema = T.StructType([*[f for f in df.schema.fields if f.name not in names], *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _per_task(shared)
+        enc = _encoder(shared.value)
         for batch in batches:
             at = batch.schema.get_field_index(source)
             parts = W.slices(batch, source, BATCH_BYTES) if pa.types.is_string(batch.schema.field(at).type) else [batch]
             for part in parts:
                 yield W.with_columns(part, make(enc, part.column(at)))
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(W.releasing(run), schema)
 
 
 def _ids_of(enc: Encoder, texts: pa.Array) -> list[bytes]:

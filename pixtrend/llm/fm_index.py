@@ -1,7 +1,7 @@
 """Benchmark decontamination with one FM-index per training shard.
 
 A shard is a run of documents inside one scan partition (bounded by
-``shard_words``), so building and searching need no shuffle.  Per shard:
+``SHARD_BYTES``), so building and searching need no shuffle.  Per shard:
 
 1. words become ids of the benchmark's vocabulary; every run of words outside
    it collapses into one separator, as does each document's end (no test phrase
@@ -29,9 +29,8 @@ from pixtrend.llm import words as W
 
 CLASS = W.WordClass(W.NON_ALNUM)
 WINDOW = 10
-#: Words per shard; the index of one shard takes about 60 bytes a word.
-SHARD_WORDS = 1_000_000
-SHARD_BYTES = 8 << 20
+#: Bytes of text in one shard; its index takes about ten times that while it is built.
+SHARD_BYTES = 2 << 20
 #: Bytes of benchmark text that one broadcast block may hold; a larger
 #: benchmark is searched in several blocks.
 BLOCK_BYTES = 32 << 20
@@ -312,7 +311,7 @@ def decontaminate(docs: DataFrame, bench: DataFrame, text: str = "text", item: s
                 for part in W.slices(batch, text, SHARD_BYTES):
                     yield _merge_hits(part, text, shared.value)
 
-        out = out.mapInArrow(search, schema)
+        out = out.mapInArrow(W.releasing(search), schema)
     return out
 
 

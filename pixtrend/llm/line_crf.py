@@ -223,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "qualit
                 yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array([np.ascontiguousarray(v[i:j]).tobytes() for i, j in zip(first, first[1:], strict=False)], pa.binary())
                                                                     for v in (x, n)]], names=["y", "x", "size"])
 
-    sample = rows.mapInArrow(run, "y int, x binary, size binary").collect()
+    sample = rows.mapInArrow(W.releasing(run), "y int, x binary, size binary").collect()
     y = np.array([r["y"] for r in sample], np.float64)
     if len(set(y)) < 2:
         return Model(np.zeros(N_FEATURES), np.zeros((2, 2)), np.zeros(N_FEATURES), np.ones(N_FEATURES), 0.0,
@@ -256,4 +256,4 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score",
                     new[lines] = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(good))
                 yield W.with_columns(part, new)
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
+    return docs.mapInArrow(W.releasing(run), T.StructType([*docs.schema.fields, *added]))

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pixtrend.llm import words as W
 from pixtrend.llm.scratch import materialise
 
 BITS = 256
@@ -137,7 +138,7 @@ def _exact(df: DataFrame, queries: tuple[np.ndarray, np.ndarray], k: int) -> Dat
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())],
                                              names=["query_id", "vec_id", "score"])
 
-    return _best(df.select("vec_id", "v").mapInArrow(run, "query_id long, vec_id long, score double"), k)
+    return _best(df.select("vec_id", "v").mapInArrow(W.releasing(run), "query_id long, vec_id long, score double"), k)
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -189,7 +190,7 @@ def search(df: DataFrame, is_query, k: int = 10, key: str = "vec_id", vector: st
             yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in (ids, x, shared.value.of(x))], names=["ids", "vectors", "codes"])
 
     shards = -(-all_rows.count() // SHARD_ROWS)
-    index = materialise(all_rows.repartition(shards, "vec_id").mapInArrow(build, "ids binary, vectors binary, codes binary"), "index")
+    index = materialise(all_rows.repartition(shards, "vec_id").mapInArrow(W.releasing(build), "ids binary, vectors binary, codes binary"), "index")
 
     blocks = -(-queries.count() // QUERY_BLOCK)
     found = None
@@ -218,6 +219,6 @@ def search(df: DataFrame, is_query, k: int = 10, key: str = "vec_id", vector: st
                     yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())],
                                                      names=["query_id", "vec_id", "score"])
 
-        part = index.mapInArrow(look, "query_id long, vec_id long, score double")
+        part = index.mapInArrow(W.releasing(look), "query_id long, vec_id long, score double")
         found = part if found is None else found.unionByName(part)
     return _best(found.distinct(), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

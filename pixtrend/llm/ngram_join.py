@@ -134,7 +134,7 @@ def _sets_pass(docs: DataFrame, k: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([none] * 9 + [pa.array(used, pa.int32()), pa.array(
             [counts[c * RARITY_CHUNK:(c + 1) * RARITY_CHUNK].tobytes() for c in used], pa.binary())], schema=schema)
 
-    return docs.select("doc_id", "rid", "same", "text").mapInArrow(run, SETS)
+    return docs.select("doc_id", "rid", "same", "text").mapInArrow(W.releasing(run), SETS)
 
 
 def _rarity(sets: DataFrame) -> np.ndarray:
@@ -177,7 +177,7 @@ def _prefix_pass(docs: DataFrame, k: int, t: Threshold, rarity: np.ndarray) -> D
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(g).view(np.int64)), pa.array(np.concatenate(cid)),
                                                       pa.array(np.concatenate(n))], names=["g", "cid", "n"])
 
-    return docs.select("text").mapInArrow(run, "g long, cid long, n long")
+    return docs.select("text").mapInArrow(W.releasing(run), "g long, cid long, n long")
 
 
 # --------------------------------------------------------------------------- DivideSkip
@@ -237,7 +237,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, t: Threshold) -> DataFra
                     right += [int(x[rest[g]]) for g in good]
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["q", "x"])
 
-    return rows.mapInArrow(run, "q long, x long")
+    return rows.mapInArrow(W.releasing(run), "q long, x long")
 
 
 def may_reach(t: Threshold, a: str, b: str):

@@ -37,7 +37,7 @@ LANES = 512
 #: Text bytes of one part.
 PART_BYTES = 16 << 20
 BATCH_BYTES = 4 << 20
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 MAGIC = b"TIDS1\0"
 
 NONE = 0xFFFF  # no prediction; ids are below
@@ -387,6 +387,17 @@ class WordEncoder:
         return out
 
 
+_held: list = [None, None]
+
+
+def _encoder(spec: str) -> WordEncoder:
+    """The worker's encoder: a worker is kept for many tasks, and with it the
+    library's tables and the words it knows (about ``CACHE_WORDS``)."""
+    if _held[0] != spec:
+        _held[:] = [spec, WordEncoder(spec)]
+    return _held[1]
+
+
 def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 2, key: str = "doc_id", text: str = "text",
                       part_bytes: int = PART_BYTES) -> None:
     """Encode every whole text, append ``end_id``, and write the ids in
@@ -403,7 +414,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
     rows = docs.repartitionByRange(max(1, -(-int(total) // part_bytes)), *order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = WordEncoder(spec.value)
+        enc = _encoder(spec.value)
         part, first, seg = TaskContext.get().partitionId(), 0, 0
         held: list[tuple[list, list[np.ndarray]]] = []
         keys: list = []
@@ -437,7 +448,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
         if held:
             yield flush()
 
-    rows.mapInArrow(run, "part int, segment long, first long, n_ids long, data binary").write.parquet(folder)
+    rows.mapInArrow(W.releasing(run), "part int, segment long, first long, n_ids long, data binary").write.parquet(folder)
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -459,5 +470,5 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                                                       pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())],
                                                      names=["doc_id", "part", "at", "n_tokens", "ids"])
 
-    found = files.select("part", "first", "data").mapInArrow(run, "doc_id long, part int, at long, n_tokens long, ids binary")
+    found = files.select("part", "first", "data").mapInArrow(W.releasing(run), "doc_id long, part int, at long, n_tokens long, ids binary")
     return found.join(F.broadcast(offsets), "part").select("doc_id", (F.col("offset") + F.col("at")).alias("start"), "n_tokens", "ids")

@@ -28,8 +28,8 @@ BATCH_BYTES = 1 << 20
 #: Beginnings of words, in bytes, that count as features beside the whole word.
 STEMS = (4, 5)
 #: Bounds of the training sample (documents) and of the model (features).
-MAX_POSITIVE = 3000
-MAX_UNLABELLED = 9000
+MAX_POSITIVE = 2000
+MAX_UNLABELLED = 6000
 MAX_FEATURES = 1024
 MIN_POSITIVE_DOCS = 3
 
@@ -68,7 +68,7 @@ def _sample_features(docs: DataFrame, ids: DataFrame) -> list:
                     names=["positive", "features"])
 
     rows = docs.join(F.broadcast(ids), "doc_id").select("positive", "text")  # ids: at most the sample's size
-    return rows.mapInArrow(run, "positive boolean, features binary").collect()
+    return rows.mapInArrow(W.releasing(run), "positive boolean, features binary").collect()
 
 
 def select_features(pos: list[np.ndarray], unl: list[np.ndarray]) -> np.ndarray:
@@ -190,4 +190,4 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
                 s = shared.value.score(part.column(part.schema.get_field_index(text)))
                 yield W.with_columns(part, {out: pa.array(s)})
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))
+    return docs.mapInArrow(W.releasing(run), T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))

@@ -8,7 +8,8 @@ belong to words, which makes byte-wise and character-wise splitting equal.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -134,3 +135,20 @@ def with_columns(batch: pa.RecordBatch, new: dict[str, pa.Array]) -> pa.RecordBa
     keep = [n for n in batch.schema.names if n not in new]
     return pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(n)) for n in keep] + list(new.values()),
                                       names=keep + list(new))
+
+
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``, giving the freed memory of a task back to
+    the system at its end: Python workers are kept for later tasks, beside which
+    the JVM needs its own."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):
+                pass  # another C library: it keeps what it has
+
+    return wrapped
