@@ -104,7 +104,16 @@ def test_chains_and_alignment():
     a = np.arange(100, dtype=np.uint64)
     b = a.copy()
     b[50] = 999
-    assert passage_chain.align(a, b, np.array([20, 40, 60]), np.array([20, 40, 60])) == (0, 100, 0, 100, 99)
+    assert passage_chain.align(a, b, np.array([20, 40, 60]), np.array([20, 40, 60])) == [(0, 100, 0, 100, 99)]
+    b[30:70] = np.arange(1000, 1040)  # two passages with a foreign stretch between
+    assert passage_chain.align(a, b, np.array([5, 20, 75, 90]), np.array([5, 20, 75, 90])) == [(0, 30, 0, 30, 30), (70, 100, 70, 100, 30)]
+
+
+def test_seeds_of_short_and_repetitive_texts():
+    for n in range(0, 40):
+        h, first = passage_chain.word_hashes(__import__("pyarrow").array([" ".join(f"w{i}" for i in range(n)), "a " * n, None]))
+        g, at = passage_chain.seeds(h, first)
+        assert len(g) == len(at) and (n < passage_chain.K or len(g) >= 2)
 
 
 @pytest.fixture(scope="module")
