@@ -50,77 +50,65 @@ WORD = np.uint64(16)
 
 
 # --------------------------------------------------------------------------- model
-class Model:
-    """Adaptive state of ``n`` blocks side by side."""
-
-    def __init__(self, n: int, length: int):
-        self.n = n
-        self.lane = np.arange(n)
-        self.ids = np.zeros((length, n), np.uint16)
-        self.t1, self.t2 = np.full(n * SLOTS1, NONE, np.uint16), np.full(n * SLOTS2, NONE, np.uint16)
-        self.a, self.b = np.zeros(n, np.int64), np.zeros(n, np.int64)  # the ids before
-        self.wins = np.zeros(n * 12, np.int64)  # per lane and proposal kind: order 0, 1, 2
-        self.gate = self._gates()
-        self.rank = np.zeros(n * 65536, np.uint16)  # id -> its number in the lane's order-0 list, 0: unseen
-        self.touched = np.zeros(0, np.int64)
-        self.slot = None
-        self.base = self.cum = self.freq = self.sym = None
-
-    def _gates(self) -> np.ndarray:
-        """Upper and lower ends of the three shares of each kind, in 1 / 2**GATE_BITS."""
-        w = self.wins.reshape(-1, 3) + np.array([2, 1, 1])
-        full = (1 << GATE_BITS) - 3
-        f = 1 + w * full // w.sum(1, keepdims=True)
-        f[:, 0] += (1 << GATE_BITS) - f.sum(1)
-        return np.concatenate([np.zeros((len(f), 1), np.int64), np.cumsum(f, 1)], 1).astype(np.uint64).ravel()
-
-    def propose(self, n: int):
-        """Predictions of order 1 and 2 and their kind for the first ``n`` lanes."""
-        self.s1 = self.lane[:n] * SLOTS1 + ((self.a[:n] * 40503 >> 4) & (SLOTS1 - 1))
-        self.s2 = self.lane[:n] * SLOTS2 + ((self.a[:n] * 40503 + self.b[:n] * 60493 >> 3) & (SLOTS2 - 1))
-        p1, p2 = self.t1[self.s1], self.t2[self.s2]
-        has2 = p2 != NONE
-        kind = (p1 != NONE).astype(np.int64) + has2 + (has2 & (p1 == p2))  # 0, 1 (order 1 only), 2 (differ), 3 (agree)
-        return p1, p2, (self.lane[:n] * 4 + kind) * 4, kind
-
-    def learn(self, t: int, ids: np.ndarray, at: np.ndarray, order: np.ndarray) -> None:
-        n = len(ids)
-        self.ids[t, :n] = ids
-        self.t1[self.s1] = ids
-        self.t2[self.s2] = ids
-        self.b[:n] = self.a[:n]
-        self.a[:n] = ids
-        self.wins[at // 4 * 3 + order] += 1
-
-    def refresh(self, t: int, n: int, slots: bool) -> None:
-        """At position ``t``: new shares and order-0 frequencies for ``n`` lanes."""
-        self.gate = self._gates()
-        self.rank[self.touched] = 0
-        keys, count = np.unique((self.lane[:n, None] << 16 | self.ids[:t, :n].T).ravel(), return_counts=True)
+def slots(a: np.ndarray, b: np.ndarray, lane: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the order-1 and order-2 tables for the ids before (``a``) and before that (``b``)."""
+    a, b = a.astype(np.int32), b.astype(np.int32)
+    return lane * SLOTS1 + ((a * 40503 >> 4) & (SLOTS1 - 1)), lane * SLOTS2 + ((a * 40503 + b * 60493 >> 3) & (SLOTS2 - 1))
+
+
+def proposal(p1: np.ndarray, p2: np.ndarray) -> np.ndarray:
+    """What the higher orders propose: 0 nothing, 1 order 1 only, 2 two ids, 3 the same id."""
+    has2 = p2 != NONE
+    return (p1 != NONE).astype(np.uint8) + has2 + (has2 & (p1 == p2))
+
+
+def shares(wins: np.ndarray) -> np.ndarray:
+    """Ends of the three orders' shares, per lane and proposal, in 1 / 2**GATE_BITS.
+    Where nothing is proposed, order 0 is certain."""
+    w = wins.reshape(-1, 4, 3) + np.array([2, 1, 1])
+    f = 1 + w * ((1 << GATE_BITS) - 3) // w.sum(2, keepdims=True)
+    f[:, :, 0] += (1 << GATE_BITS) - f.sum(2)
+    f[:, 0] = [1 << GATE_BITS, 0, 0]
+    return np.concatenate([np.zeros((len(f), 4, 1), np.int64), np.cumsum(f, 2)], 2).astype(np.uint64).ravel()
+
+
+class OrderZero:
+    """Frequencies of the ids that each lane has seen, with room for the others."""
+
+    def __init__(self, seen: np.ndarray):
+        t, n = seen.shape
+        keys, count = np.unique((np.arange(n, dtype=np.int64)[:, None] << 16 | seen.T).ravel(), return_counts=True)
         lane = keys >> 16
         edge = np.searchsorted(lane, np.arange(n + 1))
-        distinct = np.diff(edge)
-        freq = 1 + count * ((1 << ZERO_BITS) - 64 - distinct)[lane] // t
+        freq = 1 + count * ((1 << ZERO_BITS) - 64 - np.diff(edge))[lane] // t
         total = np.concatenate([[0], np.cumsum(freq)])
         # per lane: entry 0 is the escape with the room that is left, then its ids ascending
+        self.keys, self.edge = keys, edge
         self.base = edge[:-1] + np.arange(n)
-        place = np.arange(len(keys)) + lane + 1
+        self.place = np.arange(len(keys)) + lane + 1
+        self.number = np.arange(len(keys)) - edge[lane] + 1
+        used = total[edge[1:]] - total[edge[:-1]]
         size = len(keys) + n
         self.freq, self.cum, self.sym = np.zeros(size, np.uint64), np.zeros(size, np.uint64), np.zeros(size, np.uint16)
-        self.freq[place], self.cum[place], self.sym[place] = freq, total[:-1] - total[edge[lane]], keys & 0xFFFF
-        used = total[edge[1:]] - total[edge[:-1]]
+        self.freq[self.place], self.cum[self.place], self.sym[self.place] = freq, total[:-1] - total[edge[lane]], keys & 0xFFFF
         self.freq[self.base], self.cum[self.base] = (1 << ZERO_BITS) - used, used
-        number = np.arange(len(keys)) - edge[lane] + 1
-        self.rank[keys] = number
-        self.touched = keys
-        if slots:  # the decoder's way from a value to an entry
-            order = np.zeros(size, np.int64)
-            order[place - 1] = number  # each lane: its ids, then the escape
-            last = edge[1:] + np.arange(n)
-            order[last] = 0
-            reps = np.zeros(size, np.int64)
-            reps[place - 1], reps[last] = freq, (1 << ZERO_BITS) - used
-            self.slot = np.repeat(order.astype(np.uint16), reps)
+
+    def ranks(self, ids: np.ndarray, table: np.ndarray) -> np.ndarray:
+        """Entry numbers of ``ids`` (positions by lanes); 0 is the escape.
+        ``table`` is an all-zero array of 65536 per lane, and is so again."""
+        table[self.keys] = self.number
+        out = table[(np.arange(ids.shape[1], dtype=np.int64) << 16) | ids]
+        table[self.keys] = 0
+        return out
+
+    def values(self) -> np.ndarray:
+        """Entry number of every value a decoder can meet, lane after lane."""
+        size, n = len(self.freq), len(self.base)
+        order, reps = np.zeros(size, np.uint16), np.zeros(size, np.int64)
+        last = self.edge[1:] + np.arange(n)  # each lane: its ids, then the escape
+        order[self.place - 1], reps[self.place - 1] = self.number, self.freq[self.place].astype(np.int64)
+        reps[last] = self.freq[self.base].astype(np.int64)
+        return np.repeat(order, reps)
 
 
 def _refresh_points(length: int) -> set[int]:
@@ -163,17 +151,58 @@ def _raw(coder: Coder, lanes: np.ndarray, ids: np.ndarray) -> None:
     coder.range[lanes] = r
 
 
+def _by_size(sizes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Longest blocks first: their order, sizes, and how many have an id at each position."""
+    sizes = np.array(sizes)
+    by = np.argsort(-sizes, kind="stable")
+    return by, sizes[by], np.searchsorted(-sizes[by], -np.arange(sizes.max()), "left")
+
+
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """Payload of each block of ids (0 to 65534)."""
+    """Payload of each block of ids (0 to 65534); no block may be empty."""
     if not blocks:
         return []
-    by = np.argsort([-len(b) for b in blocks], kind="stable")
-    size = np.array([len(blocks[i]) for i in by])
+    by, size, alive = _by_size([len(b) for b in blocks])
     length, n = int(size[0]), len(blocks)
     ids = np.zeros((length, n), np.uint16)
     for k, i in enumerate(by):
         ids[:size[k], k] = blocks[i]
-    m, c = Model(n, length), Coder(n)
+    # the encoder knows all ids: everything but the tables of last followers is vectorised over time
+    lane = np.arange(n, dtype=np.int32)
+    a = np.concatenate([np.zeros((1, n), np.uint16), ids[:-1]])
+    s1, s2 = slots(a, np.concatenate([np.zeros((1, n), np.uint16), a[:-1]]), lane)
+    t1, t2 = np.full(n * SLOTS1, NONE, np.uint16), np.full(n * SLOTS2, NONE, np.uint16)
+    p1, p2 = np.empty_like(ids), np.empty_like(ids)
+    for t in range(length):
+        i, j, x = s1[t], s2[t], ids[t]
+        p1[t], p2[t] = t1[i], t2[j]
+        t1[i] = x
+        t2[j] = x
+    del s1, s2, a
+    kind = proposal(p1, p2)
+    order = np.where((p2 == ids) & (p2 != NONE), 2, (p1 == ids) & (p1 != NONE)).astype(np.uint8)
+    del p1, p2
+    cell = lane * 12 + kind.astype(np.int32) * 3 + order
+    start, width = np.empty(ids.shape, np.uint16), np.empty(ids.shape, np.uint16)
+    low0, width0 = np.zeros(ids.shape, np.uint16), np.full(ids.shape, 1 << ZERO_BITS, np.uint16)
+    new = order == 0
+    wins, table = np.zeros(n * 12, np.int64), np.zeros(n * 65536, np.uint16)
+    edges = [0, *sorted(_refresh_points(length)), length]
+    for e, e2 in zip(edges, edges[1:], strict=False):
+        k = int(alive[e])  # lanes with ids from here on; their earlier ids are complete
+        gate = shares(wins)
+        at = cell[e:e2, :k] // 3 * 4 + order[e:e2, :k]
+        start[e:e2, :k], width[e:e2, :k] = gate[at], gate[at + 1] - gate[at]
+        if e:
+            zero = OrderZero(ids[:e, :k])
+            rank = zero.ranks(ids[e:e2, :k], table)
+            entry = zero.base[:k] + rank
+            plain = order[e:e2, :k] == 0
+            low0[e:e2, :k] = np.where(plain, zero.cum[entry], 0)
+            width0[e:e2, :k] = np.where(plain, zero.freq[entry], 1 << ZERO_BITS)
+            new[e:e2, :k] &= rank == 0
+        wins += np.bincount(cell[e:e2, :k].ravel(), minlength=n * 12)
+    c = Coder(n)
     out, pos = np.zeros((n, 2 * length + 16), np.uint16), np.zeros(n, np.int64)
 
     def emit(lanes) -> None:
@@ -181,34 +210,16 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
             out[which, pos[which]] = word
             pos[which] += 1
 
-    points = _refresh_points(length)
-    alive = np.searchsorted(-size, -np.arange(length), "left")
     for t in range(length):
         k = int(alive[t])
-        if t in points:
-            m.refresh(t, k, False)
-        x = ids[t, :k]
-        p1, p2, at, kind = m.propose(k)
-        order = np.where((p2 == x) & (p2 != NONE), 2, np.where((p1 == x) & (p1 != NONE), 1, 0))
-        order[kind == 0] = 0
-        end = m.gate[at + order + 1]
-        start = m.gate[at + order]
-        free = kind == 0  # nothing proposed: order 0 for certain
-        start[free], end[free] = 0, 1 << GATE_BITS
-        c.narrow(k, start, end - start, GATE_BITS)
-        zero = order == 0
-        if m.base is not None:
-            rank = m.rank[m.lane[:k] << 16 | x]
-            e = m.base[:k] + rank
-            c.narrow(k, np.where(zero, m.cum[e], np.uint64(0)), np.where(zero, m.freq[e], np.uint64(1 << ZERO_BITS)), ZERO_BITS)
-            new = np.flatnonzero(zero & (rank == 0))
-        else:
-            new = np.flatnonzero(zero)
+        c.narrow(k, start[t, :k].astype(np.uint64), width[t, :k].astype(np.uint64), GATE_BITS)
+        if t >= EPOCHS[0]:
+            c.narrow(k, low0[t, :k].astype(np.uint64), width0[t, :k].astype(np.uint64), ZERO_BITS)
         emit(slice(0, k))
-        if len(new):
-            _raw(c, new, x[new])
-            emit(new)
-        m.learn(t, x, at, order)
+        fresh = np.flatnonzero(new[t, :k])
+        if len(fresh):
+            _raw(c, fresh, ids[t, fresh])
+            emit(fresh)
     for _ in range(4):
         out[np.arange(n), pos] = c.low >> np.uint64(48)
         c.low <<= WORD
@@ -223,61 +234,76 @@ def decode_blocks(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     """Ids of each block."""
     if not payloads:
         return []
-    by = np.argsort([-s for s in sizes], kind="stable")
-    size = np.array([sizes[i] for i in by])
+    by, size, alive = _by_size(sizes)
     length, n = int(size[0]), len(payloads)
     code = np.zeros((n, max(len(p) for p in payloads) // 2 + 8), np.uint16)
     for k, i in enumerate(by):
         p = np.frombuffer(payloads[i], "<u2")
         code[k, :len(p)] = p
-    m, c = Model(n, length), Coder(n)
-    value, pos = np.zeros(n, np.uint64), np.full(n, 4, np.int64)
+    width = code.shape[1]
+    code = code.ravel()
+    c = Coder(n)
+    value, pos = np.zeros(n, np.uint64), np.arange(n) * width + 4
     for j in range(4):
-        value = (value << WORD) | code[:, j].astype(np.uint64)
+        value = (value << WORD) | code[j::width].astype(np.uint64)
 
     def take(lanes) -> None:
         for which, _ in c.settle(lanes):
-            value[which] = (value[which] << WORD) | code[which, pos[which]].astype(np.uint64)
+            value[which] = (value[which] << WORD) | code[pos[which]]
             pos[which] += 1
 
-    points = _refresh_points(length)
-    alive = np.searchsorted(-size, -np.arange(length), "left")
+    ids, lane = np.zeros((length, n), np.uint16), np.arange(n, dtype=np.int32)
+    t1, t2 = np.full(n * SLOTS1, NONE, np.uint16), np.full(n * SLOTS2, NONE, np.uint16)
+    a = b = np.zeros(n, np.uint16)
+    cells, zero, values = np.zeros((length, n), np.int32), None, None
+    wins, points, last = np.zeros(n * 12, np.int64), _refresh_points(length), 0
+    gate = shares(wins)
+    gate_top, zero_top = np.uint64((1 << GATE_BITS) - 1), np.uint64((1 << ZERO_BITS) - 1)
     for t in range(length):
         k = int(alive[t])
         if t in points:
-            m.refresh(t, k, True)
-        p1, p2, at, kind = m.propose(k)
+            wins += np.bincount(cells[last:t, :k].ravel(), minlength=n * 12)
+            gate, zero, last = shares(wins), OrderZero(ids[:t, :k]), t
+            values = zero.values()
+        i, j = slots(a[:k], b[:k], lane[:k])
+        p1, p2 = t1[i], t2[j]
+        kind = proposal(p1, p2)
+        at = (lane[:k] * 4 + kind) * 4
         r = c.range[:k] >> np.uint64(GATE_BITS)
-        v = np.minimum((value[:k] - c.low[:k]) // r, np.uint64((1 << GATE_BITS) - 1))
-        order = (v >= m.gate[at + 1]).astype(np.int64) + (v >= m.gate[at + 2])
-        free = kind == 0
-        order[free] = 0
-        start, end = m.gate[at + order], m.gate[at + order + 1]
-        start[free], end[free] = 0, 1 << GATE_BITS
-        c.narrow(k, start, end - start, GATE_BITS)
-        zero = order == 0
+        v = np.minimum((value[:k] - c.low[:k]) // r, gate_top)
+        order = (v >= gate[at + 1]).astype(np.int32) + (v >= gate[at + 2])
+        at += order
+        start = gate[at]
+        c.low[:k] += start * r
+        c.range[:k] = (gate[at + 1] - start) * r
+        plain = order == 0
         x = np.where(order == 2, p2, p1)
-        if m.base is not None:
+        if zero is not None:
             r = c.range[:k] >> np.uint64(ZERO_BITS)
-            v = np.minimum((value[:k] - c.low[:k]) // r, np.uint64((1 << ZERO_BITS) - 1)).astype(np.int64)
-            rank = m.slot[(m.lane[:k] << ZERO_BITS) + v]
-            e = m.base[:k] + rank
-            c.narrow(k, np.where(zero, m.cum[e], np.uint64(0)), np.where(zero, m.freq[e], np.uint64(1 << ZERO_BITS)), ZERO_BITS)
-            x = np.where(zero, m.sym[e], x)
-            new = np.flatnonzero(zero & (rank == 0))
+            v = np.minimum((value[:k] - c.low[:k]) // r, zero_top).astype(np.int64)
+            rank = values[(np.arange(k) << ZERO_BITS) + v]
+            entry = zero.base[:k] + rank
+            c.low[:k] += np.where(plain, zero.cum[entry], 0).astype(np.uint64) * r
+            c.range[:k] = np.where(plain, zero.freq[entry], 1 << ZERO_BITS).astype(np.uint64) * r
+            x = np.where(plain, zero.sym[entry], x)
+            fresh = np.flatnonzero(plain & (rank == 0))
         else:
-            new = np.flatnonzero(zero)
+            fresh = np.flatnonzero(plain)
         take(slice(0, k))
-        if len(new):
-            r = c.range[new] >> np.uint64(RAW_BITS)
-            got = np.minimum((value[new] - c.low[new]) // r, np.uint64(0xFFFF))
-            x[new] = got
-            _raw(c, new, got)
-            take(new)
-        m.learn(t, x, at, order)
+        if len(fresh):
+            r = c.range[fresh] >> np.uint64(RAW_BITS)
+            got = np.minimum((value[fresh] - c.low[fresh]) // r, np.uint64(0xFFFF))
+            x[fresh] = got
+            _raw(c, fresh, got)
+            take(fresh)
+        ids[t, :k] = x
+        cells[t, :k] = (at - order) // 4 * 3 + order
+        t1[i] = x
+        t2[j] = x
+        a, b = x, a
     result = [np.zeros(0, np.uint16)] * n
     for k, i in enumerate(by):
-        result[i] = m.ids[:size[k], k].copy()
+        result[i] = ids[:size[k], k].copy()
     return result
 
 
