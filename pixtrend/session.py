@@ -62,6 +62,8 @@ def scratch_dir(spark: SparkSession) -> str:
     if d:
         if d.startswith("file:") and not sc.master.startswith("local"):
             raise RuntimeError(f"spark.checkpoint.dir {d} is a folder of one machine; name a shared one")
+        if not sc.getCheckpointDir():  # the setting came after the context
+            sc.setCheckpointDir(d)
         return d.rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder for this job")
