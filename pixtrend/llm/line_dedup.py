@@ -29,7 +29,7 @@ NUM, DEN = 4, 5
 RARITY_BITS = 16
 #: Rows of wanted places (16 bytes each) up to which they are broadcast to the
 #: scan of the texts; beyond, lines are shuffled to them.
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 1_000_000
 #: Sets of up to this size have no partner but an equal set.
 LONELY = DEN // (DEN - NUM) - 2
 #: Up to this size a set's bitmap is 64 bits wide, beyond it 128.
@@ -68,7 +68,8 @@ def word_set(line: Column, ranks: Column) -> Column:
     bucket's rank in its high bits and the hash's other bits below, which
     together are the hash again."""
     def number(h: Column) -> Column:
-        rank = F.get(ranks, h.bitwiseAND(F.lit((1 << RARITY_BITS) - 1)).cast("int")) - F.lit(1 << (RARITY_BITS - 1))
+        # never null, which lets Spark sort the numbers as plain longs
+        rank = F.coalesce(F.get(ranks, h.bitwiseAND(F.lit((1 << RARITY_BITS) - 1)).cast("int")), F.lit(0)) - F.lit(1 << (RARITY_BITS - 1))
         return F.shiftleft(rank.cast("long"), 64 - RARITY_BITS).bitwiseOR(F.shiftrightunsigned(h, RARITY_BITS))
 
     numbers = F.array_distinct(F.transform(words_of(line), lambda w: number(F.xxhash64(w))))
@@ -141,8 +142,10 @@ def _judge(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
 
     # the whole sets of the active lines, found again in the texts
     places = materialise(active.select("d", "line_no").distinct(), "active-places")
-    wanted = F.broadcast(places) if places.count() <= BROADCAST_ROWS else places
-    whole = materialise(lines.withColumn("line_no", F.col("line_no").cast("long")).join(wanted, ["d", "line_no"])
+    small = places.count() <= BROADCAST_ROWS
+    holders = places.select("d").distinct()
+    held = lines_of(docs.join(F.broadcast(holders) if small else holders, F.coalesce(F.col(key).cast("long"), F.lit(LAST)) == F.col("d"), "left_semi"), key, text)
+    whole = materialise(held.withColumn("line_no", F.col("line_no").cast("long")).join(F.broadcast(places) if small else places, ["d", "line_no"])
                         .select("d", "line_no", word_set(F.col("line"), ranks).alias("s")), "active-sets")
     full = active.join(whole, ["d", "line_no"])
     a, b = full.alias("a"), full.alias("b")
@@ -179,7 +182,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     names = docs.columns
     joined = (docs.withColumn("_d", F.coalesce(F.col(key).cast("long"), F.lit(LAST)))
               .join(kept.select(F.col("d").alias("_d"), F.col("n_lines").alias("_n"), F.col("kept").alias("_kept")), "_d", "left"))
-    lines = F.split(F.col(text), "\n", -1)
+    joined = joined.withColumn("_lines", F.split(F.col(text), "\n", -1))  # split once, not once a line
+    lines = F.col("_lines")
     short = F.array_join(F.transform(F.filter(F.col("_kept"), lambda i: i < F.size(lines)), lambda i: F.get(lines, i)), "\n")
     same = F.size("_kept") == F.size(lines)
     clean = F.when(F.col(text).isNull(), F.lit(None).cast("string")).when(same, F.col(text)).otherwise(short)
