@@ -25,8 +25,8 @@ from pixtrend.llm import words as W
 #: Fixed value: the split pattern of byte-level BPE vocabularies of this kind.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LONG_WORD = 96
-CACHE_WORDS = 300_000
-BATCH_BYTES = 8 << 20
+CACHE_WORDS = 100_000
+BATCH_BYTES = 2 << 20
 NO_RANK = 1 << 60
 
 
