@@ -109,6 +109,23 @@ def test_chains_and_alignment():
     assert passage_chain.align(a, b, np.array([5, 20, 75, 90]), np.array([5, 20, 75, 90])) == [(0, 30, 0, 30, 30), (70, 100, 70, 100, 30)]
 
 
+def test_chains_of_far_apart_passages():
+    first, second, third = range(0, 900, 10), range(1100, 1140, 10), range(1400, 1450, 10)  # the first scores far above a gap's cost
+    x = [*first, *second, *third]
+    assert passage_chain.chains(x, x) == [list(range(90)), list(range(94, 99)), list(range(90, 94))]
+    y = [*first, *[v - 190 for v in second], *[v + 5000 for v in third]]  # far apart in one text only
+    assert passage_chain.chains(x, y) == [list(range(90)), list(range(94, 99)), list(range(90, 94))]
+
+
+@pytest.mark.parametrize("sizes", [(300, 100), (300, 45, 100), (100, 60, 60)])
+def test_passages_far_apart_in_a_pair(spark, sizes):
+    rng = np.random.default_rng(11)
+    shared = [brute.words(rng, n, 10**6) for n in sizes]
+    one, two = (" ".join(w for p in shared for w in (brute.words(rng, 200, 10**6), p)) for _ in range(2))
+    got = passage_chain.shared_passages(spark.createDataFrame([(1, one), (2, two)], SCHEMA)).collect()
+    assert sorted(r["matches"] for r in got) == sorted(n for n in sizes if n >= 50)
+
+
 def test_seeds_of_short_and_repetitive_texts():
     for n in range(0, 40):
         h, first = passage_chain.word_hashes(__import__("pyarrow").array([" ".join(f"w{i}" for i in range(n)), "a " * n, None]))
