@@ -126,6 +126,38 @@ def test_passages_far_apart_in_a_pair(spark, sizes):
     assert sorted(r["matches"] for r in got) == sorted(n for n in sizes if n >= 50)
 
 
+def test_passage_with_loosely_similar_text_beside_it(spark):
+    rng = np.random.default_rng(13)
+    new = lambda n: brute.words(rng, n, 10**9)
+    plain, loose = new(60), [new(12) for _ in range(6)]
+    docs = [" ".join([new(30), plain, *(w for p in loose for w in (new(8), p)), new(30)]) for _ in range(2)]
+    mirror = [" ".join(reversed(t.split(" "))) for t in docs]
+    half = new(600).split(" ")  # verbatim for 300 words, every second word rewritten from there on
+    copy = [w if i < 300 or i % 30 < 15 else f"other{i}" for i, w in enumerate(half)]
+    joined = new(45), new(45)  # together a passage, apart too short
+    pair = [" ".join([new(20), joined[0], new(9), joined[1], new(20)]) for _ in range(2)]
+    texts = [*docs, *mirror, " ".join(half), " ".join(copy), *pair]
+    got = passage_chain.shared_passages(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).collect()
+    spans = {(r["doc_id"], r["source_doc_id"]): (r["start"], r["end"], r["matches"]) for r in got}
+    assert all(r["matches"] >= 0.8 * max(r["end"] - r["start"], r["source_end"] - r["source_start"]) for r in got)
+    assert spans[1, 0][0] == 30 and spans[1, 0][1] >= 90
+    assert spans[3, 2][0] <= len(texts[3].split(" ")) - 90 and spans[3, 2][1] == len(texts[3].split(" ")) - 30
+    assert spans[5, 4][0] == 0 and spans[5, 4][1] >= 300
+    assert spans[7, 6] == (20, 119, 90)
+
+
+def test_similar_parts_equal_brute_force():
+    rng = np.random.default_rng(17)
+    for _ in range(60):
+        at_a = np.flatnonzero(rng.random(90) < rng.choice([0.75, 0.8, 0.9]))
+        at_b = np.cumsum(1 + (rng.random(len(at_a)) < 0.15) * rng.integers(1, 4, len(at_a)))
+        ok = [min(at_a[v] - at_a[u], at_b[v] - at_b[u]) + 1 for u in range(len(at_a)) for v in range(u, len(at_a))
+              if 5 * (v - u + 1) >= 4 * (max(at_a[v] - at_a[u], at_b[v] - at_b[u]) + 1)]
+        got = passage_chain.similar_parts(at_a, at_b, 20)
+        assert max((min(a1 - a0, b1 - b0) for a0, a1, b0, b1, _ in got), default=0) == (max(ok) if max(ok) >= 20 else 0)
+        assert all(5 * m >= 4 * max(a1 - a0, b1 - b0) for a0, a1, b0, b1, m in got)
+
+
 def test_seeds_of_short_and_repetitive_texts():
     for n in range(0, 40):
         h, first = passage_chain.word_hashes(__import__("pyarrow").array([" ".join(f"w{i}" for i in range(n)), "a " * n, None]))
