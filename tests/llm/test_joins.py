@@ -158,6 +158,28 @@ def test_similar_parts_equal_brute_force():
         assert all(5 * m >= 4 * max(a1 - a0, b1 - b0) for a0, a1, b0, b1, m in got)
 
 
+def test_packed_numbers():
+    for v in ([], [0], [5, 5, 70000, 70000 + 0xFFFF, 3_000_000], list(range(0, 4 << 20, 65535))):
+        assert passage_chain.unpack(passage_chain.pack(np.array(v, np.uint64))).tolist() == v
+
+
+def test_fuzzy_passages_of_sixty_words(spark):
+    """Recall of passages with words replaced at random and at regular distances."""
+    rng = np.random.default_rng(19)
+    rows, kinds = [], {}
+    for n in range(240):
+        p = brute.words(rng, 60, 10**6).split(" ")
+        bad = rng.choice(60, [12, 9, 6][n % 3], replace=False) if n < 180 else range(4, 60, 5)  # 0.8 to 0.9; every fifth word
+        q = [f"new{n}x{i}" if i in bad else w for i, w in enumerate(p)]
+        kinds[1000 + n] = ("0.80", "0.85", "0.90")[n % 3] if n < 180 else "regular"
+        for d, t in ((n, p), (1000 + n, q)):
+            rows.append((d, " ".join([brute.words(rng, 40, 10**6), *t, brute.words(rng, 40, 10**6)])))
+    got = {r["doc_id"] for r in passage_chain.shared_passages(spark.createDataFrame(rows, SCHEMA)).collect()}
+    recall = {k: sum(d in got for d in kinds if kinds[d] == k) / sum(v == k for v in kinds.values()) for k in set(kinds.values())}
+    print(recall)
+    assert min(recall.values()) >= 0.95
+
+
 def test_seeds_of_short_and_repetitive_texts():
     for n in range(0, 40):
         h, first = passage_chain.word_hashes(__import__("pyarrow").array([" ".join(f"w{i}" for i in range(n)), "a " * n, None]))
