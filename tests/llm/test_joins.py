@@ -180,6 +180,26 @@ def test_fuzzy_passages_of_sixty_words(spark):
     assert min(recall.values()) >= 0.95
 
 
+def test_passage_whose_pieces_stood_earlier_elsewhere(spark):
+    rng = np.random.default_rng(23)
+    new = lambda n: brute.words(rng, n, 10**6)
+    p = new(60).split(" ")
+    pieces = [p[:35], p[25:], p[15:45]]  # no document before the whole one has 50 words of it
+    texts = [" ".join([new(20), *w, new(20)]) for w in (*pieces, p, p)]
+    got = passage_chain.shared_passages(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).collect()
+    assert [(r["doc_id"], r["source_doc_id"], r["start"], r["end"], r["matches"]) for r in got] == [(4, 3, 20, 80, 60)]
+
+
+def test_runs_of_shared_kmers():
+    g, text = np.arange(12, dtype=np.uint64), np.repeat([0, 1], 6)
+    g[6:] = g[:6]
+    ok = np.ones(12, bool)
+    ok[1] = False
+    v, i = passage_chain.runs(g, ok, text, 4)
+    assert sorted(i.tolist()) == [2, 6, 7, 8] and len(np.unique(v)) == 3
+    assert len(passage_chain.runs(np.zeros(50, np.uint64), np.ones(50, bool), np.zeros(50, int), 10)[0]) == 1
+
+
 def test_seeds_of_short_and_repetitive_texts():
     for n in range(0, 40):
         h, first = passage_chain.word_hashes(__import__("pyarrow").array([" ".join(f"w{i}" for i in range(n)), "a " * n, None]))
