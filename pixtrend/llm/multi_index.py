@@ -102,13 +102,16 @@ class Tables:
 
 
 def nearest(ids: np.ndarray, x: np.ndarray, rows: np.ndarray, own: int, q: np.ndarray, k: int):
-    """The ``k`` nearest of ``rows`` by (distance, id), without the query's own id."""
+    """The ``k`` nearest ids of ``rows`` by (distance, id), without the query's
+    own; an id that several rows have stands with its nearest."""
     rows = rows[ids[rows] != own]
     d = np.sqrt(((x[rows] - q) ** 2).sum(1))
     if len(rows) > 4 * k:
         near = d <= np.partition(d, k - 1)[k - 1]
-        rows, d = rows[near], d[near]
-    order = np.lexsort((ids[rows], d))[:k]
+        if len(np.unique(ids[rows[near]])) >= k:
+            rows, d = rows[near], d[near]
+    order = np.lexsort((ids[rows], d))
+    order = order[np.sort(np.unique(ids[rows[order]], return_index=True)[1])[:k]]
     return ids[rows[order]], d[order]
 
 
@@ -143,6 +146,7 @@ def _exact(df: DataFrame, queries: tuple[np.ndarray, np.ndarray], k: int) -> Dat
 
 def _best(found: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
@@ -150,7 +154,9 @@ def search(df: DataFrame, is_query, k: int = 10, key: str = "vec_id", vector: st
     """``query_id, rank, vec_id, score``: the ``k`` nearest rows found for every
     row that ``is_query`` selects, nearest first, ties to the smaller id.
 
-    Every other row is a candidate and stands in the index.  Rows without an
+    Every other row is a candidate and stands in the index, equal ones once.  A
+    neighbour is an id: one that several rows have takes one of the ``k`` places,
+    with the score of its nearest row.  Rows without an
     id, and vectors that are null, zero, of unusual length or hold null or
     non-finite components, take no part.  Rows that repeat an id are one query,
     and no candidate of it.  Other columns are ignored; an empty table gives no
@@ -190,7 +196,7 @@ def search(df: DataFrame, is_query, k: int = 10, key: str = "vec_id", vector: st
             yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in (ids, x, shared.value.of(x))], names=["ids", "vectors", "codes"])
 
     shards = -(-all_rows.count() // SHARD_ROWS)
-    index = materialise(all_rows.repartition(shards, "vec_id").mapInArrow(W.releasing(build), "ids binary, vectors binary, codes binary"), "index")
+    index = materialise(all_rows.distinct().repartition(shards, "vec_id", "v").mapInArrow(W.releasing(build), "ids binary, vectors binary, codes binary"), "index")
 
     blocks = -(-queries.count() // QUERY_BLOCK)
     found = None
@@ -207,11 +213,12 @@ def search(df: DataFrame, is_query, k: int = 10, key: str = "vec_id", vector: st
                 for n in range(batch.num_rows):
                     ids, x, c = (np.frombuffer(batch.column(i)[n].as_buffer(), t) for i, t in enumerate((np.int64, np.float64, np.uint16)))
                     x, tables = x.reshape(len(ids), -1), Tables(c.reshape(len(ids), -1))
+                    single = len(np.unique(ids))
                     out: list[tuple] = []
                     for own, q, code in zip(qid, qv, qc, strict=True):
                         r = radius
                         near = tables.within(code, r)
-                        while len(near) < min(k + 1, len(ids)):  # too few here: widen
+                        while (len(near) if single == len(ids) else len(np.unique(ids[near]))) < min(k + 1, single):  # too few here: widen
                             r += SUB_BITS
                             near = tables.within(code, r)
                         out += [(own, i, d) for i, d in zip(*nearest(ids, x, near, own, q, k), strict=True)]
@@ -221,4 +228,4 @@ def search(df: DataFrame, is_query, k: int = 10, key: str = "vec_id", vector: st
 
         part = index.mapInArrow(W.releasing(look), "query_id long, vec_id long, score double")
         found = part if found is None else found.unionByName(part)
-    return _best(found.distinct(), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -202,6 +202,23 @@ def test_multi_index_recall_and_odd_vectors(spark):
     assert multi_index.search(df.limit(0), F.col("vec_id") % 100 == 0, 10).count() == 0
 
 
+def test_multi_index_with_repeated_candidates(spark):
+    import pyspark.sql.functions as F
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(200)]
+    near = (np.array(rows[0][1]) + 0.01).tolist()
+    rows += [(300, near)] * 60 + [(301, (np.array(near) + 0.01 * i).tolist()) for i in range(60)]  # equal rows, and many rows of one id
+    got = multi_index.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, 10).collect()
+    best: dict = {}
+    for i, v in rows[1:]:
+        best[i] = min(best.get(i, 1e9), float(np.linalg.norm(np.array(v) - np.array(rows[0][1]))))
+    want = sorted((d, i) for i, d in best.items())[:10]
+    got = [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"])], {r["vec_id"]: r["score"] for r in got}
+    assert len(got[0]) == len(got[1]) == 10 and got[0][:2] == [300, 301]
+    assert len({i for _, i in want} & set(got[0])) >= 9  # the radius holds nearly all
+    assert all(np.isclose(d, best[i]) for i, d in got[1].items())
+
+
 def test_tables_return_every_code_within_the_radius():
     rng = np.random.default_rng(1)
     codes = rng.integers(0, 65536, (400, 16)).astype(np.uint16)
