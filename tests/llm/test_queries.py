@@ -158,3 +158,16 @@ def test_pipeline_with_nulls_repeats_clashes_and_nothing(spark, tables):
         out.collect()
     assert corpus_pipeline.keep_one_of_each_group(spark, docs, folder).count() == 4
     assert corpus_pipeline.encode(spark, docs, folder).count() == 5
+
+
+def test_rows_that_repeat_an_id_with_other_texts_stay(spark):
+    rng = np.random.default_rng(4)
+    a, b, c = (brute.words(rng, 40) for _ in range(3))
+    rows = [(1, a, "x"), (1, b, "x"), (1, b, "w"), (1, None, "x"), (2, c, "x"), (3, c, "x"), (4, b, "x"), (None, "no id", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((tuple(r) for r in corpus_pipeline.keep_one_of_each_group(spark, docs, "").collect()), key=str)
+    texts = [t for _, t, _ in got]
+    assert sorted(texts, key=str) == sorted([a, b, None, c, "no id"], key=str)  # one of each text
+    assert (2, c, "x") in got and (1, b, "x") not in got  # the first by its other columns
+    again = sorted((tuple(r) for r in corpus_pipeline.keep_one_of_each_group(spark, docs.repartition(7, "source"), "").collect()), key=str)
+    assert again == got
