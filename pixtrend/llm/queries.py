@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixtrend.llm import bpe, fm_index, line_crf, line_dedup, multi_index, ngram_join, passage_chain, sharding, token_files, toxicity_pu
+from pixtrend.llm import bpe, fm_index, line_crf, line_dedup, merkle, multi_index, ngram_join, passage_chain, sharding, token_files, toxicity_pu
 from pixtrend.llm.scratch import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     token_files.write_token_files(table(spark, sf_dir, "documents"), vocab_path("word_bpe_49k.json"), folder, end_id=2)
     out = token_files.read_token_files(spark, folder)
     return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@register("op12_merkle_manifest")
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proofs of every document, checked against texts of which every second has lost its line ends."""
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    odd = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2
+    out = merkle.manifest(docs, F.when(odd == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text")))
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")

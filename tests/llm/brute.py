@@ -125,3 +125,53 @@ def corpus(seed=0, n=120):
     rows += [(n + 50, None), (n + 51, ""), (n + 52, " \n\t\n"), (n + 53, "one"), (n + 54, "One two"), (n + 55, "one two"),
              (n + 56, "the " * 4000), (n + 57, words(rng, 6000)), (n + 58, "Ünï Çödé ÉCOLE   x")]
     return rows
+
+
+def _sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def merkle_leaf(row):
+    """Digest of (doc_id, source, lang, n_chars, text)."""
+    return _sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+
+def _tree(digests, fanout):
+    """Top, and each leaf's siblings and (left, right) steps up to it."""
+    steps = [[] for _ in digests]
+    level, owners = list(digests), [[i] for i in range(len(digests))]
+    while len(level) > 1:
+        above, above_owners = [], []
+        for a in range(0, len(level), fanout):
+            run = level[a:a + fanout]
+            for s in range(len(run)):
+                for leaf in owners[a + s]:
+                    steps[leaf].append(("".join(run[:s]), "".join(run[s + 1:])))
+            above.append(_sha("".join(run)))
+            above_owners.append(sum(owners[a:a + fanout], []))
+        level, owners = above, above_owners
+    return level[0], steps
+
+
+def merkle(rows, fanout=3):
+    """Sorted contract rows for (doc_id, source, lang, n_chars, text) rows."""
+    groups = collections.defaultdict(list)
+    for r in rows:
+        groups[r[1]].append((r, merkle_leaf(r)))
+    names = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    subroots, out = [], []
+    for s in names:
+        groups[s].sort(key=lambda x: (x[0][0] is not None, x[0][0] or 0, x[1]))
+        subroots.append(_tree([d for _, d in groups[s]], fanout))
+    if not names:
+        return []
+    root, upper = _tree([t for t, _ in subroots], fanout)
+    for s, (subroot, steps), more in zip(names, subroots, upper, strict=True):
+        for (r, leaf), own in zip(groups[s], steps, strict=True):
+            shown = leaf
+            if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 2 == 0 and r[4] is not None:
+                shown = merkle_leaf((*r[:4], r[4].replace("\n", "")))
+            for left, right in own + more:
+                shown = _sha(left + shown + right)
+            out.append((r[0], leaf, subroot, root, _sha("".join(a + b for a, b in own + more)), shown, shown == root))
+    return sorted(out, key=str)
