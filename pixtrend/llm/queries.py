@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixtrend.llm import bpe, fm_index, line_crf, line_dedup, merkle, multi_index, ngram_join, passage_chain, sharding, token_files, toxicity_pu
+from pixtrend.llm import bpe, fm_index, line_crf, line_dedup, merkle, multi_index, ngram_join, passage_chain, prefix_trie, sharding, token_files, toxicity_pu
 from pixtrend.llm.scratch import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,6 +153,14 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@register("op11_prefix_trie")
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of conversations rebuilt on the first turns of every twentieth."""
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    turns = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.with_shared_heads(turns, 20, head, 3))
+
+
 @register("op12_merkle_manifest")
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle proofs of every document, checked against texts of which every second has lost its line ends."""

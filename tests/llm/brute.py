@@ -175,3 +175,34 @@ def merkle(rows, fanout=3):
                 shown = _sha(left + shown + right)
             out.append((r[0], leaf, subroot, root, _sha("".join(a + b for a, b in own + more)), shown, shown == root))
     return sorted(out, key=str)
+
+
+def trie(rows):
+    """Sorted contract rows of the prefix trie for (conv_id, turn, role, text) rows."""
+    own = collections.defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            mark = hashlib.md5(f"{len(role.encode())}:{role}{text}".encode()).digest()
+            own[c].append(((turn is not None, turn or 0), role, mark, text))
+    turns = {c: [(r, t) for _, r, _, t in sorted(v)] for c, v in own.items()}
+    built = {}
+    for c in turns:
+        h = zlib.crc32(str(c).encode()) % 4
+        built[c] = tuple(turns.get(c - c % 20, [])[:h] + turns[c][h:])
+    members = collections.defaultdict(list)
+    for c, v in built.items():
+        for d in range(len(v) + 1):
+            members[v[:d]].append(c)
+    kids = collections.defaultdict(list)
+    for p in members:
+        if p:
+            kids[p[:-1]].append(p)
+
+    leaves, saved = {}, {}
+    for p in sorted(members, key=len, reverse=True):
+        leaves[p] = sum(leaves[k] for k in kids[p]) or 1
+        words = len(SPACED.findall(p[-1][1])) if p else 0
+        saved[p] = (len(members[p]) - 1) * words + sum(saved[k] for k in kids[p])
+    return sorted([(min(m), len(p), min(members[p[:-1]]) if p else None, len(m), len(kids[p]), leaves[p], saved[p],
+                    _sha(",".join(str(c) for c in sorted(m) if built[c] == p))) for p, m in members.items()], key=str)
