@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixtrend.llm import bpe, fm_index, line_crf, line_dedup, merkle, multi_index, ngram_join, passage_chain, prefix_trie, sharding, token_files, toxicity_pu
+from pixtrend.llm import bpe, fm_index, line_crf, line_dedup, merkle, multi_index, ngram_join, passage_chain, pii_bootstrap, prefix_trie, sharding, token_files, toxicity_pu
 from pixtrend.llm.scratch import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +168,15 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     odd = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2
     out = merkle.manifest(docs, F.when(odd == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text")))
     return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@register("op13_pii_bootstrap")
+def op13_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document: base patterns, and what bootstrapped contexts add."""
+    out = pii_bootstrap.identifiers(table(spark, sf_dir, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in pii_bootstrap.KINDS]
+    return out.select("doc_id", *counts, F.sha2(pii_bootstrap.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), pii_bootstrap.listed(F.col("spans")).alias("spans"))

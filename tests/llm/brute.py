@@ -206,3 +206,104 @@ def trie(rows):
         saved[p] = (len(members[p]) - 1) * words + sum(saved[k] for k in kids[p])
     return sorted([(min(m), len(p), min(members[p[:-1]]) if p else None, len(m), len(kids[p]), leaves[p], saved[p],
                     _sha(",".join(str(c) for c in sorted(m) if built[c] == p))) for p, m in members.items()], key=str)
+
+
+PII = {
+    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
+    "ip": re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)"),
+    "card": re.compile(r"[0-9](?:[\x20-]?[0-9])+"),
+    "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        v = int(d) * (1 + i % 2)
+        total += v - 9 if v > 9 else v
+    return total % 10 == 0
+
+
+def pii_base(text):
+    """[(kind, start, end)] of the base patterns, by kind, then start."""
+    out = []
+    for kind, regex in PII.items():
+        for m in regex.finditer(text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            ok = {"email": True, "ip": kind == "ip" and all(int(p) <= 255 for p in m.group().split(".")),
+                  "card": 13 <= len(digits) <= 19 and luhn(digits), "phone": 9 <= len(digits) <= 15}[kind]
+            if ok:
+                out.append((kind, m.start(), m.end()))
+    return out
+
+
+SPACE_RE = r"[ \t\n\x0b\f\r]"
+NON_SPACE = r"[^ \t\n\x0b\f\r]"
+COULD = {
+    "email": rf"[^@ \t\n\x0b\f\r]+@[^@ \t\n\x0b\f\r]+",
+    "ip": r"(?:[0-9a-f]{0,4}:){2,7}[0-9a-f]{0,4}|[0-9]{1,3}(?:[-_][0-9]{1,3}){3}",
+    "card": r"[0-9](?:[ ./-]?[0-9]){11,18}",
+    "phone": r"[(]?[0-9](?:[ ()./-]{0,3}[0-9]){6,14}",
+}
+
+
+def pii_spans(texts, support=5, confidence=0.8, score=0.8, rounds=4):
+    """Per text all spans: the base ones and those that bootstrapped contexts add."""
+    token = rf"(?={NON_SPACE}*[0-9@]){NON_SPACE}+"
+    chunk = re.compile(rf"(?<!{NON_SPACE}){token}(?: {token})*")
+    bases = [pii_base(t) for t in texts]
+    places, seeds, held = [], {}, collections.defaultdict(set)
+    for n, t in enumerate(texts):
+        t, end = t or "", 0
+        for m in chunk.finditer(t):
+            before, after = t[end:m.start()][-80:], re.split(rf"(?<!{NON_SPACE}){token}", t[m.end():])[0][:80]
+            end = m.end()
+            lead = re.match(r"[^A-Za-z0-9+(]*(?:[A-Za-z_]+[:=])?[^A-Za-z0-9+(]*", m.group()).group()
+            tail = re.search(r"[^A-Za-z0-9)]*$", m.group()).group()
+            a, b = m.start() + len(lead), m.end() - len(tail)
+            if a >= b:
+                continue
+            kinds = [k for k, s, e in bases[n] if (s, e) == (a, b)]
+            if not kinds and any(s < b and a < e for _, s, e in bases[n]):
+                continue
+            word = t[a:b].lower()
+            places.append((n, a, b, word, bool(kinds)))
+            w, v = f"{before} {lead}".lower().split(), after.lower().split()
+            names = [f"{w[-2]} {w[-1]} _"] if len(w) > 1 else []
+            names += [f"{w[-1]} _ {v[0]}"] if w and v else []
+            names += [f"{w[-1]} _"] if w and w[-1][-1] in ":=#" else []
+            could = {k for k, r in COULD.items() if re.fullmatch(r, word)}
+            if kinds or could or len(re.findall("[0-9]", word)) >= 4:
+                for name in names:
+                    held[name].add(word)
+                if kinds and names:
+                    seeds[word] = max(kinds)
+    found = {}
+    for _ in range(rounds):
+        trusted = {}
+        for name, words in held.items():
+            for k in PII:
+                mine = [1.0 if w in seeds else found[w][1] if w in found else 0.0 for w in words if (seeds.get(w) or found.get(w, [None])[0]) == k]
+                rest = sum(1.0 if w in seeds else found[w][1] for w in words if (w in seeds or w in found) and (seeds.get(w) or found[w][0]) != k)
+                odd = sum(1 for w in words if w not in seeds and w not in found and not re.fullmatch(COULD[k], w))
+                if sum(mine) >= support - 1e-9 and sum(mine) / (sum(mine) + rest + odd + 1) >= confidence:
+                    trusted[name] = (k, sum(mine) / (sum(mine) + rest + odd + 1))
+        left = collections.defaultdict(lambda: 1.0)
+        for name, (k, c) in trusted.items():
+            for w in held[name]:
+                if w not in seeds and re.fullmatch(COULD[k], w):
+                    left[w, k] *= 1 - c
+        now = {}
+        for (w, k), miss in left.items():
+            if 1 - miss >= score - 1e-9:
+                now[w] = max(now.get(w, (0, "")), (1 - miss, k))
+        now = {w: (k, s) for w, (s, k) in now.items()}
+        same, found = len(now) == len(found), now
+        if same:
+            break
+    order = list(PII)
+    out = [list(b) for b in bases]
+    for n, a, b, word, seed in places:
+        if not seed and word in found:
+            out[n].append((found[word][0], a, b))
+    return [sorted(s, key=lambda x: (order.index(x[0]), x[1], x[2])) for s in out]
