@@ -1,89 +1,58 @@
-"""Resampling between the 20 m and 10 m grids, written as scatter + aggregate.
-
-A 20 m cell ``s`` covers 10 m cells ``2s`` and ``2s+1``.  Bilinear
-interpolation onto 10 m centres gives every target its two nearest source
-centres per axis with weights 1/4 and 3/4, so each source cell contributes to
-targets ``2s + d`` for ``d`` in -1, 0, 1, 2 with integer weights 1, 3, 3, 1
-(per axis, /4).  Scattering each source row to its 16 weighted targets and
-summing ``v*w`` and ``w`` (over present values) per target reproduces the
-weights renormalised over valid neighbours at edges and nodata holes.  The
-weights are integers, so sums are exact and the value is one division.
-"""
+"""Resampling between the 20 m and 10 m grids of a scene: the two grids share
+their origin, so a 20 m cell ``s`` covers the 10 m cells ``2s`` and ``2s+1``.
+``gridmatch`` does the work for any two grids."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
 
-# fixed bilinear kernel for an exact factor-2 upsampling: (offset, weight*4)
-BILINEAR_X2 = [(-1, 1), (0, 3), (1, 3), (2, 1)]
+from pixtrend.operators.gridmatch import Grid, match_bilinear, match_nearest
+
+#: Cell sizes in metres of the resolution names.
+GRIDS = {"10m": Grid(10), "20m": Grid(20)}
 
 
 def resample_bilinear(df: DataFrame, bands, keys=("scene_id",), sx: str = "sx", sy: str = "sy",
                       factor: int = 2, extent: DataFrame | None = None, scene=("scene_id",)) -> DataFrame:
-    """Upsample ``bands`` from the coarse grid ``(sx, sy)`` to the fine grid ``(x, y)``.
+    """Upsample ``bands`` from the coarse grid ``(sx, sy)`` to the ``factor`` times finer grid ``(x, y)``.
 
-    All bands ride in the same explode (one 16x row expansion, combined before
-    the one shuffle).  Targets outside the scene's own fine grid are dropped:
-    ``extent`` has one row ``(scene keys, x0, x1, y0, y1)`` per scene; the
-    default is what the scene's coarse cells cover.  Values keep their
-    precision (integers are summed exactly, other types as doubles).
+    Targets outside the scene's own fine grid are dropped: ``extent`` has one
+    row ``(scene keys, x0, x1, y0, y1)`` per scene; the default is what the
+    scene's coarse cells cover.  Values keep their precision (integers are
+    summed exactly, other types as doubles).
     """
-    if factor != 2:
-        raise ValueError("only the 20 m -> 10 m factor 2 is supported")
-    if extent is None:
-        extent = df.groupBy(*scene).agg((F.min(sx) * 2).alias("x0"), (F.max(sx) * 2 + 1).alias("x1"),
-                                        (F.min(sy) * 2).alias("y0"), (F.max(sy) * 2 + 1).alias("y1"))
-    ext = extent.select(*scene, *[F.col(c).alias(f"_{c}") for c in ("x0", "x1", "y0", "y1")])
-    kern = F.array(*[F.struct(F.lit(d).alias("d"), F.lit(w).alias("w")) for d, w in BILINEAR_X2])
-    ex = df.select(*keys, sx, sy, *bands).join(ext, list(scene))
-    ex = ex.select("*", F.explode(kern).alias("kx"))
-    ex = ex.withColumn("x", F.col(sx) * 2 + F.col("kx.d")).filter(F.col("x").between(F.col("_x0"), F.col("_x1")))
-    ex = ex.select("*", F.explode(kern).alias("ky"))
-    ex = ex.withColumn("y", F.col(sy) * 2 + F.col("ky.d")).filter(F.col("y").between(F.col("_y0"), F.col("_y1")))
-    weight = (F.col("kx.w") * F.col("ky.w")).cast("bigint")
-    aggs = []
-    for b in bands:
-        v = F.col(b).cast("bigint" if isinstance(df.schema[b].dataType, IntegralType) else "double")
-        aggs += [F.sum(v * weight).alias(f"_{b}_ws"), F.sum(F.when(F.col(b).isNotNull(), weight)).alias(f"_{b}_w")]
-    g = ex.groupBy(*keys, "x", "y").agg(*aggs)
-    out = [F.col(k) for k in (*keys, "x", "y")]
-    out += [(F.col(f"_{b}_ws").cast("double") / F.col(f"_{b}_w").cast("double")).alias(b) for b in bands]
-    # targets with no present neighbour at all carry no information
-    return g.filter(F.coalesce(*[F.col(f"_{b}_w") for b in bands]).isNotNull()).select(*out)
+    return match_bilinear(df, bands, Grid(factor), Grid(1), keys, sx, sy, extent, scene)
 
 
 def resample_nearest(df: DataFrame, cols, keys=("scene_id",), sx: str = "sx", sy: str = "sy",
                      factor: int = 2) -> DataFrame:
     """Nearest-neighbour upsampling (class codes): each coarse cell becomes its
     ``factor x factor`` children.  A narrow generator, no shuffle."""
-    off = F.sequence(F.lit(0), F.lit(factor - 1))
-    ex = df.select(*keys, sx, sy, *cols, F.explode(off).alias("_dx"))
-    ex = ex.select("*", F.explode(off).alias("_dy"))
-    return ex.select(*keys, (F.col(sx) * factor + F.col("_dx")).alias("x"),
-                     (F.col(sy) * factor + F.col("_dy")).alias("y"), *cols)
+    return match_nearest(df, cols, Grid(factor), Grid(1), keys, sx, sy)
 
 
 def align_to_grid(long: DataFrame, keys=("scene_id",), band: str = "band", res: str = "res",
-                  value: str = "v", fine: str = "10m") -> DataFrame:
+                  value: str = "v", fine: str = "10m", grids: dict[str, Grid] | None = None) -> DataFrame:
     """Bring every band of a scene onto one grid, resampling only where needed.
 
     ``long`` rows are ``(keys, band, res, sx, sy, v)`` with cell indices on the
-    band's own grid.  Scenes that have a ``fine`` band keep those as they are
-    and get their coarse bands bilinearly upsampled; scenes without one keep
-    the coarse grid as the reference (no upsampling).  Output is
+    band's own grid (``grids``: the grid of each name in ``res``).  Scenes that have a ``fine`` band keep those as they are
+    and get all other bands interpolated onto that grid; scenes without one keep
+    their own grids (no resampling).  A resolution without a grid is left out.  Output is
     ``(keys, band, x, y, v)``; pivot with ``band_stack`` for the wide row.
     The fine band's extent is a small aggregate per scene; upsampled values
     outside it are dropped, so all bands share one grid.
     """
+    grids = grids or GRIDS
     grid = long.filter(F.col(res) == fine).groupBy(*keys).agg(
         F.min("sx").alias("x0"), F.max("sx").alias("x1"), F.min("sy").alias("y0"), F.max("sy").alias("y1"))
     coarse = long.filter(F.col(res) != fine)
     keep = long.filter(F.col(res) == fine).unionByName(coarse.join(grid, list(keys), "left_anti"))
-    # the join with the grid drops scenes without a fine band
-    upsampled = resample_bilinear(coarse.select(*keys, band, "sx", "sy", value), [value],
-                                  keys=(*keys, band), extent=grid, scene=keys)
-    kept = keep.select(*keys, band, F.col("sx").alias("x"), F.col("sy").alias("y"),
-                       F.col(value).cast("double").alias(value))
-    return kept.unionByName(upsampled)
+    out = keep.select(*keys, band, F.col("sx").alias("x"), F.col("sy").alias("y"), F.col(value).cast("double").alias(value))
+    for name, own in grids.items():
+        if name != fine:
+            # the join with the grid drops scenes without a fine band
+            rows = long.filter(F.col(res) == name).select(*keys, band, "sx", "sy", value)
+            out = out.unionByName(match_bilinear(rows, [value], own, grids[fine], keys=(*keys, band), extent=grid, scene=keys))
+    return out

@@ -769,3 +769,6 @@ def q_catalogue_trend(spark, sf_dir):
     return catalogue_trend(scenes, fx.scene_assets(spark, sf_dir), aoi, finished, fx.scene_bands(spark, sf_dir, ob),
                            fx.scene_classes(spark, sf_dir, ob), range(1995, 2002), JOB_BOUNDS_M, JOB_PIXELS, grid="MGRS-5",
                            epsg=32605, cloud_thresh=JOB_CLOUD, min_coverage=JOB_COVERAGE)
+
+
+from pixtrend.plans import registry_grids  # noqa: E402,F401  (adds to QUERIES and ORACLE)
