@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pixtrend.constants import (UTM_FALSE_EASTING, UTM_FALSE_NORTHING_SOUTH, UTM_K0, WGS84_A,
@@ -103,6 +103,53 @@ def _utm_series(xi_p, eta_p, epsg) -> Column:
     return F.struct(x.alias("x"), y.alias("y"))
 
 
+def _inverse_series(n: float) -> tuple[list[float], list[float]]:
+    """Coefficients beta_1..beta_6 of the inverse series and delta_1..delta_6 from
+    conformal to geodetic latitude (Krüger 1912, as tabulated by Karney 2011, eq. 36, and Kawase 2011)."""
+    beta = {
+        1: [(1, Fraction(1, 2)), (2, Fraction(-2, 3)), (3, Fraction(37, 96)), (4, Fraction(-1, 360)),
+            (5, Fraction(-81, 512)), (6, Fraction(96199, 604800))],
+        2: [(2, Fraction(1, 48)), (3, Fraction(1, 15)), (4, Fraction(-437, 1440)),
+            (5, Fraction(46, 105)), (6, Fraction(-1118711, 3870720))],
+        3: [(3, Fraction(17, 480)), (4, Fraction(-37, 840)), (5, Fraction(-209, 4480)), (6, Fraction(5569, 90720))],
+        4: [(4, Fraction(4397, 161280)), (5, Fraction(-11, 504)), (6, Fraction(-830251, 7257600))],
+        5: [(5, Fraction(4583, 161280)), (6, Fraction(-108847, 3991680))],
+        6: [(6, Fraction(20648693, 638668800))],
+    }
+    delta = {
+        1: [(1, Fraction(2)), (2, Fraction(-2, 3)), (3, Fraction(-2)), (4, Fraction(116, 45)), (5, Fraction(26, 45)), (6, Fraction(-2854, 675))],
+        2: [(2, Fraction(7, 3)), (3, Fraction(-8, 5)), (4, Fraction(-227, 45)), (5, Fraction(2704, 315)), (6, Fraction(2323, 945))],
+        3: [(3, Fraction(56, 15)), (4, Fraction(-136, 35)), (5, Fraction(-1262, 105)), (6, Fraction(73814, 2835))],
+        4: [(4, Fraction(4279, 630)), (5, Fraction(-332, 35)), (6, Fraction(-399572, 14175))],
+        5: [(5, Fraction(4174, 315)), (6, Fraction(-144838, 6237))],
+        6: [(6, Fraction(601676, 22275))],
+    }
+    return tuple([sum(float(c) * n ** p for p, c in t[j]) for j in sorted(t)] for t in (beta, delta))
+
+
+_BETA, _DELTA = _inverse_series(_N)
+UTM_SERIES |= {"beta": _BETA, "delta": _DELTA}
+
+
+def with_lonlat(df: DataFrame, x: str, y: str, epsg, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """``df`` with the WGS84 lon/lat (degrees) of UTM easting/northing columns in zone
+    ``epsg``: the inverse of ``utm_xy``, in stages of plain columns."""
+    epsg = _c(epsg)
+    k = F.lit(UTM_K0 * _RECT_A)
+    south = F.when(epsg >= 32700, F.lit(UTM_FALSE_NORTHING_SOUTH)).otherwise(F.lit(0.0))
+    df = df.withColumns({"_xi": (F.col(y) - south) / k, "_eta": (F.col(x) - UTM_FALSE_EASTING) / k})
+    xi, eta = F.col("_xi"), F.col("_eta")
+    for j, b in enumerate(_BETA, start=1):
+        xi = xi - F.lit(b) * F.sin(2 * j * F.col("_xi")) * F.cosh(2 * j * F.col("_eta"))
+        eta = eta - F.lit(b) * F.cos(2 * j * F.col("_xi")) * F.sinh(2 * j * F.col("_eta"))
+    df = df.withColumns({"_xp": xi, "_ep": eta}).withColumn("_chi", F.asin(F.sin("_xp") / F.cosh("_ep")))
+    phi = F.col("_chi")
+    for j, d in enumerate(_DELTA, start=1):
+        phi = phi + F.lit(d) * F.sin(2 * j * F.col("_chi"))
+    lam = F.degrees(F.atan2(F.sinh("_ep"), F.cos("_xp"))) + ((epsg % 100) * 6 - 183)
+    return df.withColumns({lon: lam, lat: F.degrees(phi)}).drop("_xi", "_eta", "_xp", "_ep", "_chi")
+
+
 def project_ring(ring, epsg) -> Column:
     return F.transform(_c(ring), lambda p: utm_xy(p["x"], p["y"], epsg, bind=True))
 
@@ -239,167 +286,54 @@ def point_in_polygon_lit(px, py, coords) -> Column:
     return inside
 
 
-# --------------------------------------------------------------------------- convex fast path
-# The closed form below has a few thousand operators.  It is written as Spark
-# SQL expression text and applied stage by stage with ``selectExpr`` (one
-# call per expression instead of one per operator), over plain columns.
-_PI = "3.141592653589793"
-
-
-def _x(a, b) -> str:
-    return f"(({a[0]}) * ({b[1]}) - ({a[1]}) * ({b[0]}))"
-
+# --------------------------------------------------------------------------- areas by edges
+EDGES = "array<struct<ax:double,ay:double,bx:double,by:double>>"
 
-def _sum_sql(parts) -> str:
-    return "(" + " + ".join(f"coalesce({p}, 0D)" for p in parts) + ")"
 
+def ring_edges(ring) -> Column:
+    """Edges of a ring, from each point to the next and from the last to the
+    first.  A ring closed by its first point gets an edge of no length, which counts for nothing."""
+    def edges(r):
+        n = F.size(r)
+        return F.transform(r, lambda p, i: F.struct(p["x"].cast("double").alias("ax"), p["y"].cast("double").alias("ay"),
+                                                    F.get(r, (i + 1) % n)["x"].cast("double").alias("bx"), F.get(r, (i + 1) % n)["y"].cast("double").alias("by")))
+    return F.coalesce(let(_c(ring), edges), F.array().cast(EDGES))
 
-def _any_sql(parts) -> str:
-    return "(" + " OR ".join(f"coalesce({p}, false)" for p in parts) + ")"
 
+def rings_edges(rings) -> Column:
+    """Edges of several rings.  Holes run against the direction of the ring
+    around them; which of the two directions is meant does not matter."""
+    return F.coalesce(F.flatten(F.transform(_c(rings), ring_edges)), F.array().cast(EDGES))
 
-def utm_xy_sql(lon: str, lat: str, epsg: str) -> tuple[str, str]:
-    """Spark SQL text of ``utm_xy`` (same series, same operation order)."""
-    lam = f"radians({lon} - ({epsg} % 100 * 6 - 183))"
-    s = f"sin(radians({lat}))"
-    e = repr(_E)
-    t = f"sinh(atanh({s}) - {e}D * atanh({e}D * {s}))"
-    xi_p = f"atan2({t}, cos({lam}))"
-    eta_p = f"atanh(sin({lam}) / sqrt(1.0D + {t} * {t}))"
-    xi, eta = xi_p, eta_p
-    for j, a in enumerate(_ALPHA, start=1):
-        xi = f"({xi} + {a!r}D * sin({2 * j} * {xi_p}) * cosh({2 * j} * {eta_p}))"
-        eta = f"({eta} + {a!r}D * cos({2 * j} * {xi_p}) * sinh({2 * j} * {eta_p}))"
-    k = repr(UTM_K0 * _RECT_A)
-    x = f"({UTM_FALSE_EASTING!r}D + {k}D * {eta})"
-    y = (f"(CASE WHEN {epsg} >= 32700 THEN {UTM_FALSE_NORTHING_SOUTH!r}D ELSE 0.0D END"
-         f" + {k}D * {xi})")
-    return x, y
-
-
-def _overlap_stages(df, k: int):
-    """Area of (convex ring F) ∩ (convex quad A) by Green's theorem.
-
-    Input columns: ``_n`` (vertices used), ``_fx{i}, _fy{i}`` (i < k) and
-    ``_ax{j}, _ay{j}`` (j < 4), relative to a local origin.  The boundary of
-    F ∩ A is the part of F's edges inside A plus the part of A's edges inside
-    F; each part is found by Liang–Barsky clipping against the other convex
-    polygon and contributes ``(t1 - t0) * cross(P, Q - P) / 2``.  Collinear
-    overlaps are counted once (F's edge if same direction, neither if
-    opposite).  Every stage is a narrow projection over plain columns.
-    Adds ``_inter``, ``_area_a`` and ``_convex``.
-    """
-    f = [(f"_fx{i}", f"_fy{i}") for i in range(k)]
-    a = [(f"_ax{j}", f"_ay{j}") for j in range(4)]
 
-    def nxt(name, i):
-        if i + 1 < k:
-            return (f"(CASE WHEN _n = {i + 1} THEN {name}0 WHEN _n > {i + 1} THEN {name}{i + 1} END)")
-        return f"(CASE WHEN _n = {i + 1} THEN {name}0 END)"
+def edges_area_signed(edges) -> Column:
+    """Area inside the edges; positive if they run counter-clockwise."""
+    return F.aggregate(_c(edges), F.lit(0.0), lambda a, e: a + (e["ax"] * e["by"] - e["bx"] * e["ay"]) / 2)
 
-    def stage(exprs: dict, frame):
-        return frame.selectExpr("*", *[f"{v} AS {c}" for c, v in exprs.items()])
 
-    st = {}
-    for i in range(k):
-        st[f"_v{i}"] = f"({i} < _n)"
-        st[f"_ex{i}"] = f"({nxt('_fx', i)} - _fx{i})"
-        st[f"_ey{i}"] = f"({nxt('_fy', i)} - _fy{i})"
-    for j in range(4):
-        st[f"_bx{j}"] = f"(_ax{(j + 1) % 4} - _ax{j})"
-        st[f"_by{j}"] = f"(_ay{(j + 1) % 4} - _ay{j})"
-    df = stage(st, df)
-    e = [(f"_ex{i}", f"_ey{i}") for i in range(k)]
-    b = [(f"_bx{j}", f"_by{j}") for j in range(4)]
-
-    st = {"_area_f": _sum_sql(f"CASE WHEN _v{i} THEN {_x(f[i], e[i])} END" for i in range(k)) + " / 2",
-          "_area_as": _sum_sql(_x(a[j], b[j]) for j in range(4)) + " / 2"}
-    for i in range(k):
-        ne = (nxt("_ex", i), nxt("_ey", i))
-        st[f"_tc{i}"] = f"CASE WHEN _v{i} THEN {_x(e[i], ne)} END"
-        st[f"_td{i}"] = f"CASE WHEN _v{i} THEN (_ex{i} * {ne[0]} + _ey{i} * {ne[1]}) END"
-    df = stage(st, df)
+def trapezoid_overlap(df: DataFrame, e: str, f: str, out: str = "overlap") -> DataFrame:
+    """``df`` with the signed area that the trapezoids under edge columns ``e`` and
+    ``f`` (structs ax, ay, bx, by) share.
 
-    st = {"_sf": "signum(_area_f)", "_sa": "signum(_area_as)", "_area_a": "abs(_area_as)",
-          "_turn": _sum_sql(f"CASE WHEN _v{i} THEN atan2(_tc{i}, _td{i}) END" for i in range(k))}
-    for i in range(k):
-        st[f"_cv{i}"] = f"(NOT _v{i} OR _tc{i} * signum(_area_f) > 0)"
-    df = stage(st, df)
-
-    conv = [f"_n >= 3", f"_n <= {k}", f"abs(_turn) < 3 * {_PI}"] + [f"_cv{i}" for i in range(k)]
-    st = {"_convex": "(" + " AND ".join(conv) + ")"}
-    for i in range(k):
-        for j in range(4):
-            rel = (f"({f[i][0]} - {a[j][0]})", f"({f[i][1]} - {a[j][1]})")
-            st[f"_fn{i}_{j}"] = f"({_x(b[j], rel)} * _sa)"
-            st[f"_fd{i}_{j}"] = f"({_x(b[j], e[i])} * _sa)"
-            st[f"_fo{i}_{j}"] = f"(_bx{j} * _ex{i} + _by{j} * _ey{i})"
-            rel2 = (f"({a[j][0]} - {f[i][0]})", f"({a[j][1]} - {f[i][1]})")
-            st[f"_an{j}_{i}"] = f"CASE WHEN _v{i} THEN {_x(e[i], rel2)} * _sf END"
-            st[f"_ad{j}_{i}"] = f"CASE WHEN _v{i} THEN {_x(e[i], b[j])} * _sf END"
-    df = stage(st, df)
-
-    def t(num, den):
-        return f"(-{num} / nullif({den}, 0D))"
-
-    st = {}
-    for i in range(k):
-        nd = [(f"_fn{i}_{j}", f"_fd{i}_{j}", f"_fo{i}_{j}") for j in range(4)]
-        st[f"_flo{i}"] = "greatest(0D, " + ", ".join(f"CASE WHEN {d} > 0 THEN {t(n, d)} END" for n, d, _ in nd) + ")"
-        st[f"_fhi{i}"] = "least(1D, " + ", ".join(f"CASE WHEN {d} < 0 THEN {t(n, d)} END" for n, d, _ in nd) + ")"
-        st[f"_fem{i}"] = _any_sql(f"({d} = 0 AND ({n} < 0 OR ({n} = 0 AND {o} < 0)))" for n, d, o in nd)
-    for j in range(4):
-        nd = [(f"_an{j}_{i}", f"_ad{j}_{i}") for i in range(k)]
-        st[f"_alo{j}"] = "greatest(0D, " + ", ".join(f"CASE WHEN {d} > 0 THEN {t(n, d)} END" for n, d in nd) + ")"
-        st[f"_ahi{j}"] = "least(1D, " + ", ".join(f"CASE WHEN {d} < 0 THEN {t(n, d)} END" for n, d in nd) + ")"
-        st[f"_aem{j}"] = _any_sql(f"({d} = 0 AND {n} <= 0)" for n, d in nd)
-    df = stage(st, df)
-
-    parts = [f"CASE WHEN _v{i} AND NOT _fem{i} AND _flo{i} < _fhi{i} THEN "
-             f"(_fhi{i} - _flo{i}) * {_x(f[i], e[i])} / 2 * _sf END" for i in range(k)]
-    parts += [f"CASE WHEN NOT _aem{j} AND _alo{j} < _ahi{j} THEN "
-              f"(_ahi{j} - _alo{j}) * {_x(a[j], b[j])} / 2 * _sa END" for j in range(4)]
-    df = stage({"_inter": _sum_sql(parts)}, df)
-    keep = {"_inter", "_area_a", "_convex", "_n", "_a0", "_a1", "_a2", "_a3"}
-    return df.drop(*[c for c in df.columns if c.startswith("_") and c not in keep
-                     and not c.startswith(("_fx", "_fy", "_ax", "_ay"))])
-
-
-def with_convex_coverage(df, ring_ll, aoi, epsg, out: str = "coverage_ratio",
-                         max_vertices: int = 8):
-    """Add ``out`` = coverage ratio of footprint ``ring_ll`` over the lon/lat
-    box ``aoi = (w, s, e, n)`` (column names) projected to ``epsg``.
-
-    Vertices are projected once into plain columns (code-generated, shared
-    terms eliminated); the intersection area is then a closed form over those
-    columns (``_overlap_stages``).  Footprints that are not strictly convex or
-    have more than ``max_vertices`` vertices take the general clip.
+    Each edge bounds a trapezoid down to a line below everything, positive if it runs
+    right to left.  The trapezoids of a polygon add up to it, so those shared by two polygons
+    add up to what the polygons share: the integral of the lower of the two edges
+    over their common range of x, whatever the line (it cancels).
     """
-    k = max_vertices
-    w, s, e, n_ = aoi
-    r = ring_ll
-    proj = {"_n": f"CASE WHEN size({r}) > 1 AND {r}[0].x = {r}[size({r}) - 1].x AND "
-                  f"{r}[0].y = {r}[size({r}) - 1].y THEN size({r}) - 1 ELSE size({r}) END"}
-    for i, (lon, lat) in enumerate([(w, s), (e, s), (e, n_), (w, n_)]):
-        x, y = utm_xy_sql(lon, lat, epsg)
-        proj[f"_a{i}"] = f"named_struct('x', {x}, 'y', {y})"
-    for i in range(k):
-        x, y = utm_xy_sql(f"get({r}, {i}).x", f"get({r}, {i}).y", epsg)
-        proj[f"_f{i}"] = f"named_struct('x', {x}, 'y', {y})"
-    staged = df.selectExpr("*", *[f"{v} AS {c}" for c, v in proj.items()])
-    rel = [f"_a{i}.x - _a0.x AS _ax{i}" for i in range(4)] + [f"_a{i}.y - _a0.y AS _ay{i}" for i in range(4)]
-    rel += [f"_f{i}.x - _a0.x AS _fx{i}" for i in range(k)] + [f"_f{i}.y - _a0.y AS _fy{i}" for i in range(k)]
-    staged = staged.selectExpr("*", *rel).drop(*[f"_f{i}" for i in range(k)])
-    staged = _overlap_stages(staged, k)
-    fast = F.coalesce(F.col("_inter") / F.nullif(F.col("_area_a"), F.lit(0.0)), F.lit(0.0))
-    # exact general path: every vertex projected inside one lambda, clipped by
-    # the projected AOI corners
-    px, py = utm_xy_sql("p.x", "p.y", epsg)
-    fp = F.expr(f"transform({r}, p -> named_struct('x', {px}, 'y', {py}))")
-    slow = coverage_ratio_projected(fp, F.array(*[F.col(f"_a{i}") for i in range(4)]))
-    res = staged.withColumn(out, F.when(F.coalesce(F.col("_convex"), F.lit(False)), fast)
-                            .otherwise(slow))
-    return res.drop("_n", "_inter", "_area_a", "_convex", *[f"_a{i}" for i in range(4)],
-                    *[f"_ax{i}" for i in range(4)],
-                    *[f"_ay{i}" for i in range(4)], *[f"_fx{i}" for i in range(k)],
-                    *[f"_fy{i}" for i in range(k)])
+    lo = F.greatest(F.least(f"{e}.ax", f"{e}.bx"), F.least(f"{f}.ax", f"{f}.bx"))
+    hi = F.least(F.greatest(f"{e}.ax", f"{e}.bx"), F.greatest(f"{f}.ax", f"{f}.bx"))
+    df = df.withColumns({"_lo": lo, "_hi": hi})
+
+    def at(edge: str, x: str) -> Column:
+        a, b, c, d = (F.col(f"{edge}.{k}") for k in ("ax", "ay", "bx", "by"))
+        return F.when(F.col("_hi") > F.col("_lo"), b + (d - b) * ((F.col(x) - a) / (c - a)))
+
+    df = df.withColumns({"_e0": at(e, "_lo"), "_e1": at(e, "_hi"), "_f0": at(f, "_lo"), "_f1": at(f, "_hi")})
+    d0, d1 = F.col("_e0") - F.col("_f0"), F.col("_e1") - F.col("_f1")
+    df = df.withColumns({"_l0": F.least("_e0", "_f0"), "_l1": F.least("_e1", "_f1"), "_t": F.when(d0 * d1 < 0, d0 / (d0 - d1))})
+    cross = F.col("_e0") + F.col("_t") * (F.col("_e1") - F.col("_e0"))
+    mean = F.when(F.col("_t").isNull(), (F.col("_l0") + F.col("_l1")) / 2).otherwise(
+        (F.col("_t") * (F.col("_l0") + cross) + (1 - F.col("_t")) * (cross + F.col("_l1"))) / 2)
+    sign = F.signum(F.col(f"{e}.ax") - F.col(f"{e}.bx")) * F.signum(F.col(f"{f}.ax") - F.col(f"{f}.bx"))
+    area = F.coalesce(sign * mean * (F.col("_hi") - F.col("_lo")), F.lit(0.0))
+    return df.withColumn(out, area).drop("_lo", "_hi", "_e0", "_e1", "_f0", "_f1", "_l0", "_l1", "_t")

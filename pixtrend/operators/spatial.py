@@ -1,81 +1,83 @@
 """AOI x catalogue spatial join and footprint coverage, without a cross join.
 
-Both sides are exploded to the coarse lon/lat cells their bboxes touch (a
-bounded number per row: footprint and AOI sizes are physical constants), then
-equi-joined on the cell.  A candidate pair is kept only in the one cell that
-contains the south-west corner of the two bboxes' intersection, so every
-intersecting pair appears exactly once and no pair is emitted for bboxes that
-do not touch.  The exact coverage ratio is then evaluated per pair.
+Pairs whose boxes touch come from the quadtree join (``quadtree``).  What a
+footprint and an AOI share is one sum over pairs of their edges, which serves
+rings of any shape, with holes or in several parts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pixtrend.constants import AOI_MIN_COVERAGE_RATIO
-from pixtrend.functions.geo import utm_epsg, with_convex_coverage
-from pixtrend.session import ensure_jit_friendly_codegen, scratch_dir
-
-
-def _cells(df: DataFrame, cell: float, prefix: str) -> DataFrame:
-    cx = F.sequence(F.floor(F.col(f"{prefix}west") / cell), F.floor(F.col(f"{prefix}east") / cell))
-    cy = F.sequence(F.floor(F.col(f"{prefix}south") / cell), F.floor(F.col(f"{prefix}north") / cell))
-    return df.select("*", F.explode(cx).alias("_cx")).select("*", F.explode(cy).alias("_cy"))
-
-
-def aoi_scene_pairs(scenes: DataFrame, aois: DataFrame, cell: float = 1.0) -> DataFrame:
-    """``(aoi_id, item_id, ...)`` for every AOI and scene whose bboxes intersect."""
-    s = scenes.select("item_id", *[F.col(c).alias(f"s_{c}") for c in ("west", "south", "east", "north")],
-                      "ring")
-    a = aois.select("aoi_id", *[F.col(c).alias(f"a_{c}") for c in ("west", "south", "east", "north")])
-    j = _cells(s, cell, "s_").join(_cells(a, cell, "a_"), ["_cx", "_cy"])
-    iw = F.greatest("s_west", "a_west")
-    is_ = F.greatest("s_south", "a_south")
-    ie = F.least("s_east", "a_east")
-    in_ = F.least("s_north", "a_north")
-    keep = (iw <= ie) & (is_ <= in_) & (F.floor(iw / cell) == F.col("_cx")) & \
-        (F.floor(is_ / cell) == F.col("_cy"))
-    return j.filter(keep).drop("_cx", "_cy")
-
-
-#: Vertices that the code-generated closed form has room for; every row with a
-#: larger or a non-convex ring takes the general clip in the same plan.
-VERTEX_SLOTS = 6
-
-
-def aoi_coverage(scenes: DataFrame, aois: DataFrame, cell: float = 1.0, epsg=None,
-                 min_ratio: float | None = None, max_vertices: int = VERTEX_SLOTS) -> DataFrame:
-    """Coverage ratio of every intersecting (AOI, scene) pair.
-
-    Both are projected to ``epsg`` (a number or column, e.g. from
-    ``detect_epsg``), by default the UTM zone of the AOI centre.  Convex
-    footprints (the normal case) take a code-generated closed form; other rings
-    the general polygon clip.  ``min_ratio`` keeps pairs at or above it: pairs
-    whose boxes overlap by less than half of that are dropped before any
-    projection (areas stretch far less than twofold inside an AOI), the rest
-    before anything is written.
+from pixtrend.functions import geo as G
+from pixtrend.operators.quadtree import BOX, PART_ROWS, touching
+
+POINTS = "array<array<struct<x:double,y:double>>>"
+
+
+def _rings(df: DataFrame, corners: list[Column] | None = None) -> Column:
+    """The polygon of a row as rings: ``rings``, or the one ring ``ring``, or the box."""
+    if "rings" in df.columns:
+        return F.col("rings").cast(POINTS)
+    return F.array(F.col("ring") if "ring" in df.columns else G.bbox_ring(*[F.col(c) for c in BOX])).cast(POINTS)
+
+
+def aoi_scene_pairs(scenes: DataFrame, aois: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
+    """``(aoi_id, item_id, boxes and rings of both)`` for every AOI and scene whose bboxes touch."""
+    s = scenes.select("item_id", *[F.col(c).alias(f"s_{c}") for c in BOX], _rings(scenes).alias("s_rings"))
+    a = aois.select("aoi_id", *[F.col(c).alias(f"a_{c}") for c in BOX], _rings(aois).alias("a_rings"))
+    return touching(s, a, "s_", "a_", part_rows)
+
+
+def _projected(df: DataFrame, edge: str, epsg: str, origin: bool) -> DataFrame:
+    """``edge`` (lon/lat) in metres of zone ``epsg``, both ends projected as plain columns."""
+    df = df.withColumns({"_p": G.utm_xy(F.col(f"{edge}.ax"), F.col(f"{edge}.ay"), F.col(epsg)), "_q": G.utm_xy(F.col(f"{edge}.bx"), F.col(f"{edge}.by"), F.col(epsg))})
+    shift = (F.col("_ox"), F.col("_oy")) if origin else (F.lit(0.0), F.lit(0.0))
+    at = F.struct(*[(F.col(f"{end}.{c}") - o).alias(f"{n}{c}") for end, n in (("_p", "a"), ("_q", "b")) for c, o in (("x", shift[0]), ("y", shift[1]))])
+    return df.withColumn(edge, at).drop("_p", "_q")
+
+
+def aoi_coverage(scenes: DataFrame, aois: DataFrame, epsg=None, min_ratio: float | None = None, part_rows: int = PART_ROWS) -> DataFrame:
+    """Coverage ratio, area(footprint ∩ AOI) / area(AOI), of every (AOI, scene)
+    pair whose bboxes touch; 0 if they share nothing.
+
+    Both are projected to ``epsg`` (a number or a column of ``aois``), by default the UTM
+    zone of the AOI's centre.  Footprints and AOIs are polygons in ``rings`` (holes
+    run against the ring around them), or ``ring``; an AOI may be a box.  ``min_ratio``
+    keeps pairs at or above it: pairs whose boxes overlap by less than half of
+    that are dropped before any projection if the AOI is a box (areas stretch far less than twofold inside an AOI).
+
+    The edges of an AOI are projected once, before the join; those of a footprint
+    for each pair, which costs less than to send the pair to a table of projected footprints.
     """
-    ensure_jit_friendly_codegen(scenes.sparkSession)
-    p = aoi_scene_pairs(scenes, aois, cell)
-    if min_ratio is not None:
-        overlap = ((F.least("s_east", "a_east") - F.greatest("s_west", "a_west"))
-                   * (F.least("s_north", "a_north") - F.greatest("s_south", "a_south")))
-        p = p.filter(overlap >= (F.col("a_east") - F.col("a_west")) * (F.col("a_north") - F.col("a_south")) * (min_ratio / 2))
+    boxed = not {"ring", "rings"} & set(aois.columns)
     if epsg is None:
-        epsg = utm_epsg((F.col("a_west") + F.col("a_east")) / 2, (F.col("a_south") + F.col("a_north")) / 2)
+        epsg = G.utm_epsg((F.col("west") + F.col("east")) / 2, (F.col("south") + F.col("north")) / 2)
     elif isinstance(epsg, int):
         epsg = F.lit(epsg)
-    p = p.select("aoi_id", "item_id", epsg.cast("int").alias("epsg"), "ring", "a_west", "a_south", "a_east",
-                 "a_north")
-    p = with_convex_coverage(p, "ring", ("a_west", "a_south", "a_east", "a_north"), "epsg",
-                             max_vertices=max_vertices)
-    out = p.select("aoi_id", "item_id", "epsg", "coverage_ratio")
-    # Writing the pair table to the shared checkpoint folder fixes the staged
-    # closed form: a later filter on ``coverage_ratio`` would otherwise be pushed
-    # below the stages by substituting their expressions into one large predicate.
-    scratch_dir(out.sparkSession)
-    out = out.checkpoint(eager=False)
+    a = aois.withColumns({"_epsg": epsg.cast("int"), "_edges": G.rings_edges(_rings(aois))})
+    a = a.select("aoi_id", *[F.col(c).alias(f"a_{c}") for c in BOX], F.col("_epsg").alias("epsg"), F.posexplode_outer("_edges").alias("_i", "_e"))
+    # the AOI's edges in metres, from its box's south-west corner, back in one row
+    a = a.withColumn("_o", G.utm_xy("a_west", "a_south", "epsg")).withColumns({"_ox": F.col("_o.x"), "_oy": F.col("_o.y")}).drop("_o")
+    a = _projected(a, "_e", "epsg", True)
+    a = a.groupBy("aoi_id", *[f"a_{c}" for c in BOX], "epsg", "_ox", "_oy").agg(F.collect_list("_e").alias("a_edges"))
+    a = a.withColumn("a_area", G.edges_area_signed("a_edges"))
+    s = scenes.select("item_id", *[F.col(c).alias(f"s_{c}") for c in BOX], G.rings_edges(_rings(scenes)).alias("s_edges"))
+    p = touching(s, a, "s_", "a_", part_rows)
+    if min_ratio is not None and boxed:
+        shared = ((F.least("s_east", "a_east") - F.greatest("s_west", "a_west")) * (F.least("s_north", "a_north") - F.greatest("s_south", "a_south")))
+        p = p.filter(shared >= (F.col("a_east") - F.col("a_west")) * (F.col("a_north") - F.col("a_south")) * (min_ratio / 2))
+    e = p.select("aoi_id", "item_id", "epsg", "a_area", "a_edges", "_ox", "_oy", F.explode_outer("s_edges").alias("_e"))
+    e = _projected(e, "_e", "epsg", True)
+    e = e.withColumn("_part", (F.col("_e.ax") * F.col("_e.by") - F.col("_e.bx") * F.col("_e.ay")) / 2)
+    pairs = e.select("aoi_id", "item_id", "epsg", "a_area", "_e", "_part", F.posexplode_outer("a_edges").alias("_j", "_f"))
+    pairs = G.trapezoid_overlap(pairs, "_e", "_f")
+    g = pairs.groupBy("aoi_id", "item_id", "epsg", "a_area").agg(F.sum("overlap").alias("_both"), F.sum(F.when(F.coalesce("_j", F.lit(0)) == 0, F.col("_part"))).alias("_s_area"))
+    # the directions of both polygons cancel out of the shared area
+    ratio = F.col("_both") * F.signum("_s_area") / F.nullif(F.col("a_area"), F.lit(0.0))
+    out = g.select("aoi_id", "item_id", "epsg", F.coalesce(ratio, F.lit(0.0)).alias("coverage_ratio"))
     return out if min_ratio is None else coverage_filter(out, min_ratio)
 
 
