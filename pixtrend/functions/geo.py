@@ -103,6 +103,20 @@ def _utm_series(xi_p, eta_p, epsg) -> Column:
     return F.struct(x.alias("x"), y.alias("y"))
 
 
+def with_utm(df: DataFrame, points: dict[str, tuple], epsg) -> DataFrame:
+    """``df`` with a column ``name``, ``struct(x, y)`` as ``utm_xy`` gives it, for every
+    ``name: (lon, lat)``: in stages of plain columns, so that the series' arguments are
+    computed once and the plan stays small."""
+    epsg, first, second, last = _c(epsg), {}, {}, {}
+    for name, (lon, lat) in points.items():
+        s = F.sin(F.radians(_c(lat)))
+        t, lam, xi, eta = (f"_{name}_{k}" for k in ("t", "l", "x", "e"))
+        first |= {t: F.sinh(F.atanh(s) - F.lit(_E) * F.atanh(F.lit(_E) * s)), lam: F.radians(_c(lon) - ((epsg % 100) * 6 - 183))}
+        second |= {xi: F.atan2(F.col(t), F.cos(lam)), eta: F.atanh(F.sin(lam) / F.sqrt(F.lit(1.0) + F.col(t) * F.col(t)))}
+        last[name] = _utm_series(F.col(xi), F.col(eta), epsg)
+    return df.withColumns(first).withColumns(second).withColumns(last).drop(*first, *second)
+
+
 def _inverse_series(n: float) -> tuple[list[float], list[float]]:
     """Coefficients beta_1..beta_6 of the inverse series and delta_1..delta_6 from
     conformal to geodetic latitude (Krüger 1912, as tabulated by Karney 2011, eq. 36, and Kawase 2011)."""
@@ -322,18 +336,17 @@ def trapezoid_overlap(df: DataFrame, e: str, f: str, out: str = "overlap") -> Da
     """
     lo = F.greatest(F.least(f"{e}.ax", f"{e}.bx"), F.least(f"{f}.ax", f"{f}.bx"))
     hi = F.least(F.greatest(f"{e}.ax", f"{e}.bx"), F.greatest(f"{f}.ax", f"{f}.bx"))
-    df = df.withColumns({"_lo": lo, "_hi": hi})
 
     def at(edge: str, x: str) -> Column:
         a, b, c, d = (F.col(f"{edge}.{k}") for k in ("ax", "ay", "bx", "by"))
         return F.when(F.col("_hi") > F.col("_lo"), b + (d - b) * ((F.col(x) - a) / (c - a)))
 
-    df = df.withColumns({"_e0": at(e, "_lo"), "_e1": at(e, "_hi"), "_f0": at(f, "_lo"), "_f1": at(f, "_hi")})
+    df = df.withColumns({"_lo": lo, "_hi": hi}).withColumns({"_e0": at(e, "_lo"), "_e1": at(e, "_hi"), "_f0": at(f, "_lo"), "_f1": at(f, "_hi")})
     d0, d1 = F.col("_e0") - F.col("_f0"), F.col("_e1") - F.col("_f1")
-    df = df.withColumns({"_l0": F.least("_e0", "_f0"), "_l1": F.least("_e1", "_f1"), "_t": F.when(d0 * d1 < 0, d0 / (d0 - d1))})
-    cross = F.col("_e0") + F.col("_t") * (F.col("_e1") - F.col("_e0"))
-    mean = F.when(F.col("_t").isNull(), (F.col("_l0") + F.col("_l1")) / 2).otherwise(
-        (F.col("_t") * (F.col("_l0") + cross) + (1 - F.col("_t")) * (cross + F.col("_l1"))) / 2)
+    t, low = F.col("_t"), F.least("_e0", "_f0") + F.least("_e1", "_f1")
+    cross = F.col("_e0") + t * (F.col("_e1") - F.col("_e0"))
+    mean = F.when(t.isNull(), low / 2).otherwise((t * F.least("_e0", "_f0") + (1 - t) * F.least("_e1", "_f1") + cross) / 2)
     sign = F.signum(F.col(f"{e}.ax") - F.col(f"{e}.bx")) * F.signum(F.col(f"{f}.ax") - F.col(f"{f}.bx"))
     area = F.coalesce(sign * mean * (F.col("_hi") - F.col("_lo")), F.lit(0.0))
-    return df.withColumn(out, area).drop("_lo", "_hi", "_e0", "_e1", "_f0", "_f1", "_l0", "_l1", "_t")
+    keep = [F.col(c) for c in df.columns if c not in ("_lo", "_hi", "_e0", "_e1", "_f0", "_f1")]
+    return df.withColumn("_t", F.when(d0 * d1 < 0, d0 / (d0 - d1))).select(*keep, area.alias(out))

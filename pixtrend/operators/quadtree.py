@@ -62,7 +62,9 @@ def _joined(a: DataFrame, b: DataFrame, boxes: tuple[Column, Column], part_rows:
     hot_a, hot_b = _hot(a, boxes[0], "_pa", part_rows), _hot(b, boxes[1], "_pb", part_rows)
     left = _dealt(_dealt(a, hot_a, "_pa", True), hot_b, "_pb", False)
     right = _dealt(_dealt(b.drop("_side"), hot_a, "_pa", False), hot_b, "_pb", True)
-    return left.join(right, [*KEY, "_pa_at", "_pb_at"])
+    # few bytes may make many pairs: as many tasks as the session has, not as the bytes would fill
+    n, key = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")), [*KEY, "_pa_at", "_pb_at"]
+    return left.repartition(n, *key).join(right.repartition(n, *key), key)
 
 
 def touching(a: DataFrame, b: DataFrame, a_prefix: str, b_prefix: str, part_rows: int = PART_ROWS) -> DataFrame:

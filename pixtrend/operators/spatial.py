@@ -31,12 +31,11 @@ def aoi_scene_pairs(scenes: DataFrame, aois: DataFrame, part_rows: int = PART_RO
     return touching(s, a, "s_", "a_", part_rows)
 
 
-def _projected(df: DataFrame, edge: str, epsg: str, origin: bool) -> DataFrame:
-    """``edge`` (lon/lat) in metres of zone ``epsg``, both ends projected as plain columns."""
-    df = df.withColumns({"_p": G.utm_xy(F.col(f"{edge}.ax"), F.col(f"{edge}.ay"), F.col(epsg)), "_q": G.utm_xy(F.col(f"{edge}.bx"), F.col(f"{edge}.by"), F.col(epsg))})
-    shift = (F.col("_ox"), F.col("_oy")) if origin else (F.lit(0.0), F.lit(0.0))
-    at = F.struct(*[(F.col(f"{end}.{c}") - o).alias(f"{n}{c}") for end, n in (("_p", "a"), ("_q", "b")) for c, o in (("x", shift[0]), ("y", shift[1]))])
-    return df.withColumn(edge, at).drop("_p", "_q")
+def _projected(df: DataFrame, edge: str, epsg: str) -> DataFrame:
+    """``edge`` (lon/lat) in metres of zone ``epsg``, from the point ``_o``."""
+    df = G.with_utm(df, {"_p": (f"{edge}.ax", f"{edge}.ay"), "_q": (f"{edge}.bx", f"{edge}.by")}, epsg)
+    at = F.struct(*[(F.col(f"{n}.{c}") - F.col(f"_o.{c}")).alias(f"{end}{c}") for end, n in (("a", "_p"), ("b", "_q")) for c in "xy"])
+    return df.withColumn(edge, at)
 
 
 def aoi_coverage(scenes: DataFrame, aois: DataFrame, epsg=None, min_ratio: float | None = None, part_rows: int = PART_ROWS) -> DataFrame:
@@ -60,19 +59,20 @@ def aoi_coverage(scenes: DataFrame, aois: DataFrame, epsg=None, min_ratio: float
     a = aois.withColumns({"_epsg": epsg.cast("int"), "_edges": G.rings_edges(_rings(aois))})
     a = a.select("aoi_id", *[F.col(c).alias(f"a_{c}") for c in BOX], F.col("_epsg").alias("epsg"), F.posexplode_outer("_edges").alias("_i", "_e"))
     # the AOI's edges in metres, from its box's south-west corner, back in one row
-    a = a.withColumn("_o", G.utm_xy("a_west", "a_south", "epsg")).withColumns({"_ox": F.col("_o.x"), "_oy": F.col("_o.y")}).drop("_o")
-    a = _projected(a, "_e", "epsg", True)
-    a = a.groupBy("aoi_id", *[f"a_{c}" for c in BOX], "epsg", "_ox", "_oy").agg(F.collect_list("_e").alias("a_edges"))
+    a = _projected(G.with_utm(a, {"_o": ("a_west", "a_south")}, "epsg"), "_e", "epsg")
+    a = a.groupBy("aoi_id", *[f"a_{c}" for c in BOX], "epsg", "_o").agg(F.collect_list("_e").alias("a_edges"))
     a = a.withColumn("a_area", G.edges_area_signed("a_edges"))
     s = scenes.select("item_id", *[F.col(c).alias(f"s_{c}") for c in BOX], G.rings_edges(_rings(scenes)).alias("s_edges"))
     p = touching(s, a, "s_", "a_", part_rows)
     if min_ratio is not None and boxed:
         shared = ((F.least("s_east", "a_east") - F.greatest("s_west", "a_west")) * (F.least("s_north", "a_north") - F.greatest("s_south", "a_south")))
         p = p.filter(shared >= (F.col("a_east") - F.col("a_west")) * (F.col("a_north") - F.col("a_south")) * (min_ratio / 2))
-    e = p.select("aoi_id", "item_id", "epsg", "a_area", "a_edges", "_ox", "_oy", F.explode_outer("s_edges").alias("_e"))
-    e = _projected(e, "_e", "epsg", True)
-    e = e.withColumn("_part", (F.col("_e.ax") * F.col("_e.by") - F.col("_e.bx") * F.col("_e.ay")) / 2)
-    pairs = e.select("aoi_id", "item_id", "epsg", "a_area", "_e", "_part", F.posexplode_outer("a_edges").alias("_j", "_f"))
+    # dealt by pair: few cells make many pairs, and the sum below needs no other exchange
+    p = p.select("aoi_id", "item_id", "epsg", "a_area", "a_edges", "_o", "s_edges").repartition("aoi_id", "item_id")
+    e = p.select("*", F.explode_outer("s_edges").alias("_e")).drop("s_edges")
+    e = _projected(e, "_e", "epsg")
+    part = (F.col("_e.ax") * F.col("_e.by") - F.col("_e.bx") * F.col("_e.ay")) / 2
+    pairs = e.select("aoi_id", "item_id", "epsg", "a_area", "_e", part.alias("_part"), F.posexplode_outer("a_edges").alias("_j", "_f"))
     pairs = G.trapezoid_overlap(pairs, "_e", "_f")
     g = pairs.groupBy("aoi_id", "item_id", "epsg", "a_area").agg(F.sum("overlap").alias("_both"), F.sum(F.when(F.coalesce("_j", F.lit(0)) == 0, F.col("_part"))).alias("_s_area"))
     # the directions of both polygons cancel out of the shared area
