@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
+from pixtrend.operators.moments import scene_moments
 from pixtrend.constants import (BANDS, BRIGHT_THRESHOLD, LOW_MAX_VALID, LOW_THRESHOLD,
                                 SCL_BAD, SCL_CLOUD, SIGMA_K)
 
@@ -79,25 +80,20 @@ def outlier_mask(df: DataFrame, k: float = SIGMA_K, by=("scene_id",), bands=BAND
     scene, so a full scene of 1.2e8 pixels does not overflow.  Fractional bands
     use the mean and the population sigma as doubles.
     """
-    aggs, spread, out = [], [], {}
+    stats = scene_moments(df, by, bands)
+    out, keep = {}, []
     for b in bands:
-        v = F.col(b)
+        n, s1, s2, mean, std = (F.col(f"{b}_{m}") for m in ("n", "s1", "s2", "mean", "std"))
         if isinstance(df.schema[b].dataType, IntegralType):
-            v = v.cast("bigint")
-            aggs += [F.count(b).alias(f"{b}_n"), F.sum(v).alias(f"{b}_c"), F.sum(v * v).alias(f"{b}_s2")]
-            n, s1, s2 = (F.col(f"{b}_{m}").cast("decimal(19,0)") for m in ("n", "c", "s2"))
-            spread += [F.col(f"{b}_n"), F.col(f"{b}_c"),
-                       (F.lit(float(k)) * F.sqrt((n * s2 - s1 * s1).cast("double"))).alias(f"{b}_w")]
-            dev = F.abs(F.col(f"{b}_n") * v - F.col(f"{b}_c")).cast("double")
+            en, e1, e2 = (c.cast("decimal(19,0)") for c in (n, s1, s2))
+            keep += [n.alias(f"_{b}_n"), s1.alias(f"_{b}_c"), (F.lit(float(k)) * F.sqrt((en * e2 - e1 * e1).cast("double"))).alias(f"_{b}_w")]
+            dev = F.abs(F.col(f"_{b}_n") * F.col(b).cast("bigint") - F.col(f"_{b}_c")).cast("double")
         else:
-            aggs += [F.lit(1).alias(f"{b}_n"), F.avg(v.cast("double")).alias(f"{b}_c"),
-                     (F.lit(float(k)) * F.stddev_pop(v.cast("double"))).alias(f"{b}_w")]
-            spread += [F.col(f"{b}_n"), F.col(f"{b}_c"), F.col(f"{b}_w")]
-            dev = F.abs(v.cast("double") - F.col(f"{b}_c"))
-        out[b] = F.when(dev <= F.col(f"{b}_w"), F.col(b))
-    stats = df.groupBy(*by).agg(*aggs).select(*by, *spread)
-    drop = [f"{b}_{m}" for b in bands for m in ("n", "c", "w")]
-    return df.join(stats, list(by), "left").withColumns(out).drop(*drop)
+            keep += [n.alias(f"_{b}_n"), mean.alias(f"_{b}_c"), (F.lit(float(k)) * std).alias(f"_{b}_w")]
+            dev = F.abs(F.col(b).cast("double") - F.col(f"_{b}_c"))
+        out[b] = F.when(dev <= F.col(f"_{b}_w"), F.col(b))
+    drop = [f"_{b}_{m}" for b in bands for m in ("n", "c", "w")]
+    return df.join(stats.select(*by, *keep), list(by), "left").withColumns(out).drop(*drop)
 
 
 def apply_class_mask(df: DataFrame, mask: DataFrame, keys=("scene_id", "x", "y"),

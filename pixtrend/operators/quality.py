@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pixtrend.constants import (AOI_CLOUD_THRESH, AOI_MIN_COVERAGE, BANDS, SCL_CLOUD)
 from pixtrend.functions.geo import utm_epsg
+from pixtrend.operators.moments import scene_moments
 
 
 def aoi_quality(scl: DataFrame, expected, by=("scene_id",), scl_col: str = "scl",
@@ -52,30 +53,10 @@ def aoi_filter(obs: DataFrame, expected, cloud_thresh: float = AOI_CLOUD_THRESH,
     return obs.join(q.select(*by), list(by), "left_semi")
 
 
-def scene_moments(df: DataFrame, by=("scene_id",), bands=BANDS) -> DataFrame:
-    """Exact integer moments per scene and band: n, sum(v), sum(v^2)."""
-    aggs = []
-    for b in bands:
-        v = F.col(b).cast("bigint")
-        aggs += [F.count(b).alias(f"{b}_n"), F.sum(v).alias(f"{b}_s1"),
-                 F.sum(v * v).alias(f"{b}_s2")]
-    return df.groupBy(*by).agg(*aggs)
-
-
 def scene_stats(df: DataFrame, by=("scene_id",), bands=BANDS) -> DataFrame:
-    """Per scene and band: count, mean and population sigma (missing skipped).
-
-    From integer moments: ``mean = s1/n``, ``sigma = sqrt(n*s2 - s1^2)/n``.
-    """
-    m = scene_moments(df, by, bands)
-    cols = [F.col(k) for k in by]
-    for b in bands:
-        n, s1, s2 = (F.col(f"{b}_{p}").cast("double") for p in ("n", "s1", "s2"))
-        nz = F.nullif(n, F.lit(0.0))
-        cols += [F.col(f"{b}_n"), F.col(f"{b}_s1"), F.col(f"{b}_s2"),
-                 (s1 / nz).alias(f"{b}_mean"),
-                 (F.sqrt(F.greatest(n * s2 - s1 * s1, F.lit(0.0))) / nz).alias(f"{b}_std")]
-    return m.select(*cols)
+    """Per scene and band: count, sums, mean and population sigma (missing
+    skipped); the statistics that ``masks.outlier_mask`` goes by."""
+    return scene_moments(df, by, bands)
 
 
 def bbox_union(items: DataFrame, by=(), override: tuple | None = None) -> DataFrame:

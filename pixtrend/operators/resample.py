@@ -33,7 +33,7 @@ def resample_nearest(df: DataFrame, cols, keys=("scene_id",), sx: str = "sx", sy
 
 
 def align_to_grid(long: DataFrame, keys=("scene_id",), band: str = "band", res: str = "res",
-                  value: str = "v", fine: str = "10m", grids: dict[str, Grid] | None = None) -> DataFrame:
+                  value: str = "v", fine: str = "10m", grids: dict[str, Grid] | None = None, extent: DataFrame | None = None) -> DataFrame:
     """Bring every band of a scene onto one grid, resampling only where needed.
 
     ``long`` rows are ``(keys, band, res, sx, sy, v)`` with cell indices on the
@@ -42,10 +42,11 @@ def align_to_grid(long: DataFrame, keys=("scene_id",), band: str = "band", res:
     their own grids (no resampling).  A resolution without a grid is left out.  Output is
     ``(keys, band, x, y, v)``; pivot with ``band_stack`` for the wide row.
     The fine band's extent is a small aggregate per scene; upsampled values
-    outside it are dropped, so all bands share one grid.
+    outside it are dropped, so all bands share one grid.  ``extent`` (keys, x0,
+    x1, y0, y1) replaces it where ``long`` holds parts of the scenes only.
     """
     grids = grids or GRIDS
-    grid = long.filter(F.col(res) == fine).groupBy(*keys).agg(
+    grid = extent if extent is not None else long.filter(F.col(res) == fine).groupBy(*keys).agg(
         F.min("sx").alias("x0"), F.max("sx").alias("x1"), F.min("sy").alias("y0"), F.max("sy").alias("y1"))
     coarse = long.filter(F.col(res) != fine)
     keep = long.filter(F.col(res) == fine).unionByName(coarse.join(grid, list(keys), "left_anti"))

@@ -40,8 +40,8 @@ from (select cast(year(l_shipdate) as int) as year,
       from lineitem group by 1, 2, 3, 4) t) t2""")
 
 cte("scenes", """
-select item_id, ts, cloud_cover, grid_code, proj_epsg, west, south, east, north
-from (select o_orderkey as item_id, o_orderdate as ts,
+select item_id, ts, cloud_cover, grid_code, collection, proj_epsg, west, south, east, north
+from (select o_orderkey as item_id, o_orderdate as ts, case when o_orderkey % 7 = 2 then 'raw' else 'surface' end as collection,
              cast(floor(o_totalprice) as bigint) % 101 as cloud_cover,
              concat('MGRS-', cast(o_custkey % 10 as varchar)) as grid_code,
              case when o_orderkey % 3 = 0 then null else cast(32601 + o_custkey % 60 as int) end as proj_epsg,

@@ -117,6 +117,15 @@ def q_search_scenes(spark, sf_dir):
     return s.select("item_id", P.scene_date("ts").alias("date"), "cloud_cover", "grid_code", "proj_epsg")
 
 
+@register("search_collection", O.with_ctes(
+    "select item_id, cloud_cover, grid_code, collection from scenes where collection = 'surface' "
+    "and ts >= timestamp '1996-01-01' and ts < timestamp '1997-01-01' and cloud_cover <= 30", "scenes"))
+def q_search_collection(spark, sf_dir):
+    """The catalogue search with its first predicate, on a catalogue of two collections."""
+    s = C.search_scenes(fx.scenes(spark, sf_dir), "1996-01-01", "1996-12-31", max_cloud=30, collection="surface")
+    return s.select("item_id", "cloud_cover", "grid_code", "collection")
+
+
 @register("query_products", O.with_ctes(
     "select concat('S2_', cast(item_id as varchar), '.SAFE') as name from scenes "
     "where ts >= timestamp '1996-01-01' and ts < timestamp '1997-01-01' and cloud_cover <= 30 "
@@ -621,6 +630,16 @@ def q_scene_stats(spark, sf_dir):
     return Q.scene_stats(nd_obs(spark, sf_dir))
 
 
+@register("scene_stats_fractions", O.with_ctes("select scene_id, " + ", ".join(
+    f"count({b}) as {b}_n, sum({b} / 4.0e0) as {b}_s1, sum({b} / 4.0e0) / nullif(count({b}), 0) as {b}_mean, "
+    f"round(stddev_pop({b} / 4.0e0), 6) as {b}_std" for b in BANDS) + " from nd group by scene_id", "nd"))
+def q_scene_stats_fractions(spark, sf_dir):
+    """Scene statistics of reflectance in quarter steps."""
+    nd = nd_obs(spark, sf_dir)
+    st = Q.scene_stats(nd.withColumns({b: F.col(b) / F.lit(4.0) for b in BANDS}))
+    return st.select("scene_id", *[c for b in BANDS for c in (f"{b}_n", f"{b}_s1", f"{b}_mean", F.round(f"{b}_std", 6).alias(f"{b}_std"))])
+
+
 @register("bbox_union", O.with_ctes(
     "select grid_code, cast(year(ts) as int) as year, min(west) as west, min(south) as south, "
     "max(east) as east, max(north) as north from scenes group by grid_code, year(ts)", "scenes"))
@@ -708,20 +727,25 @@ def q_align_to_grid(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- U3 catalogue -> trend
-JOB_BOUNDS_M = (100.0, 0.0, 1500.0, 80.0)
-_JB = clip_index_range(JOB_BOUNDS_M)
-JOB_PIXELS = float((_JB[2] - _JB[0] + 1) * (_JB[3] - _JB[1] + 1))
+#: Columns of the job's window; it is as high as the grid, less the top row.
+JOB_X_M = (100.0, 1500.0)
+_JB = clip_index_range((JOB_X_M[0], 0.0, JOB_X_M[1], 0.0))
 JOB_COVERAGE = 0.01  # the stand-in scenes are sparse,
 JOB_CLOUD = 0.65     # and more than half of their classes are cloudy
 
+O.cte("job_top", "select max(y) - 1 as top from obs", "obs")
+# every asset of an item, one in 64 missing
+O.cte("job_complete", """
+select item_id from (select distinct cast(year(l_shipdate) * 100 + l_suppkey % 10 as int) as item_id from lineitem) i, range(1, 8) t(ord)
+where (item_id + ord) % 64 <> 0 group by item_id having count(*) = 7""")
 O.cte("job_scenes", """
 select scene_id, year from (
   select distinct cast(year(l_shipdate) * 100 + l_suppkey % 10 as int) as scene_id, cast(year(l_shipdate) as int) as year from lineitem) s
 where year between 1995 and 2001
   and strftime(make_date(year, 6, 25) + cast((scene_id % 9) * 7 as int), '%m-%d') between '07-01' and '08-31'
   and (scene_id * 37) % 101 <= 80 and scene_id % 10 <> 5
-  and not exists (select 1 from range(1, 8) t(ord) where (scene_id + ord) % 64 = 0)
-  and scene_id % 10 < 9""")  # the other footprints miss the AOI
+  and scene_id % 10 <> 3 and scene_id in (select item_id from job_complete)
+  and scene_id % 10 < 9""", "job_complete")  # the other footprints miss the AOI
 O.cte("job_long", """
 select l.scene_id, l.band, case when l.band in ('swir1', 'swir2') then '20m' else '10m' end as res,
        case when l.band in ('swir1', 'swir2') then l.x // 2 else l.x end as sx,
@@ -737,11 +761,11 @@ O.cte("job_stack", "select w.*, o.scl, job_scenes.year from (select scene_id, x,
       + ", ".join(f"max(case when band = '{b}' then v end) as {b}" for b in BANDS)
       + " from job_fine group by scene_id, x, y) w join job_scenes using (scene_id) left join obs o on o.scene_id = w.scene_id "
       "and o.x = w.x // 2 * 2 and o.y = w.y // 2 * 2 "
-      f"where w.x between {_JB[0]} and {_JB[2]} and w.y between {_JB[1]} and {_JB[3]}", "job_fine", "job_scenes", "obs")
+      f"where w.x between {_JB[0]} and {_JB[2]} and w.y between {_JB[1]} and (select top from job_top)", "job_fine", "job_scenes", "job_top", "obs")
 O.cte("job_good", "select * from job_stack where scene_id in (select scene_id from job_stack group by scene_id having count(scl) > 0 "
       "and count(*) filter (where scl <> 0) > 0 and cast(count(*) filter (where scl in (3, 7, 8, 9, 10, 11)) as double) "
       f"/ count(*) filter (where scl <> 0) <= {JOB_CLOUD}e0 "
-      f"and cast(count(*) filter (where scl <> 0) as double) / {JOB_PIXELS}e0 >= {JOB_COVERAGE}e0)", "job_stack")
+      f"and cast(count(*) filter (where scl <> 0) as double) / (select {_JB[2] - _JB[0] + 1} * (top - {_JB[1]} + 1) from job_top) >= {JOB_COVERAGE}e0)", "job_stack", "job_top")
 O.cte("job_bright", "select year, scene_id, x, y, " + ", ".join(
     f"case when not coalesce(scl, 0) in ({_codes(SCL_BAD)}) and not coalesce(red > 2100 and green > 2100 and blue > 2100 "
     f"and not coalesce(scl, 0) in ({_codes(SCL_BAD)}), false) then {b} end as {b}" for b in BANDS) + " from job_good", "job_good")
@@ -762,13 +786,16 @@ O.cte("job_trend", "select x, y, " + ", ".join(
 def q_catalogue_trend(spark, sf_dir):
     """From the catalogue to the trend map, every step in one job."""
     ob = fx.obs(spark, sf_dir)
+    top = ob.agg(F.max("y")).first()[0] or 0
+    bounds = (JOB_X_M[0], 0.0, JOB_X_M[1], (top - 1) * 10.0)
+    x0, y0, x1, y1 = clip_index_range(bounds)
     w, s, e, n = DEFAULT_AOI
     aoi = spark.createDataFrame([(1, w, s, e, n)], "aoi_id int, west double, south double, east double, north double")
     scenes = fx.scene_catalogue(spark, sf_dir)
     finished = scenes.filter(F.col("item_id") % 10 == 5).select("item_id")
     return catalogue_trend(scenes, fx.scene_assets(spark, sf_dir), aoi, finished, fx.scene_bands(spark, sf_dir, ob),
-                           fx.scene_classes(spark, sf_dir, ob), range(1995, 2002), JOB_BOUNDS_M, JOB_PIXELS, grid="MGRS-5",
-                           epsg=32605, cloud_thresh=JOB_CLOUD, min_coverage=JOB_COVERAGE)
+                           fx.scene_classes(spark, sf_dir, ob), range(1995, 2002), bounds, float((x1 - x0 + 1) * (y1 - y0 + 1)), grid="MGRS-5",
+                           collection="surface", epsg=32605, cloud_thresh=JOB_CLOUD, min_coverage=JOB_COVERAGE)
 
 
 from pixtrend.plans import registry_grids  # noqa: E402,F401  (adds to QUERIES and ORACLE)

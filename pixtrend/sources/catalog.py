@@ -21,14 +21,16 @@ def _day_start(d) -> Column:
 
 
 def search_scenes(scenes: DataFrame, start, end, grid: str | None = None,
-                  max_cloud: float = 100, ts: str = "ts") -> DataFrame:
-    """Items acquired in ``[start, end]`` (whole end day), cloud cover
+                  max_cloud: float = 100, collection: str | None = None, ts: str = "ts") -> DataFrame:
+    """Items of ``collection`` acquired in ``[start, end]`` (whole end day), cloud cover
     ``<= max_cloud`` and on ``grid``.  Plain predicates on the scan columns,
     so they reach the parquet reader as pushed filters."""
     lo, hi = _day_start(start), _day_start(_as_date(end) + dt.timedelta(days=1))
     cond = (F.col(ts) >= lo) & (F.col(ts) < hi) & (F.col("cloud_cover") <= max_cloud)
     if grid is not None:
         cond = cond & (F.col("grid_code") == grid)
+    if collection is not None:
+        cond = cond & (F.col("collection") == collection)
     return scenes.filter(cond)
 
 

@@ -81,6 +81,7 @@ def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("ts"),
         (F.floor("o_totalprice").cast("bigint") % 101).alias("cloud_cover"),
         F.concat(F.lit("MGRS-"), (c % 10).cast("string")).alias("grid_code"),
+        F.when(F.col("o_orderkey") % 7 == 2, "raw").otherwise("surface").alias("collection"),
         F.when(F.col("o_orderkey") % 3 == 0, F.lit(None))
         .otherwise((F.lit(32601) + c % 60).cast("int")).cast("int").alias("proj_epsg"),
         west.alias("west"), south.alias("south"),
@@ -182,7 +183,7 @@ def aois(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scene_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue items of the ``obs`` scenes (``item_id`` = ``scene_id``).  Days
-    run past the season, the cloud cover over the whole range; the footprints
+    run past the season, the cloud cover over the whole range; ids ending in 3 are of another collection; the footprints
     of ids ending in 9 miss ``DEFAULT_AOI``, the others contain it."""
     w, s, e, n = DEFAULT_AOI
     li = table(spark, sf_dir, "lineitem")
@@ -191,7 +192,8 @@ def scene_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("item_id")
     shift = F.when(k % 10 < 9, 0.0).otherwise(5.0)
     out = ids.select("item_id", F.date_add(F.make_date("year", F.lit(6), F.lit(25)), (k % 9) * 7).cast("timestamp_ntz").alias("ts"),
-                     ((k * 37) % 101).alias("cloud_cover"), F.lit("MGRS-5").alias("grid_code"), F.lit(32605).alias("proj_epsg"),
+                     ((k * 37) % 101).alias("cloud_cover"), F.lit("MGRS-5").alias("grid_code"),
+                     F.when(k % 10 == 3, "raw").otherwise("surface").alias("collection"), F.lit(32605).alias("proj_epsg"),
                      (F.lit(w - 0.5) + shift).alias("west"), F.lit(s - 0.5).alias("south"),
                      (F.lit(e + 0.5) + shift).alias("east"), F.lit(n + 0.5).alias("north"))
     pt = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
