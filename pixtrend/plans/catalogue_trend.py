@@ -31,6 +31,7 @@ def choose_scenes(scenes: DataFrame, assets: DataFrame, aois: DataFrame, done: D
     items = search_scenes(scenes, f"{min(years)}-01-01", f"{max(years)}-12-31", grid, max_cloud, collection)
     items = pending(season_filter(items, years, *season), done)
     items = require_asset(items, assets).join(complete_scenes(assets).select("item_id"), "item_id", "left_semi")
+    items = written(items, "items")  # the spatial join reads them several times
     covering = aoi_coverage(items, aois, epsg=epsg, min_ratio=min_ratio).select("item_id").distinct()
     return items.join(covering, "item_id", "left_semi").select(
         F.col("item_id").alias("scene_id"), year_of("ts").alias("year"))
@@ -75,8 +76,8 @@ def catalogue_trend(scenes: DataFrame, assets: DataFrame, aois: DataFrame, done:
     too cloudy or too empty over the AOI (``expected`` pixels), mask, reduce
     and fit.
 
-    Two tables are written on the way, the chosen scenes (a few rows each year)
-    and their clipped stack: each is used several times by what follows, and a
+    Three tables are written on the way, the items that the catalogue leaves, the chosen scenes
+    (a few rows each year) and their clipped stack: each is used several times by what follows, and a
     lost executor goes back to them and no further.
     """
     chosen = written(choose_scenes(scenes, assets, aois, done, years, grid=grid, epsg=epsg, collection=collection), "chosen")
