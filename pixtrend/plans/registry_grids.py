@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pixtrend.operators.gridmatch import Grid, match_bilinear, match_nearest
+from pixtrend.operators.reproject import grid_cells, reproject
 from pixtrend.plans import oracle as O
 from pixtrend.plans.registry import register
 from pixtrend.sources import fixtures as fx
@@ -81,3 +82,69 @@ def q_resample_match_nearest(spark, sf_dir):
     """20 m classes on a 15 m reference grid with another origin."""
     cells = fx.class_mask(spark, sf_dir).withColumnsRenamed({"x": "sx", "y": "sy"})
     return match_nearest(cells, ["cls"], Grid(20), ODD)
+
+
+# --------------------------------------------------------------------------- P5 two zones on one grid
+#: The reference grid lies in zone 5 beside the meridian -150; every second scene comes in zone 6.
+ZONE, NEXT_ZONE = 32605, 32606
+REFERENCE = Grid(10, 812_000, 2_214_000)
+NEXT_GRID = Grid(10, 184_140, 2_214_030)
+ZONES = {ZONE: REFERENCE, NEXT_ZONE: NEXT_GRID}
+
+
+def lonlat_sql(x: str, y: str, epsg: int, src: str, keep: str) -> str:
+    """Inverse of ``oracle.utm_sql`` in stages, columns ``lon`` and ``lat`` added to ``keep``."""
+    from pixtrend.constants import UTM_FALSE_EASTING, UTM_FALSE_NORTHING_SOUTH, UTM_K0
+    from pixtrend.functions.geo import UTM_SERIES as S
+
+    k = repr(UTM_K0 * S["A"])
+    south = UTM_FALSE_NORTHING_SOUTH if epsg >= 32700 else 0.0
+    xi, eta, phi = "xi", "eta", "chi"
+    for j, (b, d) in enumerate(zip(S["beta"], S["delta"], strict=True), start=1):
+        xi += f" - {b!r} * sin({2 * j} * xi) * cosh({2 * j} * eta)"
+        eta += f" - {b!r} * cos({2 * j} * xi) * sinh({2 * j} * eta)"
+        phi += f" + {d!r} * sin({2 * j} * chi)"
+    return (f"select {keep}, degrees(atan2(sinh(ep), cos(xp))) + {epsg % 100 * 6 - 183} as lon, degrees({phi}) as lat from ("
+            f"select *, asin(sin(xp) / cosh(ep)) as chi from (select *, {xi} as xp, {eta} as ep from ("
+            f"select *, ({y} - {south!r}) / {k} as xi, ({x} - {UTM_FALSE_EASTING!r}) / {k} as eta from ({src}) s0) s1) s2) s3")
+
+
+_NX, _NY = O.utm_sql("lon", "lat", str(NEXT_ZONE))
+O.cte("ref_cells", "select x, y, x + 0.5e0 as u0, y + 0.5e0 as v0 from range(0, 200) a(x), (select unnest(range(0, max(y) + 1)) as y from obs) b", "obs")
+O.cte("ref_zones", f"select x, y, {ZONE} as epsg, u0 as u, v0 as v from ref_cells union all "
+      f"select x, y, {NEXT_ZONE}, round(({_NX} - {NEXT_GRID.x0}) / {NEXT_GRID.res}, 6), round(({_NY} - {NEXT_GRID.y0}) / {NEXT_GRID.res}, 6) from ("
+      + lonlat_sql(f"({REFERENCE.x0} + u0 * {REFERENCE.res})", f"({REFERENCE.y0} + v0 * {REFERENCE.res})", ZONE, "select * from ref_cells", "x, y") + ") l", "ref_cells")
+O.cte("zoned", f"select *, case when scene_id % 2 = 0 then {ZONE} else {NEXT_ZONE} end as epsg from nd", "nd")
+_ZB = ["red", "nir"]
+
+
+def _zoned(spark, sf_dir):
+    from pixtrend.plans.registry import nd_obs
+
+    nd = nd_obs(spark, sf_dir).withColumn("epsg", F.when(F.col("scene_id") % 2 == 0, ZONE).otherwise(NEXT_ZONE))
+    top = nd.agg(F.max("y")).first()[0]
+    return nd, -1 if top is None else top
+
+
+@register("reproject_scenes", O.with_ctes(
+    "select s.year, s.scene_id, r.x, r.y, s.red, s.nir, s.scl from zoned s join ref_zones r on r.epsg = s.epsg "
+    "and cast(floor(r.u) as int) = s.x and cast(floor(r.v) as int) = s.y", "zoned", "ref_zones"))
+def q_reproject_scenes(spark, sf_dir):
+    """Scenes of two zones gathered onto the grid of one, by nearest neighbour."""
+    nd, top = _zoned(spark, sf_dir)
+    cells = grid_cells(spark, 0, 199, 0, top)
+    return reproject(nd, ["red", "nir", "scl"], cells, REFERENCE, ZONE, ZONES, keys=("year", "scene_id"), sx="x", sy="y")
+
+
+@register("two_zone_mosaic", O.with_ctes(
+    "select year, x, y, " + ", ".join(f"cast(floor(avg(v{b}) * 1000 + 0.5e0) as bigint) as {b}_milli, count(v{b}) as n_{b}" for b in _ZB) + " from ("
+    "select year, scene_id, x, y, " + ", ".join(f"sum({b} * w) / sum(case when {b} is not null then w end) as v{b}" for b in _ZB) + " from ("
+    "select s.year, s.scene_id, r.x, r.y, s.red, s.nir, greatest(1 - abs(r.u - s.x - 0.5e0), 0) * greatest(1 - abs(r.v - s.y - 0.5e0), 0) as w "
+    "from zoned s join ref_zones r on r.epsg = s.epsg and s.x between cast(floor(r.u - 0.5e0) as int) and cast(floor(r.u - 0.5e0) as int) + 1 "
+    "and s.y between cast(floor(r.v - 0.5e0) as int) and cast(floor(r.v - 0.5e0) as int) + 1) t where w > 0 group by year, scene_id, x, y) m "
+    "where coalesce(" + ", ".join(f"v{b}" for b in _ZB) + ") is not null group by year, x, y", "zoned", "ref_zones"))
+def q_two_zone_mosaic(spark, sf_dir):
+    """Annual mean mosaic over scenes of two zones, interpolated onto the grid of one."""
+    nd, top = _zoned(spark, sf_dir)
+    px = reproject(nd, _ZB, grid_cells(spark, 0, 199, 0, top), REFERENCE, ZONE, ZONES, keys=("year", "scene_id"), sx="x", sy="y", method="bilinear")
+    return px.groupBy("year", "x", "y").agg(*[c for b in _ZB for c in (F.floor(F.avg(b) * 1000 + 0.5).cast("bigint").alias(f"{b}_milli"), F.count(b).alias(f"n_{b}"))])
