@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import heapq
 import json
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +27,8 @@ from pixtrend.llm import words as W
 #: Fixed value: the split pattern of byte-level BPE vocabularies of this kind.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LONG_WORD = 96
-CACHE_WORDS = 100_000
+#: Words of a generation of the cache; the one before is kept beside it.
+CACHE_WORDS = 120_000
 BATCH_BYTES = 2 << 20
 NO_RANK = 1 << 60
 
@@ -63,21 +66,31 @@ class Vocabulary:
 
 class Encoder(dict):
     """Maps a word to its ids as little-endian 32-bit integers; the mapping
-    itself is the cache and is emptied when it reaches ``CACHE_WORDS``."""
+    itself is the cache.  When it reaches ``CACHE_WORDS`` it becomes the old
+    generation, out of which words that are met again are taken over, so that
+    frequent words are never encoded anew."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.v = vocabulary
+        self.old: dict[str, bytes] = {}
         self.find_words = regex.compile(PATTERN).findall
         marks = sorted(vocabulary.special, key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
 
     def __missing__(self, word: str) -> bytes:
-        raw = word.encode()
-        parts = self.scan(raw) if len(raw) <= LONG_WORD else self.heap(raw)
+        out = self.old.get(word)
+        if out is None:
+            raw = word.encode()
+            parts = self.scan(raw) if len(raw) <= LONG_WORD else self.heap(raw)
+            ids = array("I", parts)
+            if sys.byteorder == "big":
+                ids.byteswap()
+            out = ids.tobytes()
         if len(self) >= CACHE_WORDS:
+            self.old = dict(self)
             self.clear()
-        out = self[word] = np.array(parts, "<u4").tobytes()
+        self[word] = out
         return out
 
     def scan(self, raw: bytes) -> list[int]:
@@ -141,7 +154,7 @@ _held: list = [None]
 
 def _encoder(vocabulary: Vocabulary) -> Encoder:
     """The worker's encoder for the broadcast tables: a worker is kept for many
-    tasks, and with it the words it knows (at most ``CACHE_WORDS``)."""
+    tasks, and with it the words it knows (at most twice ``CACHE_WORDS``)."""
     if _held[0] is None or _held[0].v is not vocabulary:
         _held[0] = Encoder(vocabulary)
     return _held[0]
