@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pixtrend.operators.gridmatch import Grid, match_bilinear, match_nearest
 from pixtrend.operators.reproject import grid_cells, reproject
+from pixtrend.operators.spans import clip_polygons
 from pixtrend.plans import oracle as O
 from pixtrend.plans.registry import register
 from pixtrend.sources import fixtures as fx
@@ -137,14 +138,44 @@ def q_reproject_scenes(spark, sf_dir):
 
 
 @register("two_zone_mosaic", O.with_ctes(
-    "select year, x, y, " + ", ".join(f"cast(floor(avg(v{b}) * 1000 + 0.5e0) as bigint) as {b}_milli, count(v{b}) as n_{b}" for b in _ZB) + " from ("
+    "select year, x, y, " + ", ".join(f"cast(floor(avg(v{b}) * 1000 + 0.3137e0) as bigint) as {b}_milli, count(v{b}) as n_{b}" for b in _ZB) + " from ("
     "select year, scene_id, x, y, " + ", ".join(f"sum({b} * w) / sum(case when {b} is not null then w end) as v{b}" for b in _ZB) + " from ("
     "select s.year, s.scene_id, r.x, r.y, s.red, s.nir, greatest(1 - abs(r.u - s.x - 0.5e0), 0) * greatest(1 - abs(r.v - s.y - 0.5e0), 0) as w "
     "from zoned s join ref_zones r on r.epsg = s.epsg and s.x between cast(floor(r.u - 0.5e0) as int) and cast(floor(r.u - 0.5e0) as int) + 1 "
     "and s.y between cast(floor(r.v - 0.5e0) as int) and cast(floor(r.v - 0.5e0) as int) + 1) t where w > 0 group by year, scene_id, x, y) m "
     "where coalesce(" + ", ".join(f"v{b}" for b in _ZB) + ") is not null group by year, x, y", "zoned", "ref_zones"))
 def q_two_zone_mosaic(spark, sf_dir):
-    """Annual mean mosaic over scenes of two zones, interpolated onto the grid of one."""
+    """Annual mean mosaic over scenes of two zones, interpolated onto the grid of one;
+    in thousandths, cut where no tie of a mean of few integers falls."""
     nd, top = _zoned(spark, sf_dir)
     px = reproject(nd, _ZB, grid_cells(spark, 0, 199, 0, top), REFERENCE, ZONE, ZONES, keys=("year", "scene_id"), sx="x", sy="y", method="bilinear")
-    return px.groupBy("year", "x", "y").agg(*[c for b in _ZB for c in (F.floor(F.avg(b) * 1000 + 0.5).cast("bigint").alias(f"{b}_milli"), F.count(b).alias(f"n_{b}"))])
+    return px.groupBy("year", "x", "y").agg(*[c for b in _ZB for c in (F.floor(F.avg(b) * 1000 + 0.3137).cast("bigint").alias(f"{b}_milli"), F.count(b).alias(f"n_{b}"))])
+
+
+# --------------------------------------------------------------------------- P10 polygons as a table
+def _edges_sql() -> str:
+    out = []
+    for points, where in ((fx.OUTLINE, "true"), (fx.HOLE, "true"), (fx.PART, "c_custkey % 5 = 0")):
+        for (ax, ay), (bx, by) in zip(points, points[1:] + points[:1], strict=True):
+            out.append(f"select c_custkey as poly_id, ox + {ax!r}e0 as x1, oy + {ay!r}e0 as y1, ox + {bx!r}e0 as x2, oy + {by!r}e0 as y2 from corner where {where}")
+    return " union all ".join(out)
+
+
+O.cte("corner", "select c_custkey, cast((c_custkey * 37) % 190 * 10 as double) as ox, cast(c_custkey // 150 * 10 - 20 as double) as oy from customer")
+O.cte("poly_edges", _edges_sql(), "corner")
+# every pixel centre against every edge of the polygons whose box may hold it: an odd number of crossings to its right
+O.cte("poly_pixels", "select poly_id, x, y from (select p.x, p.y, e.*, p.x * 10 + 5.0e0 as px, p.y * 10 + 5.0e0 as py from (select distinct x, y from nd) p "
+      "join corner c on p.x * 10 between c.ox - 10 and c.ox + 110 and p.y * 10 between c.oy - 10 and c.oy + 70 join poly_edges e on e.poly_id = c.c_custkey) t "
+      "where (y1 > py) <> (y2 > py) and px < (x2 - x1) * (py - y1) / (y2 - y1) + x1 group by poly_id, x, y having count(*) % 2 = 1", "nd", "corner", "poly_edges")
+
+
+@register("clip_polygons", O.with_ctes(
+    "select poly_id, year, count(*) as n_pixels, count(distinct nd.x * 100000 + nd.y) as n_cells, sum(red) as red, sum(nir) as nir "
+    "from poly_pixels join nd using (x, y) group by poly_id, year", "poly_pixels", "nd"))
+def q_clip_polygons(spark, sf_dir):
+    """Pixels inside each of a table of polygons with holes and parts, summed per polygon and year."""
+    from pixtrend.plans.registry import nd_obs
+
+    px = clip_polygons(nd_obs(spark, sf_dir).select("year", "x", "y", "red", "nir"), fx.polygons(spark, sf_dir))
+    return px.groupBy("poly_id", "year").agg(F.count(F.lit(1)).alias("n_pixels"), F.count_distinct(F.col("x") * 100000 + F.col("y")).alias("n_cells"),
+                                             F.sum("red").alias("red"), F.sum("nir").alias("nir"))

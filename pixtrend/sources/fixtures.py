@@ -235,3 +235,22 @@ def class_mask_layers(spark: SparkSession, sf_dir: str, cm: DataFrame | None = N
     n = F.when(F.col("scene_id") % 2 == 0, 2).otherwise(0)
     return cm.select("scene_id", "x", "y", "cls", F.explode(F.sequence(F.lit(0), n)).alias("layer")) \
         .select("scene_id", "x", "y", "layer", ((F.col("cls") + F.col("layer")) % 4).cast("int").alias("cls"))
+
+
+#: Outlines of the stand-in polygons, in metres from their corner: a concave one with a hole, and a part beside it.
+OUTLINE = [(0.0, 0.0), (60.0, 5.0), (75.0, 48.0), (38.0, 22.0), (12.0, 61.0)]
+HOLE = [(20.0, 12.0), (20.0, 20.0), (30.0, 20.0), (30.0, 12.0)]
+PART = [(80.0, 0.0), (103.0, 7.0), (90.0, 33.0)]
+
+
+def polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(poly_id, rings)`` in grid metres, one polygon per customer, spread over
+    the whole grid; every fifth has a second part."""
+    c = F.col("c_custkey")
+    ox, oy = ((c * 37) % 190 * 10).cast("double"), (F.floor(c / 150) * 10 - 20).cast("double")
+
+    def ring(points):
+        return F.array(*[F.struct((ox + x).alias("x"), (oy + y).alias("y")) for x, y in points])
+
+    rings = F.when(c % 5 == 0, F.array(ring(OUTLINE), ring(HOLE), ring(PART))).otherwise(F.array(ring(OUTLINE), ring(HOLE)))
+    return table(spark, sf_dir, "customer").select(c.alias("poly_id"), rings.alias("rings"))
