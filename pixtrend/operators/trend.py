@@ -22,15 +22,24 @@ def linear_trend(df: DataFrame, values=TC_NAMES, keys=("x", "y"), t: str = "year
     single final division, multiplied by ``scale`` (per decade).  Fewer than
     two points -> NULL.  ``n_{value}`` is the number of points used.
     """
+    return slopes(trend_sums(df, values, keys, t, suffix), values, keys, scale, value_scale)
+
+
+def trend_sums(df: DataFrame, values=TC_NAMES, keys=("x", "y"), t: str = "year", suffix: str = "_e8") -> DataFrame:
+    """Per pixel and value: n, Sx, Sxx, Sy, Sxy over the rows where it is present,
+    and ``_rows``, all rows of the pixel.  Sums of two sets of years add up to those of both."""
     tt = F.col(t).cast("bigint")
-    aggs = []
+    aggs = [F.count(F.lit(1)).alias("_rows")]
     for v in values:
         y = F.col(f"{v}{suffix}").cast("bigint")
         x = F.when(y.isNotNull(), tt)
-        aggs += [F.count(y).alias(f"_n_{v}"), F.sum(x).alias(f"_sx_{v}"),
-                 F.sum(x * x).alias(f"_sxx_{v}"), F.sum(y).alias(f"_sy_{v}"),
-                 F.sum(x * y).alias(f"_sxy_{v}")]
-    g = df.groupBy(*keys).agg(*aggs)
+        zero = F.lit(0).cast("bigint")
+        aggs += [F.count(y).alias(f"_n_{v}"), *[F.coalesce(F.sum(e), zero).alias(f"_{p}_{v}") for p, e in (("sx", x), ("sxx", x * x), ("sy", y), ("sxy", x * y))]]
+    return df.groupBy(*keys).agg(*aggs)
+
+
+def slopes(sums: DataFrame, values=TC_NAMES, keys=("x", "y"), scale: int = SLOPE_SCALE, value_scale: int = E8) -> DataFrame:
+    """Slopes and numbers of points from ``trend_sums``."""
     out = [F.col(k) for k in keys]
     for v in values:
         n, sx, sxx, sy, sxy = (F.col(f"_{p}_{v}") for p in ("n", "sx", "sxx", "sy", "sxy"))
@@ -38,7 +47,7 @@ def linear_trend(df: DataFrame, values=TC_NAMES, keys=("x", "y"), t: str = "year
         den = n * sxx - sx * sx
         slope = F.when(n >= 2, (num * scale).cast("double") / (den * value_scale).cast("double"))
         out += [slope.alias(f"{v}_slope"), n.cast("int").alias(f"n_{v}")]
-    return g.select(*out)
+    return sums.select(*out)
 
 
 def trend_visual(trend: DataFrame, values=TC_NAMES, keys=("x", "y")) -> DataFrame:

@@ -6,10 +6,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pixtrend.operators.gridmatch import Grid, match_bilinear, match_nearest
+from pixtrend.operators import pixelstate as PS
+from pixtrend.operators.mosaic import median_mosaic
 from pixtrend.operators.reproject import grid_cells, reproject
 from pixtrend.operators.spans import clip_polygons
+from pixtrend.functions.indices import TC_NAMES, tasseled_cap
 from pixtrend.plans import oracle as O
 from pixtrend.plans.registry import register
+from pixtrend.session import new_scratch_path
 from pixtrend.sources import fixtures as fx
 
 # --------------------------------------------------------------------------- J6/J7 any reference grid
@@ -179,3 +183,30 @@ def q_clip_polygons(spark, sf_dir):
     px = clip_polygons(nd_obs(spark, sf_dir).select("year", "x", "y", "red", "nir"), fx.polygons(spark, sf_dir))
     return px.groupBy("poly_id", "year").agg(F.count(F.lit(1)).alias("n_pixels"), F.count_distinct(F.col("x") * 100000 + F.col("y")).alias("n_cells"),
                                              F.sum("red").alias("red"), F.sum("nir").alias("nir"))
+
+
+# --------------------------------------------------------------------------- A4/A7 mergeable states
+@register("median_state", O.with_ctes("select year, x, y, " + ", ".join(
+    f"{O.pack(f'median(case when {b} > 0 then {b} end)')} as {b}" for b in O.BANDS) + " from clean where scene_id % 10 <> 7 group by year, x, y", "clean"))
+def q_median_state(spark, sf_dir):
+    """Median mosaic from a stored state: most scenes, one lot added later, one taken back."""
+    from pixtrend.plans.registry import clean_obs
+
+    obs, path = clean_obs(spark, sf_dir), new_scratch_path(spark, "median-state")
+    lot = lambda n: obs.filter(F.col("scene_id") % 10 == n)
+    PS.write_batch(PS.histogram(obs.filter(F.col("scene_id") % 10 != 3)), path, "first")
+    PS.write_batch(PS.histogram(lot(3)), path, "late")
+    PS.write_batch(PS.negated(PS.histogram(lot(7)), PS.HISTOGRAM_SUMS), path, "taken-back")
+    return PS.median_of(PS.read_state(spark, path, PS.HISTOGRAM_SUMS))
+
+
+@register("trend_state", O.with_ctes("select * from trend", "trend"))
+def q_trend_state(spark, sf_dir):
+    """Trend from a stored state to which each later half of the years was added by itself."""
+    from pixtrend.plans.registry import clean_obs
+
+    obs, path = clean_obs(spark, sf_dir), new_scratch_path(spark, "trend-state")
+    for name, years in (("until-1996", F.col("year") <= 1996), ("since-1997", F.col("year") > 1996)):
+        tc = tasseled_cap(median_mosaic(obs.filter(years)), exact=True)
+        PS.write_batch(PS.trend_state(tc, TC_NAMES), path, name)
+    return PS.trend_of(PS.read_state(spark, path, PS.TREND_SUMS))
