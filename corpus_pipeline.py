@@ -33,18 +33,21 @@ def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one of the smallest id.
     Rows without an id stay.  Rows that repeat an id compete as any others do:
-    of equal texts one stays, the first by its other columns; other texts than
+    of equal texts one stays, the first by a hash of its other columns; other texts than
     the first by hash count as ids behind all others."""
-    known = docs.where("doc_id is not null").withColumn("_h", F.xxhash64("text"))
+    packed = aside(docs)
+    known = packed.where("doc_id is not null").withColumn("_h", F.xxhash64("text"))
     repeats = materialise(known.groupBy("doc_id").agg(F.min("_h").alias("_first"), F.max("_h").alias("_last")).where("_first < _last"), "repeats")
     later = F.xxhash64("doc_id", "_h").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
     keyed = (known.join(repeats.select("doc_id", "_first"), "doc_id", "left")
              .withColumn("_key", F.when(F.col("_h") != F.col("_first"), later).otherwise(F.col("doc_id").cast("long"))))
-    rows = keyed.select(F.col("_key").alias("doc_id"), "text").unionByName(docs.where("doc_id is null").select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    nameless = packed.where("doc_id is null")
+    rows = keyed.select(F.col("_key").alias("doc_id"), "text").unionByName(nameless.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     groups = materialise(ngram_join.similar_groups(rows, SHINGLE, SIMILARITY), "groups")
     kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_key")).distinct()
-    one = keyed.join(kept, "_key", "left_semi").groupBy("_key").agg(F.min(F.struct(*docs.columns)).alias("_row"))
-    return one.select("_row.*").unionByName(docs.where("doc_id is null")).select(docs.columns)
+    one = keyed.join(kept, "_key", "left_semi").groupBy("_key").agg(F.min_by(F.struct("doc_id", "text", "_rest"), F.xxhash64(F.to_json("_rest"))).alias("_row"))
+    out = one.select("_row.*").unionByName(nameless)
+    return out.select(*[F.col(c) if c in ("doc_id", "text") else F.col("_rest").getField(c).alias(c) for c in docs.columns])
 
 
 def cut_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
