@@ -171,3 +171,14 @@ def test_rows_that_repeat_an_id_with_other_texts_stay(spark):
     assert (2, c, "x") in got and (1, b, "x") not in got  # the first by its other columns
     again = sorted((tuple(r) for r in corpus_pipeline.keep_one_of_each_group(spark, docs.repartition(7, "source"), "").collect()), key=str)
     assert again == got
+
+
+def test_one_of_each_group_keeps_columns_of_any_name_and_type(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, 7, "k", 1.5, {"a": 1}), (2, text, 8, "l", None, None), (3, "quite another text of its own", 9, None, 2.5, {}), (None, text, 1, "n", 0.0, {"b": 2}), (1, text, 6, "k", 1.5, {"a": 2})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _h int, _key string, _first double, _row map<string,int>")
+    got = corpus_pipeline.keep_one_of_each_group(spark, docs, "")
+    assert got.columns == docs.columns and got.schema["_row"].dataType == docs.schema["_row"].dataType
+    kept = {r["doc_id"]: tuple(r) for r in got.collect()}
+    assert set(kept) == {1, 3, None}
+    assert kept[3] == rows[2] and kept[None] == rows[3] and kept[1] in (rows[0], rows[4])
