@@ -40,7 +40,10 @@ BATCH_BYTES = 1 << 20
 #: Buckets of the rarity table (8 bytes each where it is used); fixed, whatever the corpus.
 RARITY_BUCKETS = 1 << 20
 RARITY_CHUNK = 1 << 12
-SIGNATURE = ("s0", "s1", "s2", "s3")  # 256-bit parity bitmap of the set
+#: Bits of a set's parity bitmap, as columns of 64.  Copies that just miss the similarity
+#: are told apart up to some 3 sets' elements a bit; with fewer bits those of long texts are all paired.
+BITS = 1024
+SIGNATURE = tuple(f"s{i}" for i in range(BITS // 64))
 #: A table of wanted classes up to so many rows (24 bytes each) is broadcast to
 #: the scan of the texts; beyond, the texts are shuffled to it.
 BROADCAST_ROWS = 1_000_000
@@ -105,11 +108,11 @@ def class_of(s: np.ndarray) -> int:
 
 def signature(s: np.ndarray) -> list[int]:
     """Parity bitmap: sets at symmetric difference d differ in at most d bits."""
-    bits = np.bincount((W.mix64(s) >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+    bits = np.bincount((W.mix64(s) >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64), minlength=BITS) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64).tolist()
 
 
-SETS = "doc_id long, rid long, same long, cid long, n long, s0 long, s1 long, s2 long, s3 long, chunk int, counts binary"
+SETS = f"doc_id long, rid long, same long, cid long, n long, {', '.join(f'{s} long' for s in SIGNATURE)}, chunk int, counts binary"
 
 
 def _sets_pass(docs: DataFrame, k: int) -> DataFrame:
@@ -124,14 +127,14 @@ def _sets_pass(docs: DataFrame, k: int) -> DataFrame:
                 sets = shingle_sets(part.column(3), k)
                 flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
                 np.add.at(counts, (flat % np.uint64(RARITY_BUCKETS)).astype(np.int64), np.uint32(1))
-                rows = [(class_of(s), len(s), *signature(s)) if len(s) else (None, 0, 0, 0, 0, 0) for s in sets]
+                rows = [(class_of(s), len(s), *signature(s)) if len(s) else (None, 0, *[0] * len(SIGNATURE)) for s in sets]
                 cols = list(zip(*rows, strict=True))
                 none = pa.nulls(len(sets))
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], *[pa.array(c, pa.int64()) for c in cols],
                                                   none.cast(pa.int32()), none.cast(pa.binary())], schema=schema)
         used = [c for c in range(RARITY_BUCKETS // RARITY_CHUNK) if counts[c * RARITY_CHUNK:(c + 1) * RARITY_CHUNK].any()]
         none = pa.nulls(len(used), pa.int64())
-        yield pa.RecordBatch.from_arrays([none] * 9 + [pa.array(used, pa.int32()), pa.array(
+        yield pa.RecordBatch.from_arrays([none] * (5 + len(SIGNATURE)) + [pa.array(used, pa.int32()), pa.array(
             [counts[c * RARITY_CHUNK:(c + 1) * RARITY_CHUNK].tobytes() for c in used], pa.binary())], schema=schema)
 
     return docs.select("doc_id", "rid", "same", "text").mapInArrow(W.releasing(run), SETS)
