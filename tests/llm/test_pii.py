@@ -65,7 +65,7 @@ def test_second_round_finds_what_the_first_made_known(spark, tmp_path):
 
 
 def test_edges(spark, tmp_path):
-    long = "a" * 200_000 + "@b.c " + "1" * 150_000 + " " + "1.1" * 40_000 + " +1" + "(" * 50_000 + " a@b.c_x@d.e.f 4111-1111 1111 1111"
+    long = "a" * 20_000 + "@b.c " + "1" * 15_000 + " " + "1.1" * 5_000 + " +1" + "(" * 20_000 + " a@b.c_x@d.e.f 4111-1111 1111 1111"
     texts = [None, "", "@", "+", "x@y", "a@b.c", "A.b%c+d@e-f.g.h..i", "1.2.3.4.5.6.7.8", "0001.2.3.255", "1.2.3.256", "4111111111111111", "41111111111111112",
              "+1 (017) 555-7713", "+12345678", "++1234567890", "é\U0001F600 a@b.cd \U0001F600 +44 20 7946 0958", "a@b.c@d.e", "tel:+1-017-555-7713, 10.0.0.1.", "٣٤ 12", long, "%" * 30_000 + "9" + "!" * 30_000]
     rows = [(i if i % 4 else None, t, "clash", 1) for i, t in enumerate(texts)] + [(5, "a@b.c", "clash", 1)] * 2
