@@ -298,10 +298,10 @@ def similar_groups(docs: DataFrame, k: int = 3, similarity: tuple[int, int] = (9
     comp = connected_components(linked, "q", "x")
 
     # the rest: pairs of a list in different components
-    marked = (lists.join(comp.withColumnRenamed("v", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-              .join(per_class.drop("first", "at", "n"), "cid"))
+    marked = lists.join(comp.withColumnRenamed("v", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     open_lists = marked.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("g")
-    marked = materialise(marked.join(open_lists, "g"), "open-lists")
+    # bitmaps join the open lists alone
+    marked = materialise(materialise(marked.join(open_lists, "g"), "open-lists").join(per_class.drop("first", "at", "n"), "cid"), "open-bitmaps")
     a, b = marked.alias("a"), marked.alias("b")
     fits = (F.col("a.cid") < F.col("b.cid")) & (F.col("a.root") != F.col("b.root")) & may_reach(t, "a", "b")
     rest = (a.join(b, (F.col("a.g") == F.col("b.g")) & fits)
