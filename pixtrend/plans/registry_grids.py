@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pixtrend.operators.classify import bright_surroundings, classify_batches
 from pixtrend.operators.gridmatch import Grid, match_bilinear, match_nearest
 from pixtrend.operators import pixelstate as PS
 from pixtrend.operators.mosaic import median_mosaic
@@ -210,3 +211,16 @@ def q_trend_state(spark, sf_dir):
         tc = tasseled_cap(median_mosaic(obs.filter(years)), exact=True)
         PS.write_batch(PS.trend_state(tc, TC_NAMES), path, name)
     return PS.trend_of(PS.read_state(spark, path, PS.TREND_SUMS))
+
+
+# --------------------------------------------------------------------------- U1 batches of tiles
+@register("classify_batches", O.with_ctes(
+    "select p.scene_id, p.x, p.y, cast(case when coalesce(sum(q.red + q.green + q.nir) > 9000 * count(q.red + q.green + q.nir), false) then 1 else 0 end as int) as cls "
+    "from (select scene_id, x, y, unnest([-1, 0, 1]) as dx from nd) p0 join (select scene_id as s2, x as x2, y as y2, unnest([-1, 0, 1]) as dy from nd) p1 "
+    "on p0.scene_id = p1.s2 and p0.x = p1.x2 and p0.y = p1.y2 join nd p on p.scene_id = p0.scene_id and p.x = p0.x and p.y = p0.y "
+    "left join nd q on q.scene_id = p.scene_id and q.x = p.x + dx and q.y = p.y + dy group by p.scene_id, p.x, p.y", "nd"))
+def q_classify_batches(spark, sf_dir):
+    """A rule on 3 x 3 neighbourhoods over batches of tiles of any scenes."""
+    from pixtrend.plans.registry import nd_obs
+
+    return classify_batches(nd_obs(spark, sf_dir), bright_surroundings, tile=fx.TILE, halo=1, batch_size=5)
