@@ -69,7 +69,8 @@ def all_missing(df: DataFrame, bands=BANDS) -> Column:
     return F.coalesce(*[F.col(b) for b in bands]).isNull()
 
 
-def outlier_mask(df: DataFrame, k: float = SIGMA_K, by=("scene_id",), bands=BANDS) -> DataFrame:
+def outlier_mask(df: DataFrame, k: float = SIGMA_K, by=("scene_id",), bands=BANDS,
+                 stats: DataFrame | None = None) -> DataFrame:
     """Per scene and per band, keep ``mean - k*sigma <= v <= mean + k*sigma``.
 
     The statistics are one small row per scene (partial aggregation, no pixel
@@ -78,9 +79,10 @@ def outlier_mask(df: DataFrame, k: float = SIGMA_K, by=("scene_id",), bands=BAND
     ``|n*v - s1| <= k * sqrt(n*s2 - s1^2)`` is the same inequality multiplied by
     ``n``; the difference of products is taken in DECIMAL(38, 0), once per
     scene, so a full scene of 1.2e8 pixels does not overflow.  Fractional bands
-    use the mean and the population sigma as doubles.
+    use the mean and the population sigma as doubles.  ``stats``: the moments of
+    ``df`` where they are known (``sources.scenestore``), so ``df`` is read once.
     """
-    stats = scene_moments(df, by, bands)
+    stats = scene_moments(df, by, bands) if stats is None else stats
     out, keep = {}, []
     for b in bands:
         n, s1, s2, mean, std = (F.col(f"{b}_{m}") for m in ("n", "s1", "s2", "mean", "std"))

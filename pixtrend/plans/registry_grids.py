@@ -13,9 +13,11 @@ from pixtrend.operators.reproject import grid_cells, reproject
 from pixtrend.operators.spans import clip_polygons
 from pixtrend.functions.indices import TC_NAMES, tasseled_cap
 from pixtrend.plans import oracle as O
-from pixtrend.plans.registry import register
+from pixtrend.constants import BANDS
+from pixtrend.plans.registry import _sigma_sql, register
 from pixtrend.session import new_scratch_path
 from pixtrend.sources import fixtures as fx
+from pixtrend.sources.scenestore import masked_scenes, write_scenes
 
 # --------------------------------------------------------------------------- J6/J7 any reference grid
 #: A 60 m band and the class mask's 20 m cells, on grids that share no origin with the reference.
@@ -224,3 +226,17 @@ def q_classify_batches(spark, sf_dir):
     from pixtrend.plans.registry import nd_obs
 
     return classify_batches(nd_obs(spark, sf_dir), bright_surroundings, tile=fx.TILE, halo=1, batch_size=5)
+
+
+# --------------------------------------------------------------------------- M4/A6 statistics kept by the sink
+@register("outlier_mask_stored", O.with_ctes(_sigma_sql("nd"), "nd"))
+def q_outlier_mask_stored(spark, sf_dir):
+    """Scenes stored in two parts, one of them first with other values, masked by the stored statistics."""
+    from pixtrend.plans.registry import PX, nd_obs
+
+    nd, path = nd_obs(spark, sf_dir), new_scratch_path(spark, "scene-store")
+    west, east = nd.filter(F.col("x") < fx.TILE), nd.filter(F.col("x") >= fx.TILE)
+    write_scenes(west.withColumns({b: F.col(b) * 2 for b in BANDS}), path, "west")
+    write_scenes(east, path, "east")
+    write_scenes(west, path, "west")
+    return masked_scenes(spark, path).select(*PX, *BANDS)
