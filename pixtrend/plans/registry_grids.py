@@ -18,6 +18,7 @@ from pixtrend.plans.registry import _sigma_sql, register
 from pixtrend.session import new_scratch_path
 from pixtrend.sources import fixtures as fx
 from pixtrend.sources.scenestore import masked_scenes, write_scenes
+from pixtrend.streaming.completeness import last_status, release_scenes_stream
 
 # --------------------------------------------------------------------------- J6/J7 any reference grid
 #: A 60 m band and the class mask's 20 m cells, on grids that share no origin with the reference.
@@ -240,3 +241,33 @@ def q_outlier_mask_stored(spark, sf_dir):
     write_scenes(east, path, "east")
     write_scenes(west, path, "west")
     return masked_scenes(spark, path).select(*PX, *BANDS)
+
+
+# --------------------------------------------------------------------------- P19/S13 completeness by stateful streaming
+#: Layers arrive in three waves an hour apart; a scene may take 90 minutes.
+O.cte("arrivals", "select item_id, band, (item_id + ord) % 5 % 3 as wave from assets union all "
+      "select item_id, band, 2 from assets where (item_id + ord) % 5 % 3 = 0 and item_id % 4 = 0", "assets")
+
+
+@register("complete_scenes_stream", O.with_ctes(
+    "select item_id, case when n < 7 then 'incomplete' when last - first <= 1 then 'complete' else 'late' end as status, "
+    "cast(case when n < 7 then in_time else 7 end as int) as n_layers, epoch_ms(case when n < 7 then first * 3600000 + 9000000 else last * 3600000 + 3600000 end) as at from ("
+    "select item_id, count(*) as n, min(first) as first, max(wave) as last, count(*) filter (where wave <= first + 1) as in_time from ("
+    "select item_id, wave, min(wave) over (partition by item_id) as first from (select item_id, band, min(wave) as wave from arrivals group by item_id, band) a) b "
+    "group by item_id) c", "arrivals"))
+def q_complete_scenes_stream(spark, sf_dir):
+    """Scenes released by a stream as their layers arrive in waves, some twice; the last report of each."""
+    src, dst, ckpt = (new_scratch_path(spark, n) for n in ("arrivals", "reports", "arrivals-ckpt"))
+    wave = (F.col("item_id") + F.col("ord")) % 5 % 3
+    cols = lambda w: ["item_id", "band", F.timestamp_millis(((w + 1) * 3600000).cast("long")).alias("ts")]
+    assets = fx.assets(spark, sf_dir)
+    clock = spark.range(1).select(F.lit(-1).cast("long").alias("item_id"), F.lit(None).cast("string").alias("band"), F.lit(9).alias("wave"))
+    schema = assets.select(*cols(wave)).schema
+    for w in range(3):
+        came = assets.filter(wave == w)
+        again = assets.filter((wave == 0) & (F.col("item_id") % 4 == 0)) if w == 2 else came.limit(0)
+        came.unionByName(again).select(*cols(F.lit(w))).write.mode("append").parquet(src)
+        release_scenes_stream(spark, src, dst, ckpt, schema, 5400, 7200, key="item_id")
+    clock.select(*cols(F.col("wave"))).write.mode("append").parquet(src)
+    release_scenes_stream(spark, src, dst, ckpt, schema, 5400, 7200, key="item_id")
+    return last_status(spark.read.parquet(dst), "item_id").select("item_id", "status", "n_layers", F.col("at").cast("timestamp_ntz").alias("at"))
