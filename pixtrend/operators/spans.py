@@ -50,4 +50,5 @@ def clip_polygons(df: DataFrame, polygons: DataFrame, key: str = "poly_id", ring
     spans = polygon_spans(polygons, key, rings, x0, y0, res).withColumnsRenamed({"x0": "_x0", "x1": "_x1"})
     spans = spans.select("*", F.explode(F.sequence(F.floor(F.col("_x0") / BLOCK), F.floor(F.col("_x1") / BLOCK))).alias("_block"))
     px = df.withColumn("_block", F.floor(F.col("x") / BLOCK))
-    return px.join(spans, ["y", "_block"]).where(F.col("x").between(F.col("_x0"), F.col("_x1"))).select(key, *df.columns)
+    # a small table of polygons can make any number of spans, which its size does not tell: never sent to the driver
+    return px.join(spans.hint("merge"), ["y", "_block"]).where(F.col("x").between(F.col("_x0"), F.col("_x1"))).select(key, *df.columns)
