@@ -7,13 +7,19 @@ it was released.  A scene is reported once when it is
 complete, and once, by a timer on the event time, when it is not complete in time.
 State is dropped ``keep`` after that, so it grows with the scenes under
 way, not with the archive.
+
+Scenes are dealt over ``BUCKETS`` groups by a hash of their key.  A group's state is a table of
+its scenes, and a batch brings all of them up to date at once, so a batch costs by the rows
+and the groups, not a call of Python for every scene.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -23,12 +29,14 @@ from pixtrend.constants import BANDS
 LAYERS = (*BANDS, "scl")
 #: What a report can say, in the order in which a scene goes through them.
 STATUSES = ("incomplete", "late", "complete")
-STATE = "times array<long>, done boolean, told boolean"
+STATE = "scenes binary"
 NEVER = -1 << 62
+#: Groups of scenes; fixed for the life of a checkpoint.
+BUCKETS = 512
 
 
 def release_complete(arrivals: DataFrame, wait_s: int, keep_s: int, layers=LAYERS, key: str = "scene_id",
-                     layer: str = "band", ts: str = "ts", delay: str = "1 minute") -> DataFrame:
+                     layer: str = "band", ts: str = "ts", delay: str = "1 minute", buckets: int = BUCKETS) -> DataFrame:
     """Reports ``(key, status, n_layers, missing, at)`` of a stream of ``(key, layer, ts)`` rows.
 
     ``complete``: the last missing layer came at most ``wait_s`` seconds after the
@@ -43,45 +51,69 @@ def release_complete(arrivals: DataFrame, wait_s: int, keep_s: int, layers=LAYER
     so far (or farther) behind the newest row of the batches before, and timers wait as
     long; where files carry times of their own, give the longest way they may take."""
     names = list(layers)
-    place = {b: i for i, b in enumerate(names)}
     wait, keep = wait_s * 1000, keep_s * 1000
     kind = dict(arrivals.dtypes)[key]
     out = f"{key} {kind}, status string, n_layers int, missing string, at timestamp"
-
-    def report(name, status: str, times: list[int], until: int, at: int) -> pd.DataFrame:
-        missing = [b for b, t in zip(names, times, strict=True) if t == NEVER or t > until]
-        return pd.DataFrame({key: [name], "status": [status], "n_layers": [len(names) - len(missing)],
-                             "missing": [",".join(missing)], "at": [pd.Timestamp(at, unit="ms")]})
+    columns = [f"t{i}" for i in range(len(names))]
+
+    def stored(scenes: pd.DataFrame) -> tuple[bytes]:
+        table = pa.Table.from_pandas(scenes.reset_index(drop=True), preserve_index=False)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as w:
+            w.write_table(table)
+        return (sink.getvalue().to_pybytes(),)
+
+    def reported(scenes: pd.DataFrame, status, until: np.ndarray, at: np.ndarray) -> pd.DataFrame:
+        times = scenes[columns].to_numpy()
+        gone = (times == NEVER) | (times > until[:, None])
+        missing = [",".join(b for b, g in zip(names, row, strict=True) if g) for row in gone.tolist()]
+        return pd.DataFrame({key: scenes[key].array, "status": status, "n_layers": len(names) - gone.sum(axis=1), "missing": missing,
+                             "at": pd.to_datetime(at, unit="ms")})
 
     def step(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        name = group[0]
-        times, done, told = state.get if state.exists else ([NEVER] * len(names), False, False)
-        times = list(times)
-        if state.hasTimedOut and (done or told):
-            state.remove()
+        clock = state.getCurrentWatermarkMs()
+        scenes = pa.ipc.open_stream(state.get[0]).read_pandas() if state.exists else None
+        rows = pd.concat(list(frames)) if not state.hasTimedOut else pd.DataFrame(columns=[key, "layer"])
+        asked, rows = rows[key], rows[rows["layer"].notna()]
+        if len(rows):
+            now = rows.groupby([key, "layer"], sort=False)["ms"].min().unstack("layer").reindex(columns=names).fillna(NEVER)
+            now = now.astype("int64").set_axis(columns, axis=1).reset_index()
+            if scenes is not None:  # those that are known already: the earlier time of each layer
+                both = pd.concat([scenes[[key, *columns]], now])
+                both[columns] = both[columns].where(both[columns] != NEVER, -NEVER)
+                first = both.groupby(key, sort=False)[columns].min()
+                times = first.where(first != -NEVER, NEVER).reset_index()
+                scenes = times.merge(scenes.drop(columns=columns), on=key, how="left")
+            else:
+                scenes = now.assign(done=None, told=None, timer=np.nan)
+            scenes = scenes.assign(**{c: scenes[c].eq(True) for c in ("done", "told")}, timer=scenes["timer"].fillna(NEVER).astype("int64"))
+        if scenes is None:
             return
-        for frame in frames if not state.hasTimedOut else ():
-            for b, t in zip(frame["layer"], frame["ms"], strict=True):
-                if (i := place.get(b)) is not None:
-                    times[i] = int(t) if times[i] == NEVER else min(times[i], int(t))
-        came = [t for t in times if t != NEVER]
-        if not came:
+        fresh = scenes[key].isin(asked).to_numpy()
+        times = scenes[columns].to_numpy()
+        due, newest = np.where(times == NEVER, -NEVER, times).min(axis=1) + wait, times.max(axis=1)
+        done, told, timer = (scenes[c].to_numpy(copy=True) for c in ("done", "told", "timer"))
+        # as a stream of one scene each: a scene with new rows is asked for its layers, any other for its time
+        over = ~fresh & (timer < clock)
+        drop, late = over & (done | told), over & ~(done | told)
+        whole = fresh & (times != NEVER).all(axis=1) & ~done
+        if late.any():
+            yield reported(scenes[late], "incomplete", due[late], due[late])
+        if whole.any():
+            yield reported(scenes[whole], np.where((newest <= due) & ~told, "complete", "late")[whole], newest[whole], newest[whole])
+        told, done = told | late, done | whole
+        timer = np.where(fresh | late, np.maximum(due + np.where(done | told, keep, 0), clock + 1), timer)
+        if drop.all():
+            state.remove()
             return
-        due, newest = min(came) + wait, max(came)
-        if state.hasTimedOut:
-            told = True
-            yield report(name, "incomplete", times, due, due)
-        elif len(came) == len(names) and not done:
-            done = True
-            yield report(name, "complete" if newest <= due and not told else "late", times, newest, newest)
-        state.update((times, done, told))
-        state.setTimeoutTimestamp(max(due + (keep if done or told else 0), state.getCurrentWatermarkMs() + 1))
+        state.update(stored(scenes.assign(done=done, told=told, timer=timer)[~drop]))
+        state.setTimeoutTimestamp(max(int(timer[~drop].min()), clock + 1))
 
     known = F.when(F.col(layer).isin(names), F.col(layer))
     rows = (arrivals.select(F.col(key), known.alias("layer"), F.col(ts).cast("timestamp").alias("ts"))
             .withWatermark("ts", delay)
-            .select(key, "layer", "ts", F.unix_millis("ts").alias("ms")))
-    return rows.filter(F.col(key).isNotNull() & F.col("ts").isNotNull()).groupBy(key).applyInPandasWithState(
+            .select(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("_bucket"), key, "layer", "ts", F.unix_millis("ts").alias("ms")))
+    return rows.filter(F.col(key).isNotNull() & F.col("ts").isNotNull()).groupBy("_bucket").applyInPandasWithState(
         step, out, STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
