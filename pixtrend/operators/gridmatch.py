@@ -6,13 +6,16 @@ with the phase of the target index.  All index arithmetic and weights are
 integers: interpolated values are one exact sum over another, and the same
 whatever the partitioning.
 
+Cells are shuffled once, by tile: those at the edge of a tile go to the next one
+as well, so little more than one row a cell moves, and all that follows stays
+in the partition.  ``PARTS`` partitions, not merged, keep the tables of one task small.
+
 * Onto equal or finer cells, bilinear interpolation has two taps an axis.  Each
-  source cell is sent to the four 2x2 neighbourhoods that it is part of (a
-  conditional maximum per corner, one shuffle of four rows a cell), and a
-  neighbourhood makes all the target cells whose centres lie between its four
-  centres, however many the ratio gives.
+  source cell is part of four 2x2 neighbourhoods (a conditional maximum per
+  corner), and a neighbourhood makes all the target cells whose centres lie
+  between its four centres, however many the ratio gives.
 * Onto coarser cells, the triangle is as wide as the target cell; every source
-  cell adds to two targets an axis, combined before the shuffle.
+  cell adds to two targets an axis.
 * Nearest neighbour is a narrow generator either way.
 """
 
@@ -25,6 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
+from pixtrend.session import ensure_jit_friendly_codegen
+
+#: Edge of a tile, in source cells (onto coarser cells: in targets), and the partitions that tiles are dealt to.
+TILE = 64
+PARTS = 256
+
 
 @dataclass(frozen=True)
 class Grid:
@@ -71,7 +80,7 @@ def _c(v) -> Column:
 
 
 def _floor_div(a: Column, b: int) -> Column:
-    return ((a - F.pmod(a, F.lit(b))) / b).cast("long")
+    return F.call_function("div", a - F.pmod(a, F.lit(b)), F.lit(b))
 
 
 def _ceil_div(a: Column, b: int) -> Column:
@@ -115,17 +124,33 @@ def match_bilinear(df: DataFrame, bands, source: Grid, target: Grid, keys=("scen
     cells = df.select(*keys, F.col(sx).cast("long").alias("_sx"), F.col(sy).cast("long").alias("_sy"),
                       *[F.col(b).cast("bigint" if isinstance(df.schema[b].dataType, IntegralType) else "double").alias(b) for b in bands])
     finer = target.res <= source.res
+    ensure_jit_friendly_codegen(df.sparkSession)
     out = (_gather if finer else _scatter)(cells, bands, ax, ay, keys, box, scene)
     return out.select(*keys, *[F.col(t).cast(df.schema[s].dataType) for t, s in (("x", sx), ("y", sy))], *bands)
 
 
+def _dealt(cells: DataFrame, keys, low: dict[str, Column], reach: dict[str, int]) -> DataFrame:
+    """Cells in the tiles (``_tx``, ``_ty``) of all that they add to, ``low`` to ``low + reach`` on each axis."""
+    for t, first in low.items():
+        cells = cells.select("*", F.explode(F.sequence(_floor_div(first, TILE), _floor_div(first + reach[t], TILE))).alias(f"_t{t}"))
+    return cells.repartition(PARTS, *keys, "_tx", "_ty")
+
+
+def _own(t: str, at: str) -> Column:
+    """``at`` lies in the row's tile."""
+    return F.col(at).between(F.col(f"_t{t}") * TILE, F.col(f"_t{t}") * TILE + (TILE - 1))
+
+
 def _gather(cells: DataFrame, bands, ax: Axis, ay: Axis, keys, box: DataFrame, scene) -> DataFrame:
     taps = [[0] if a.phases() == [0] else [0, 1] for a in (ax, ay)]
     corners = [(i, j) for i in taps[0] for j in taps[1]]
+    reach = {"x": taps[0][-1], "y": taps[1][-1]}
+    cells = _dealt(cells, keys, {t: F.col(f"_s{t}") - reach[t] for t in "xy"}, reach)
     to = F.array(*[F.struct((F.col("_sx") - i).alias("bx"), (F.col("_sy") - j).alias("by"), F.lit(n).alias("n")) for n, (i, j) in enumerate(corners)])
-    quads = (cells.select(*keys, *bands, F.inline(to)).groupBy(*keys, "bx", "by")
+    quads = (cells.select(*keys, "_tx", "_ty", *bands, F.inline(to)).filter(_own("x", "bx") & _own("y", "by")).groupBy(*keys, "_tx", "_ty", "bx", "by")
              .agg(*[F.max(F.when(F.col("n") == n, F.col(b))).alias(f"_{b}_{n}") for b in bands for n in range(len(corners))]))
-    quads = quads.join(box, list(scene))
+    # one small row a scene is sent to the rows, never the rows to it
+    quads = quads.join(F.broadcast(box), list(scene))
     for a, base, t, lo, hi in ((ax, "bx", "x", "_x0", "_x1"), (ay, "by", "y", "_y0", "_y1")):
         first = F.greatest(a.first_at_or_after(base, a.centred), F.col(lo))
         last = F.least(a.first_at_or_after(_c(base) + 1, a.centred) - 1, F.col(hi))
@@ -147,17 +172,18 @@ def _gather(cells: DataFrame, bands, ax: Axis, ay: Axis, keys, box: DataFrame, s
 
 
 def _scatter(cells: DataFrame, bands, ax: Axis, ay: Axis, keys, box: DataFrame, scene) -> DataFrame:
-    rows = cells.join(box, list(scene))
+    low = {"x": _floor_div(F.col("_sx") * ax.unit - ax.centred, ax.step), "y": _floor_div(F.col("_sy") * ay.unit - ay.centred, ay.step)}
+    rows = _dealt(cells, keys, low, {"x": 1, "y": 1}).join(F.broadcast(box), list(scene))
     for a, s, t, lo, hi in ((ax, "_sx", "x", "_x0", "_x1"), (ay, "_sy", "y", "_y0", "_y1")):
         # the triangle around target t reaches step / unit source cells to either side
         below = _floor_div(F.col(s) * a.unit - a.centred, a.step)
-        rows = rows.select("*", F.explode(F.array(below, below + 1)).alias(t)).filter(F.col(t).between(F.col(lo), F.col(hi)))
+        rows = rows.select("*", F.explode(F.array(below, below + 1)).alias(t)).filter(F.col(t).between(F.col(lo), F.col(hi)) & _own(t, t))
         rows = rows.withColumn(f"_w{t}", F.lit(a.step) - F.abs(F.col(s) * a.unit - a.centred - F.col(t) * a.step))
     weight = F.col("_wx") * F.col("_wy")
     sums = []
     for b in bands:
         sums += [F.sum(F.col(b) * weight).alias(f"_{b}_s"), F.sum(F.when(F.col(b).isNotNull(), weight)).alias(f"_{b}_w")]
-    return _divided(rows.filter(weight > 0).groupBy(*keys, "x", "y").agg(*sums), bands)
+    return _divided(rows.filter(weight > 0).groupBy(*keys, "_tx", "_ty", "x", "y").agg(*sums), bands)
 
 
 def _divided(df: DataFrame, bands) -> DataFrame:
