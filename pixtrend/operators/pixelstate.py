@@ -24,6 +24,9 @@ from pixtrend.functions.pixel import pack_u16, zero_to_null
 from pixtrend.operators.mosaic import PIXEL_KEYS
 from pixtrend.operators.trend import slopes, trend_sums
 
+#: Partitions of a batch's pixels, twice as many of a whole state's; not merged, which keeps the tables of one task small.
+PARTS = 128
+
 
 # --------------------------------------------------------------------------- states
 def histogram(obs: DataFrame, keys=PIXEL_KEYS, bands=BANDS) -> DataFrame:
@@ -31,7 +34,8 @@ def histogram(obs: DataFrame, keys=PIXEL_KEYS, bands=BANDS) -> DataFrame:
     and non-positive values are counted as NULL, so that a pixel without any value is known.
     At most one row a value, 10,001 for integer reflectance, however many scenes."""
     values = F.array(*[F.struct(F.lit(b).alias("band"), zero_to_null(b).alias("v")) for b in bands])
-    return obs.select(*keys, F.inline(values)).groupBy(*keys, "band", "v").agg(F.count(F.lit(1)).alias("c"))
+    # wide rows are shuffled, by pixel; a pixel's values are counted where they then are
+    return obs.select(*keys, *bands).repartition(PARTS, *keys).select(*keys, F.inline(values)).groupBy(*keys, "band", "v").agg(F.count(F.lit(1)).alias("c"))
 
 
 def negated(state: DataFrame, sums) -> DataFrame:
@@ -39,9 +43,12 @@ def negated(state: DataFrame, sums) -> DataFrame:
     return state.withColumns({c: -F.col(c) for c in sums})
 
 
-def merged(states, sums) -> DataFrame:
-    """Sum of states, grouped by all columns but ``sums``; what comes to nothing is gone."""
+def merged(states, sums, by=None) -> DataFrame:
+    """Sum of states, grouped by all columns but ``sums``; what comes to nothing is gone.
+    ``by``: some of the grouping columns that what follows groups by; rows are shuffled by these, once for both."""
     both = reduce(DataFrame.unionByName, states)
+    if by:
+        both = both.repartition(2 * PARTS, *by)
     keys = [c for c in both.columns if c not in sums]
     out = both.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
     return out.where(reduce(lambda a, b: a | b, [F.col(c) != 0 for c in sums]))
@@ -93,9 +100,9 @@ def write_batch(state: DataFrame, path: str, batch: str) -> None:
     state.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
-def read_state(spark: SparkSession, path: str, sums) -> DataFrame:
-    """Sum of the batches stored under ``path``."""
-    return merged([spark.read.parquet(path).drop("batch")], sums)
+def read_state(spark: SparkSession, path: str, sums, by=None) -> DataFrame:
+    """Sum of the batches stored under ``path``, shuffled ``by`` as ``merged`` says."""
+    return merged([spark.read.parquet(path).drop("batch")], sums, by)
 
 
 def compact(spark: SparkSession, path: str, to: str, sums) -> None:

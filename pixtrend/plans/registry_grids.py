@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pixtrend.operators.classify import bright_surroundings, classify_batches
 from pixtrend.operators.gridmatch import Grid, match_bilinear, match_nearest
 from pixtrend.operators import pixelstate as PS
-from pixtrend.operators.mosaic import median_mosaic
+from pixtrend.operators.mosaic import PIXEL_KEYS, median_mosaic
 from pixtrend.operators.reproject import grid_cells, reproject
 from pixtrend.operators.spans import clip_polygons
 from pixtrend.functions.indices import TC_NAMES, tasseled_cap
@@ -201,7 +201,7 @@ def q_median_state(spark, sf_dir):
     PS.write_batch(PS.histogram(obs.filter(F.col("scene_id") % 10 != 3)), path, "first")
     PS.write_batch(PS.histogram(lot(3)), path, "late")
     PS.write_batch(PS.negated(PS.histogram(lot(7)), PS.HISTOGRAM_SUMS), path, "taken-back")
-    return PS.median_of(PS.read_state(spark, path, PS.HISTOGRAM_SUMS))
+    return PS.median_of(PS.read_state(spark, path, PS.HISTOGRAM_SUMS, by=PIXEL_KEYS))
 
 
 @register("trend_state", O.with_ctes("select * from trend", "trend"))
