@@ -146,6 +146,44 @@ def test_passage_with_loosely_similar_text_beside_it(spark):
     assert spans[7, 6] == (20, 119, 90)
 
 
+def test_words_said_on_and_on_are_few_passages(spark):
+    rng = np.random.default_rng(29)
+    said = "on and " * 300
+    one, two = (" ".join([brute.words(rng, 40, 10**6), said, brute.words(rng, 40, 10**6)]) for _ in range(2))
+    got = passage_chain.shared_passages(spark.createDataFrame([(1, one), (2, two)], SCHEMA)).collect()
+    assert {w for r in got for w in range(r["start"], r["end"])} >= set(range(40, 640))
+    assert len(got) <= 2 * 600 // passage_chain.MIN_WORDS  # one a period before
+
+
+def test_covering_keeps_every_word():
+    rng = np.random.default_rng(31)
+    for _ in range(200):
+        begin = rng.integers(0, 60, rng.integers(1, 14)).tolist()
+        found = [(a, a + int(rng.integers(1, 20)), int(rng.integers(9)), 0, 0) for a in begin]
+        got = passage_chain.covering(found)
+        held = {w for f in found for w in range(f[0], f[1])}
+        assert set(got) <= set(found) and held == {w for f in got for w in range(f[0], f[1])}
+        assert all(held != {w for f in got if f != g for w in range(f[0], f[1])} for g in got)
+
+
+def test_short_chains_at_the_least_similarity(spark):
+    """Two runs of four words, and then only runs of three: all of 50 words at 0.8, and one word less."""
+    rng = np.random.default_rng(37)
+    rows, need = [], set()
+    for n, (step, bad) in enumerate([(s, b) for s in range(1, 17) for b in (0, 1)]):
+        p = brute.words(rng, 50, 10**9).split(" ")
+        free = [i for i in range(50) if not 20 <= i < 24 + step]
+        other = set(rng.choice(free, 10 + bad, replace=False).tolist())
+        q = [f"new{n}x{i}" if i in other else w for i, w in enumerate(p)]
+        for d, t in ((n, p), (1000 + n, q)):
+            rows.append((d, " ".join([brute.words(rng, 30, 10**9), *t, brute.words(rng, 30, 10**9)])))
+        ends = [i for i in range(50) if i not in other]
+        if not bad and ends[0] == 0 and ends[-1] == 49:
+            need.add(1000 + n)
+    got = {r["doc_id"] for r in passage_chain.shared_passages(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert need <= got and all(d % 2 == 0 for d in got)
+
+
 def test_similar_parts_equal_brute_force():
     rng = np.random.default_rng(17)
     for _ in range(60):
